@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketlens.functions.scalars import parse_money, parse_raw_date
 from basketlens.oracles.sales_sql import customer_oracles, sales_oracles
-from basketlens.plans import customers, sales
+from basketlens.oracles.tables_sql import cleaning_oracles, profile_oracles, quality_oracles
+from basketlens.plans import cleaning, customers, profiling, quality, sales
+from basketlens.sources import raw_text
 from basketlens.sources.mapped import MappedStar
-from basketlens.sources.star import Star
+from basketlens.sources.star import fixed_calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,19 +33,136 @@ CUSTOMERS = [
     customers.revenue_concentration_deciles, customers.new_customers_per_year,
     customers.avg_spend_and_frequency_by_country, customers.customer_lifespan_summary,
 ]
+PROFILES = [
+    profiling.profile_tables, profiling.profile_columns, profiling.profile_sales_keys,
+    profiling.profile_order_dates, profiling.profile_quantity, profiling.profile_products,
+    profiling.profile_customers, profiling.profile_gender_counts, profiling.profile_stores,
+    profiling.profile_fx, profiling.profile_referential, profiling.profile_currency_gap,
+    profiling.profile_fx_coverage, profiling.profile_duplicate_names,
+]
+CHECKS = [
+    quality.dup_transaction_key, quality.price_valid, quality.cost_valid,
+    quality.category_key_1to1, quality.customer_key_unique, quality.orphan_customer,
+    quality.order_has_lines, quality.total_revenue_positive, quality.primary_keys,
+    quality.fact_composite_key, quality.foreign_keys, quality.duplicate_groups,
+    quality.slice_reconciliation, quality.clean_suite,
+]
 
+StarPlan = Callable[[MappedStar], DataFrame]
 
-def _on_star(plan: Callable[[Star], DataFrame]) -> Query:
+
+def _on_star(plan: StarPlan) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plan(MappedStar(spark, sf_dir))
 
-    run.__doc__ = plan.__doc__
     return run
 
 
+def money_as_double(df: DataFrame) -> DataFrame:
+    """Decimals leave the catalogue as doubles."""
+    return df.select(
+        *[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+          for c, t in df.dtypes]
+    )
+
+
+# -- cleaning ------------------------------------------------------------------
+
+
+def _parse_money(star: MappedStar) -> DataFrame:
+    return raw_text.raw_products(star).select(
+        F.col("ProductKey").alias("product_key"),
+        F.col("Unit Price USD").alias("price_text"),
+        parse_money("Unit Price USD").cast("double").alias("unit_price_usd"),
+        parse_money("Unit Cost USD").cast("double").alias("unit_cost_usd"),
+    )
+
+
+def _parse_dates(star: MappedStar) -> DataFrame:
+    texts = raw_text.raw_sales(star).groupBy(F.col("Order Date").alias("date_text")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    return texts.withColumn("parsed_date", parse_raw_date("date_text"))
+
+
+def _clean_sales(star: MappedStar) -> DataFrame:
+    products = cleaning.clean_products(raw_text.raw_products(star))
+    return cleaning.clean_sales(raw_text.raw_sales(star), products)
+
+
+def _fixed_dates(star: MappedStar) -> DataFrame:
+    """Calendar over a given span, with the order lines that fall on each day."""
+    days = fixed_calendar(star.spark, "1995-01-01", "2001-12-31")
+    daily = star.orders("order_date", "n_lines").groupBy(
+        F.col("order_date").alias("date_key")
+    ).agg(F.sum("n_lines").alias("n_lines"))
+    return days.join(daily, "date_key", "left").withColumn(
+        "n_lines", F.coalesce("n_lines", F.lit(0))
+    )
+
+
+CLEANING: dict[str, StarPlan] = {
+    "clean_parse_money": _parse_money,
+    "clean_parse_dates": _parse_dates,
+    "clean_customers": lambda s: cleaning.clean_customers(raw_text.raw_customers(s)),
+    "clean_products": lambda s: money_as_double(
+        cleaning.clean_products(raw_text.raw_products(s))
+    ),
+    "clean_store_channel": lambda s: cleaning.clean_stores(raw_text.raw_stores(s)),
+    "clean_exchange_rates": lambda s: money_as_double(
+        cleaning.clean_exchange_rates(raw_text.raw_exchange_rates(s))
+    ),
+    "clean_sales_enriched": lambda s: money_as_double(_clean_sales(s)),
+    "dim_category": lambda s: s.table("dim_category"),
+    "dim_subcategory": lambda s: s.table("dim_subcategory"),
+    "dim_product": lambda s: money_as_double(s.table("dim_product")),
+    "dim_customer": lambda s: s.table("dim_customer"),
+    "dim_store": lambda s: s.table("dim_store"),
+    "dim_date": lambda s: s.table("dim_date"),
+    "dim_date_fixed": _fixed_dates,
+    "fact_sales_build": lambda s: money_as_double(s.table("fact_sales")),
+    "exchange_rate": lambda s: money_as_double(s.table("exchange_rate")),
+    "revenue_local_currency": cleaning.revenue_local_currency,
+}
+
+
+# -- quality -------------------------------------------------------------------
+
+
+def _row_check(name: str) -> StarPlan:
+    return lambda s: quality.row_checks(s, [name])
+
+
+QUALITY: dict[str, StarPlan] = {
+    **{f"dq_{c.__name__}": c for c in CHECKS},
+    **{f"dq_{n}": _row_check(n) for n in quality.ROW_CHECKS},
+    "dq_row_counts": lambda s: quality.row_counts(s, raw_text.raw_tables(s)),
+    "dq_revenue_reconciles": lambda s: quality.revenue_reconciles(s, _clean_sales(s)),
+    "dq_star_suite": lambda s: quality.star_suite(s, raw_text.raw_tables(s), _clean_sales(s)),
+}
+
+
+def _on_raw(plan: Callable[[dict[str, DataFrame]], DataFrame]) -> StarPlan:
+    return lambda s: plan(raw_text.raw_tables(s))
+
+
+PLANS: dict[str, StarPlan] = {
+    **{p.__name__: p for p in [*SALES, *CUSTOMERS]},
+    **CLEANING,
+    **QUALITY,
+    **{p.__name__: _on_raw(p) for p in PROFILES},
+}
+
+
 def catalogue() -> dict[str, Query]:
-    return {p.__name__: _on_star(p) for p in [*SALES, *CUSTOMERS]}
+    return {name: _on_star(plan) for name, plan in PLANS.items()}
 
 
 def check_sql() -> dict[str, str]:
-    return {**sales_oracles(), **customer_oracles()}
+    return {
+        **sales_oracles(),
+        **customer_oracles(),
+        **cleaning_oracles(),
+        **quality_oracles(),
+        **profile_oracles(),
+    }
