@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +109,7 @@ def duplicate_product_keys(products: DataFrame) -> DataFrame:
 # -- star --------------------------------------------------------------------
 
 
-def build_star(raw: dict[str, DataFrame]) -> Star:
+def build_star(raw: Mapping[str, DataFrame]) -> Star:
     """Clean every raw table and lay the results out as a star."""
     products = clean_products(raw["products"])
     sales = clean_sales(raw["sales"], products)

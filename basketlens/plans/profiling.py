@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import parse_money, parse_raw_date, percent, round2
 
-Raw = dict[str, DataFrame]
+Raw = Mapping[str, DataFrame]
 
 
 def _count_if(condition: Column) -> Column:

@@ -6,6 +6,7 @@ raises. ``require_passed`` turns failures into an error after the fact.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -250,7 +251,7 @@ SOURCES = {
 }
 
 
-def row_counts(star: Star, raw: dict[str, DataFrame]) -> DataFrame:
+def row_counts(star: Star, raw: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of a star table minus rows of the raw table it came from."""
     checks = []
     for table, source in SOURCES.items():
@@ -332,7 +333,7 @@ def clean_suite(star: Star) -> DataFrame:
     )
 
 
-def star_suite(star: Star, raw: dict[str, DataFrame], sales: DataFrame) -> DataFrame:
+def star_suite(star: Star, raw: Mapping[str, DataFrame], sales: DataFrame) -> DataFrame:
     """The twenty-one checks run on the finished star."""
     return union_checks(
         [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,14 +136,14 @@ def _row_check(name: str) -> StarPlan:
 QUALITY: dict[str, StarPlan] = {
     **{f"dq_{c.__name__}": c for c in CHECKS},
     **{f"dq_{n}": _row_check(n) for n in quality.ROW_CHECKS},
-    "dq_row_counts": lambda s: quality.row_counts(s, raw_text.raw_tables(s)),
+    "dq_row_counts": lambda s: quality.row_counts(s, raw_text.RawTables(s)),
     "dq_revenue_reconciles": lambda s: quality.revenue_reconciles(s, _clean_sales(s)),
-    "dq_star_suite": lambda s: quality.star_suite(s, raw_text.raw_tables(s), _clean_sales(s)),
+    "dq_star_suite": lambda s: quality.star_suite(s, raw_text.RawTables(s), _clean_sales(s)),
 }
 
 
-def _on_raw(plan: Callable[[dict[str, DataFrame]], DataFrame]) -> StarPlan:
-    return lambda s: plan(raw_text.raw_tables(s))
+def _on_raw(plan: Callable[[Mapping[str, DataFrame]], DataFrame]) -> StarPlan:
+    return lambda s: plan(raw_text.RawTables(s))
 
 
 PLANS: dict[str, StarPlan] = {

@@ -8,54 +8,130 @@ the number of sales lines never changes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import AMOUNT, MONEY, RATE, is_online_country
 from basketlens.operators.joins import lookup_join
 from basketlens.sources.star import (
     CENT_COLUMNS,
-    PRODUCT_COLUMNS,
+    FACT_COLUMNS,
     Star,
     calendar,
     with_date_parts,
 )
 
+# Explicit schemas: opening a table needs no pass over file footers.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
 # Trading currencies with their units per US dollar at the start
 # of a year. The source has no rates, so they follow a formula of the date.
 CURRENCIES = {"USD": "1.0", "CAD": "1.25", "AUD": "1.35", "EUR": "0.85", "GBP": "0.72"}
 RATE_STEP = "0.0005"
 
-ORDER_COLUMNS = ["order_date", "customer_key", "currency_code"]
-MONEY_COLUMNS = [
-    "unit_price_usd", "unit_cost_usd", "revenue_usd", "cost_usd", "profit_usd",
-    *CENT_COLUMNS,
-]
-
-
-def currency_of_customer(customer_key: Column) -> Column:
-    codes = F.array(*[F.lit(c) for c in CURRENCIES])
-    return F.element_at(codes, (F.pmod(customer_key, F.lit(len(CURRENCIES))) + 1).cast("int"))
-
-
-def rate_on(currency: Column, day: Column) -> Column:
-    base = F.lit(None).cast(RATE)
-    for code, value in CURRENCIES.items():
-        base = F.when(currency == code, F.lit(value).cast(RATE)).otherwise(base)
-    drift = F.dayofyear(day).cast("decimal(5,0)") * F.lit(RATE_STEP).cast("decimal(6,4)")
-    moved = F.when(currency == "USD", base).otherwise((base + drift).cast(RATE))
-    return moved.cast(RATE)
-
-
-def _list_price() -> Column:
-    return F.col("p_retailprice").cast(MONEY)
-
+_CODES = "array({})".format(", ".join(f"'{c}'" for c in CURRENCIES))
+_BASE_RATE = "CASE currency {} END".format(
+    " ".join(f"WHEN '{c}' THEN CAST({v} AS DECIMAL(12,6))" for c, v in CURRENCIES.items())
+)
+_DRIFT = f"CAST(dayofyear(rate_date) AS DECIMAL(5,0)) * CAST({RATE_STEP} AS DECIMAL(6,4))"
+EXCHANGE = (
+    f"CAST({_BASE_RATE} + CASE WHEN currency = 'USD' THEN 0 ELSE {_DRIFT} END AS DECIMAL(12,6))"
+)
 
-def _list_cost() -> Column:
-    share = (F.lit(40) + F.pmod("p_size", F.lit(30))).cast("decimal(3,0)") * F.lit(
-        "0.01"
-    ).cast("decimal(3,2)")
-    return F.round(_list_price() * share.cast("decimal(4,2)"), 2).cast(MONEY)
+ORDER_COLUMNS = {
+    "order_date": "CAST(o_orderdate AS DATE)",
+    "customer_key": "o_custkey",
+    "currency_code": f"element_at({_CODES}, CAST(pmod(o_custkey, {len(CURRENCIES)}) + 1 AS INT))",
+}
+
+LINE_COLUMNS = {
+    "order_number": "l_orderkey",
+    "line_item": "CAST(l_linenumber AS BIGINT)",
+    "product_key": "l_partkey",
+    "store_key": "l_suppkey",
+    "quantity": "CAST(l_quantity AS INT)",
+    "is_delivered": "coalesce(l_linestatus = 'F', false)",
+    "delivery_date": "CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END",
+}
+
+_PRICE = "CAST(p_retailprice AS DECIMAL(10,2))"
+_COST_SHARE = "CAST((40 + pmod(p_size, 30)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(4,2))"
+_COST = f"CAST(round({_PRICE} * {_COST_SHARE}, 2) AS DECIMAL(10,2))"
+
+PART_COLUMNS = {
+    "product_name": "p_name",
+    "brand": "p_brand",
+    "color": "element_at(split(p_name, ' '), 1)",
+    "subcategory_key": "concat_ws('/', p_type, p_brand)",
+    "subcategory_name": "p_brand",
+    "category_key": "p_type",
+    "category_name": "p_type",
+    "unit_price_usd": _PRICE,
+    "unit_cost_usd": _COST,
+    "unit_price_cents": f"CAST({_PRICE} * 100 AS BIGINT)",
+    "unit_cost_cents": f"CAST({_COST} * 100 AS BIGINT)",
+}
+
+CUSTOMER_SOURCE = {
+    "customer_key": "c_custkey",
+    "gender": "CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END",
+    "name": "c_name",
+    "city": "CAST(NULL AS STRING)",
+    "state_code": "CAST(NULL AS STRING)",
+    "state": "c_mktsegment",
+    "zip_code": "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0')",
+    "country": "n_name",
+    "continent": "r_name",
+    "birthday": "date_add(DATE'1935-02-03', CAST(c_custkey * 37 % 24000 AS INT))",
+}
+
+_STORE_PLACE = "CASE WHEN s_suppkey % 5 = 0 THEN 'Online' ELSE n_name END"
+STORE_SOURCE = {
+    "store_key": "s_suppkey",
+    "country": _STORE_PLACE,
+    "state": _STORE_PLACE,
+    "square_meters": "CASE WHEN s_suppkey % 5 <> 0 THEN CAST(200 + s_suppkey % 1800 AS DOUBLE) END",
+    "open_date": "date_add(DATE'2005-03-04', CAST(s_suppkey * 53 % 5000 AS INT))",
+    "is_online": f"coalesce({_STORE_PLACE} = 'Online', false)",
+}
+
+# Amount -> unit amount per line, in whole cents.
+_UNIT_CENTS = {
+    "revenue": "unit_price_cents",
+    "cost": "unit_cost_cents",
+    "profit": "(unit_price_cents - unit_cost_cents)",
+}
+AMOUNT_COLUMNS = {
+    **{f"{n}_cents": f"quantity * {u}" for n, u in _UNIT_CENTS.items()},
+    **{
+        f"{n}_usd": f"CAST(CAST(quantity * {u} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2))"
+        for n, u in _UNIT_CENTS.items()
+    },
+}
+MONEY_COLUMNS = [*AMOUNT_COLUMNS, "unit_price_usd", "unit_cost_usd"]
+
+
+def _exprs(names, table: dict[str, str]) -> list[str]:
+    return [f"{table[n]} AS {n}" for n in names]
+
+
+def _prices_for(money: list[str]) -> list[str]:
+    """Price list columns that the given money columns are made of."""
+    texts = [AMOUNT_COLUMNS.get(m, m) for m in money]
+    units = ("unit_price_cents", "unit_cost_cents", "unit_price_usd", "unit_cost_usd")
+    return [u for u in units if any(u in t for t in texts)]
 
 
 class MappedStar(Star):
@@ -74,7 +150,7 @@ class MappedStar(Star):
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:
             path = f"{self._folder}/{name}.parquet"
-            self._sources[name] = self._spark.read.parquet(path)
+            self._sources[name] = self._spark.read.schema(SOURCE_SCHEMAS[name]).parquet(path)
         return self._sources[name]
 
     def table(self, name: str) -> DataFrame:
@@ -84,81 +160,44 @@ class MappedStar(Star):
 
     # -- dimensions ----------------------------------------------------------
 
-    def _products(self) -> DataFrame:
-        """Product master, one row per part, with all list columns."""
-        return self.source("part").select(
-            F.col("p_partkey").alias("product_key"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_brand").alias("brand"),
-            F.element_at(F.split("p_name", " "), 1).alias("color"),
-            F.concat_ws("/", "p_type", "p_brand").alias("subcategory_key"),
-            F.col("p_brand").alias("subcategory_name"),
-            F.col("p_type").alias("category_key"),
-            F.col("p_type").alias("category_name"),
-            _list_price().alias("unit_price_usd"),
-            _list_cost().alias("unit_cost_usd"),
+    def _products(self, *cols: str) -> DataFrame:
+        return self.source("part").selectExpr(
+            "p_partkey AS product_key", *_exprs(cols, PART_COLUMNS)
         )
 
     def _dim_product(self) -> DataFrame:
-        return self._products().select(
-            "product_key", "product_name", "brand", "color", "unit_cost_usd",
-            "unit_price_usd", "subcategory_key",
+        return self._products(
+            "product_name", "brand", "color", "unit_cost_usd", "unit_price_usd", "subcategory_key"
         )
 
     def _dim_subcategory(self) -> DataFrame:
-        return self._products().select(
-            "subcategory_key", "subcategory_name", "category_key"
-        ).distinct()
+        cols = ["subcategory_key", "subcategory_name", "category_key"]
+        return self.source("part").selectExpr(*_exprs(cols, PART_COLUMNS)).distinct()
 
     def _dim_category(self) -> DataFrame:
-        return self._products().select("category_key", "category_name").distinct()
-
-    def _nations(self) -> DataFrame:
-        nations = self.source("nation").select("n_nationkey", "n_name", "n_regionkey")
-        regions = self.source("region").select("r_regionkey", "r_name")
-        return lookup_join(
-            nations, regions.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left"
-        )
+        cols = ["category_key", "category_name"]
+        return self.source("part").selectExpr(*_exprs(cols, PART_COLUMNS)).distinct()
+
+    def _customers(self, cols: list[str]) -> DataFrame:
+        """Customer master with ``cols``; geography is read only if named."""
+        df = self.source("customer")
+        if {"country", "continent"} & set(cols):
+            nations = self.source("nation").selectExpr(
+                "n_nationkey AS c_nationkey", "n_name", "n_regionkey"
+            )
+            df = lookup_join(df, nations, "c_nationkey", "left")
+        if "continent" in cols:
+            regions = self.source("region").selectExpr("r_regionkey AS n_regionkey", "r_name")
+            df = lookup_join(df, regions, "n_regionkey", "left")
+        return df.selectExpr(*_exprs(cols, CUSTOMER_SOURCE))
 
     def _dim_customer(self) -> DataFrame:
-        nations = self._nations().withColumnRenamed("n_nationkey", "c_nationkey")
-        key = F.col("c_custkey")
-        gender = F.when(F.pmod(key, F.lit(2)) == 0, F.lit("Female")).otherwise(F.lit("Male"))
-        born = F.date_add(
-            F.lit("1935-02-03").cast("date"), F.pmod(key * 37, F.lit(24000)).cast("int")
-        )
-        none = F.lit(None).cast("string")
-        joined = lookup_join(self.source("customer"), nations, "c_nationkey", "left")
-        return joined.select(
-            key.alias("customer_key"),
-            gender.alias("gender"),
-            F.col("c_name").alias("name"),
-            none.alias("city"),
-            none.alias("state_code"),
-            F.col("c_mktsegment").alias("state"),
-            F.lpad(F.pmod(key, F.lit(100000)).cast("string"), 5, "0").alias("zip_code"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("continent"),
-            born.alias("birthday"),
-        )
+        return self._customers(list(CUSTOMER_SOURCE))
 
     def _dim_store(self) -> DataFrame:
-        nations = self._nations().select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-        key = F.col("s_suppkey")
-        online = F.pmod(key, F.lit(5)) == 0
+        nations = self.source("nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
         joined = lookup_join(self.source("supplier"), nations, "s_nationkey", "left")
-        stores = joined.select(
-            key.alias("store_key"),
-            F.when(online, F.lit("Online")).otherwise(F.col("n_name")).alias("country"),
-            F.when(online, F.lit("Online")).otherwise(F.col("n_name")).alias("state"),
-            F.when(~online, (F.lit(200) + F.pmod(key, F.lit(1800))).cast("double")).alias(
-                "square_meters"
-            ),
-            F.date_add(
-                F.lit("2005-03-04").cast("date"), F.pmod(key * 53, F.lit(5000)).cast("int")
-            ).alias("open_date"),
-        )
-        return stores.withColumn("is_online", is_online_country("country"))
+        return joined.selectExpr(*_exprs(STORE_SOURCE, STORE_SOURCE))
 
     def _dim_date(self) -> DataFrame:
         # Only dates of orders that have lines count.
@@ -168,87 +207,56 @@ class MappedStar(Star):
         return with_date_parts(span.select(*calendar(F.col("a"), F.col("b"))))
 
     def _exchange_rate(self) -> DataFrame:
-        codes = F.array(*[F.lit(c) for c in CURRENCIES])
-        return self.table("dim_date").select(
-            F.col("date_key").alias("rate_date"), F.explode(codes).alias("currency")
-        ).select(
-            "rate_date", "currency", rate_on(F.col("currency"), F.col("rate_date")).alias("exchange")
+        days = self.table("dim_date").selectExpr(
+            "date_key AS rate_date", f"explode({_CODES}) AS currency"
         )
+        return days.selectExpr("rate_date", "currency", f"{EXCHANGE} AS exchange")
 
     def _fact_sales(self) -> DataFrame:
-        return self.fact(
-            "order_number", "line_item", "order_date", "delivery_date", "is_delivered",
-            "customer_key", "store_key", "product_key", "quantity", "currency_code",
-            "unit_price_usd", "unit_cost_usd", "revenue_usd", "cost_usd", "profit_usd",
-        )
+        return self.fact(*FACT_COLUMNS)
 
     # -- views ---------------------------------------------------------------
 
     def product_flat(self, *cols: str) -> DataFrame:
         # Category and subcategory are attributes of the same row here.
-        return self._products().select("product_key", *cols)
+        return self._products(*cols)
 
     def _headers(self, cols: list[str]) -> DataFrame:
-        header = {
-            "order_date": F.col("o_orderdate").cast("date"),
-            "customer_key": F.col("o_custkey"),
-            "currency_code": currency_of_customer(F.col("o_custkey")),
-        }
-        return self.source("orders").select(
-            F.col("o_orderkey").alias("order_number"), *[header[c].alias(c) for c in cols]
+        return self.source("orders").selectExpr(
+            "o_orderkey AS order_number", *_exprs(cols, ORDER_COLUMNS)
         )
 
     def _fact_columns(self, cols: list[str], product_cols: list[str]) -> DataFrame:
         """Sales lines with ``cols``; order and product are read only if named."""
         money = [c for c in cols if c in MONEY_COLUMNS]
         header = [c for c in cols if c in ORDER_COLUMNS]
-        delivered = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
-        own = {
-            "order_number": F.col("l_orderkey"),
-            "line_item": F.col("l_linenumber").cast("bigint"),
-            "product_key": F.col("l_partkey"),
-            "store_key": F.col("l_suppkey"),
-            "quantity": F.col("l_quantity").cast("int"),
-            "is_delivered": delivered,
-            "delivery_date": F.when(delivered, F.col("l_shipdate").cast("date")),
-        }
-        need = [c for c in cols if c in own]
-        if money or product_cols:
-            need += ["product_key"]
-        if money:
-            need += ["quantity"]
-        if header:
-            need += ["order_number"]
-        need = list(dict.fromkeys(need))
-        df = self.source("lineitem").select(*[own[c].alias(c) for c in need])
+        need = [c for c in cols if c in LINE_COLUMNS]
+        need += ["product_key"] if money or product_cols else []
+        need += ["quantity"] if money else []
+        need += ["order_number"] if header else []
+        df = self.source("lineitem").selectExpr(*_exprs(dict.fromkeys(need), LINE_COLUMNS))
         if money or product_cols:
-            prices = [c for c in ("unit_price_usd", "unit_cost_usd") if _uses(c, money)]
-            how = "inner" if product_cols else "left"
-            df = lookup_join(df, self._price_list(prices, product_cols), "product_key", how)
-            for c in money:
-                if c not in prices:
-                    df = df.withColumn(c, _amount(c))
-            # Drop what only fed the amounts before any further shuffle.
-            keep = [c for c in df.columns if c in cols or c in product_cols or c == "order_number"]
-            df = df.select(*keep)
+            prices = self._products(*_prices_for(money), *product_cols)
+            df = lookup_join(df, prices, "product_key", "inner" if product_cols else "left")
+            # Amounts replace what only fed them before any further shuffle.
+            keep = dict.fromkeys([*need, *product_cols, *money])
+            df = df.selectExpr(
+                *[
+                    f"{AMOUNT_COLUMNS[c]} AS {c}" if c in AMOUNT_COLUMNS else c
+                    for c in keep
+                    if c in cols or c in product_cols or c == "order_number"
+                ]
+            )
         if header:
             # Large to large. A hot order is split by the adaptive skew join.
             df = df.join(self._headers(header), "order_number", "left")
         return df
 
-    def _price_list(self, prices: list[str], product_cols: list[str]) -> DataFrame:
-        parts = self._products().select("product_key", *prices, *product_cols)
-        for c in prices:
-            parts = parts.withColumn(c.replace("_usd", "_cents"), (F.col(c) * 100).cast("bigint"))
-        return parts
-
     def fact(self, *cols: str) -> DataFrame:
         return self._fact_columns(list(cols), []).select(*cols)
 
     def fact_with_product(self, fact_cols: list[str], product_cols: list[str]) -> DataFrame:
-        assert set(product_cols) <= set(PRODUCT_COLUMNS)
-        df = self._fact_columns(fact_cols, product_cols)
-        return df.select(*fact_cols, *product_cols)
+        return self._fact_columns(fact_cols, product_cols).select(*fact_cols, *product_cols)
 
     def _order_totals(self, keys: list[str], totals: list[str]) -> DataFrame:
         # Reduce the lines to their order first, then attach the header: the
@@ -263,15 +271,14 @@ class MappedStar(Star):
         # Amounts are quantity times a price that is fixed per product, so
         # units are summed first and priced once per product.
         amounts = [t for t in totals if t in CENT_COLUMNS]
-        base = [t for t in totals if t not in amounts]
         if not amounts:
-            return super().product_totals(*base)
+            return super().product_totals(*totals)
+        base = [t for t in totals if t not in amounts]
         units = super().product_totals(*dict.fromkeys([*base, "quantity"]))
-        prices = [c for c in ("unit_price_usd", "unit_cost_usd") if _uses(c, amounts)]
-        priced = units.join(self._price_list(prices, []), "product_key", "left")
-        return priced.select(
+        priced = units.join(self._products(*_prices_for(amounts)), "product_key", "left")
+        return priced.selectExpr(
             "product_key",
-            *[(_amount(t) if t in amounts else F.col(t)).alias(t) for t in totals],
+            *[f"{AMOUNT_COLUMNS[t]} AS {t}" if t in amounts else t for t in totals],
         )
 
     def last_order_date(self) -> DataFrame:
@@ -281,25 +288,3 @@ class MappedStar(Star):
         return self.product_totals("revenue_cents").agg(
             F.sum("revenue_cents").alias("total_cents")
         )
-
-
-def _uses(price: str, money: list[str]) -> bool:
-    feeds = {
-        "unit_price_usd": {
-            "unit_price_usd", "revenue_usd", "profit_usd", "revenue_cents", "profit_cents",
-        },
-        "unit_cost_usd": {
-            "unit_cost_usd", "cost_usd", "profit_usd", "cost_cents", "profit_cents",
-        },
-    }
-    return bool(feeds[price] & set(money))
-
-
-def _amount(name: str) -> Column:
-    q = F.col("quantity")
-    price, cost = F.col("unit_price_cents"), F.col("unit_cost_cents")
-    cents = {"revenue": q * price, "cost": q * cost, "profit": q * (price - cost)}
-    base, unit = name.rsplit("_", 1)
-    if unit == "cents":
-        return cents[base].cast("bigint")
-    return (cents[base].cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(AMOUNT)

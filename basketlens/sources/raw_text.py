@@ -6,95 +6,112 @@ as unpadded ``M/d/yyyy``, original column headers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame
 
 from basketlens.functions.scalars import RAW_DATE_FORMAT
 from basketlens.sources.mapped import MappedStar
 
 
-def _date_text(col: str) -> Column:
-    return F.date_format(col, RAW_DATE_FORMAT)
+def _date_text(col: str) -> str:
+    return f"date_format({col}, '{RAW_DATE_FORMAT}')"
 
 
-def _money_text(col: str) -> Column:
-    return F.concat(F.lit("$"), F.format_number(col, 2), F.lit(" "))
+def _money_text(col: str) -> str:
+    return f"concat('$', format_number({col}, 2), ' ')"
 
 
 def raw_sales(star: MappedStar) -> DataFrame:
     return star.fact(
         "order_number", "line_item", "order_date", "delivery_date", "customer_key",
         "store_key", "product_key", "quantity", "currency_code",
-    ).select(
-        F.col("order_number").alias("Order Number"),
-        F.col("line_item").alias("Line Item"),
-        _date_text("order_date").alias("Order Date"),
-        _date_text("delivery_date").alias("Delivery Date"),
-        F.col("customer_key").alias("CustomerKey"),
-        F.col("store_key").alias("StoreKey"),
-        F.col("product_key").alias("ProductKey"),
-        F.col("quantity").alias("Quantity"),
-        F.col("currency_code").alias("Currency Code"),
+    ).selectExpr(
+        "order_number AS `Order Number`",
+        "line_item AS `Line Item`",
+        f"{_date_text('order_date')} AS `Order Date`",
+        f"{_date_text('delivery_date')} AS `Delivery Date`",
+        "customer_key AS CustomerKey",
+        "store_key AS StoreKey",
+        "product_key AS ProductKey",
+        "quantity AS Quantity",
+        "currency_code AS `Currency Code`",
     )
 
 
 def raw_products(star: MappedStar) -> DataFrame:
-    flat = star.product_flat(
+    return star.product_flat(
         "product_name", "brand", "color", "unit_cost_usd", "unit_price_usd",
         "subcategory_key", "subcategory_name", "category_key", "category_name",
-    )
-    return flat.select(
-        F.col("product_key").alias("ProductKey"),
-        F.col("product_name").alias("Product Name"),
-        F.col("brand").alias("Brand"),
-        F.col("color").alias("Color"),
-        _money_text("unit_cost_usd").alias("Unit Cost USD"),
-        _money_text("unit_price_usd").alias("Unit Price USD"),
-        F.col("subcategory_key").alias("SubcategoryKey"),
-        F.col("subcategory_name").alias("Subcategory"),
-        F.col("category_key").alias("CategoryKey"),
-        F.col("category_name").alias("Category"),
+    ).selectExpr(
+        "product_key AS ProductKey",
+        "product_name AS `Product Name`",
+        "brand AS Brand",
+        "color AS Color",
+        f"{_money_text('unit_cost_usd')} AS `Unit Cost USD`",
+        f"{_money_text('unit_price_usd')} AS `Unit Price USD`",
+        "subcategory_key AS SubcategoryKey",
+        "subcategory_name AS Subcategory",
+        "category_key AS CategoryKey",
+        "category_name AS Category",
     )
 
 
 def raw_customers(star: MappedStar) -> DataFrame:
-    return star.table("dim_customer").select(
-        F.col("customer_key").alias("CustomerKey"),
-        F.col("gender").alias("Gender"),
-        F.col("name").alias("Name"),
-        F.col("city").alias("City"),
-        F.col("state_code").alias("State Code"),
-        F.col("state").alias("State"),
-        F.col("zip_code").alias("Zip Code"),
-        F.col("country").alias("Country"),
-        F.col("continent").alias("Continent"),
-        _date_text("birthday").alias("Birthday"),
+    return star.table("dim_customer").selectExpr(
+        "customer_key AS CustomerKey",
+        "gender AS Gender",
+        "name AS Name",
+        "city AS City",
+        "state_code AS `State Code`",
+        "state AS State",
+        "zip_code AS `Zip Code`",
+        "country AS Country",
+        "continent AS Continent",
+        f"{_date_text('birthday')} AS Birthday",
     )
 
 
 def raw_stores(star: MappedStar) -> DataFrame:
-    return star.table("dim_store").select(
-        F.col("store_key").alias("StoreKey"),
-        F.col("country").alias("Country"),
-        F.col("state").alias("State"),
-        F.col("square_meters").alias("Square Meters"),
-        _date_text("open_date").alias("Open Date"),
+    return star.table("dim_store").selectExpr(
+        "store_key AS StoreKey",
+        "country AS Country",
+        "state AS State",
+        "square_meters AS `Square Meters`",
+        f"{_date_text('open_date')} AS `Open Date`",
     )
 
 
 def raw_exchange_rates(star: MappedStar) -> DataFrame:
-    return star.table("exchange_rate").select(
-        _date_text("rate_date").alias("Date"),
-        F.col("currency").alias("Currency"),
-        F.col("exchange").cast("double").alias("Exchange"),
+    return star.table("exchange_rate").selectExpr(
+        f"{_date_text('rate_date')} AS Date",
+        "currency AS Currency",
+        "CAST(exchange AS DOUBLE) AS Exchange",
     )
 
 
-def raw_tables(star: MappedStar) -> dict[str, DataFrame]:
-    return {
-        "sales": raw_sales(star),
-        "customers": raw_customers(star),
-        "products": raw_products(star),
-        "stores": raw_stores(star),
-        "exchange_rates": raw_exchange_rates(star),
+class RawTables(Mapping[str, DataFrame]):
+    """The raw tables by name; each plan is built on first use."""
+
+    builders = {
+        "sales": raw_sales,
+        "customers": raw_customers,
+        "products": raw_products,
+        "stores": raw_stores,
+        "exchange_rates": raw_exchange_rates,
     }
+
+    def __init__(self, star: MappedStar):
+        self._star = star
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self.builders[name](self._star)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.builders)
+
+    def __len__(self) -> int:
+        return len(self.builders)

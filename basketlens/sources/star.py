@@ -10,13 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import (
-    channel_label,
-    month_index,
-    month_start,
-    to_cents,
-    year_month,
-)
 from basketlens.operators.joins import lookup_join
 
 TABLES = [
@@ -46,7 +39,8 @@ PRODUCT_COLUMNS = [
 STORE_COLUMNS = {
     "store_country": "country", "store_state": "state",
     "square_meters": "square_meters", "open_date": "open_date",
-    "is_online": "is_online", "channel": "channel",
+    "is_online": "is_online",
+    "channel": "CASE WHEN is_online THEN 'Online' ELSE 'In-Store' END",
 }
 CUSTOMER_COLUMNS = {
     "customer_name": "name", "customer_country": "country",
@@ -55,19 +49,22 @@ CUSTOMER_COLUMNS = {
 }
 
 
-def date_columns() -> dict[str, Column]:
-    """Attributes computed from ``order_date``; no calendar join is needed."""
-    d = F.col("order_date")
-    return {
-        "year": F.year(d),
-        "quarter": F.quarter(d),
-        "month": F.month(d),
-        "year_month": year_month(d),
-        "month_start": month_start(d),
-        "month_index": month_index(d),
-        "weekday": F.weekday(d),
-        "day_name": F.date_format(d, "EEEE"),
-    }
+# Attributes computed from ``order_date``; no calendar join is needed.
+DATE_COLUMNS = {
+    "year": "year(order_date)",
+    "quarter": "quarter(order_date)",
+    "month": "month(order_date)",
+    "year_month": "date_format(order_date, 'yyyy-MM')",
+    "month_start": "trunc(order_date, 'MM')",
+    # Months since year 0; differences of it are month differences.
+    "month_index": "year(order_date) * 12 + month(order_date) - 1",
+    "weekday": "weekday(order_date)",
+    "day_name": "date_format(order_date, 'EEEE')",
+}
+
+
+def _named(cols: tuple[str, ...] | list[str], exprs: dict[str, str]) -> list[str]:
+    return [f"{exprs[c]} AS {c}" if c in exprs else c for c in cols]
 
 
 def calendar(first: Column, last: Column) -> list[Column]:
@@ -76,18 +73,16 @@ def calendar(first: Column, last: Column) -> list[Column]:
 
 
 def with_date_parts(days: DataFrame) -> DataFrame:
-    d = F.col("date_key")
-    weekday = F.weekday(d)
-    return days.select(
+    return days.selectExpr(
         "date_key",
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.dayofmonth(d).alias("day"),
-        weekday.alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        (weekday >= 5).alias("is_weekend"),
+        "year(date_key) AS year",
+        "quarter(date_key) AS quarter",
+        "month(date_key) AS month",
+        "date_format(date_key, 'MMMM') AS month_name",
+        "day(date_key) AS day",
+        "weekday(date_key) AS day_of_week",
+        "date_format(date_key, 'EEEE') AS day_name",
+        "weekday(date_key) >= 5 AS is_weekend",
     )
 
 
@@ -124,21 +119,17 @@ class Star:
         return flat.select("product_key", *cols)
 
     def store_flat(self, *cols: str) -> DataFrame:
-        stores = self.table("dim_store").withColumn("channel", channel_label("is_online"))
-        return stores.select("store_key", *[F.col(STORE_COLUMNS[c]).alias(c) for c in cols])
+        return self.table("dim_store").selectExpr("store_key", *_named(cols, STORE_COLUMNS))
 
     def customer_flat(self, *cols: str) -> DataFrame:
-        return self.table("dim_customer").select(
-            "customer_key", *[F.col(CUSTOMER_COLUMNS[c]).alias(c) for c in cols]
+        return self.table("dim_customer").selectExpr(
+            "customer_key", *_named(cols, CUSTOMER_COLUMNS)
         )
 
     def fact(self, *cols: str) -> DataFrame:
         """Fact columns, with the ``*_cents`` amounts available by name."""
-        picked = [
-            to_cents(CENT_COLUMNS[c]).alias(c) if c in CENT_COLUMNS else F.col(c)
-            for c in cols
-        ]
-        return self.table("fact_sales").select(*picked)
+        cents = {c: f"CAST({usd} * 100 AS BIGINT)" for c, usd in CENT_COLUMNS.items()}
+        return self.table("fact_sales").selectExpr(*_named(cols, cents))
 
     def fact_with_product(self, fact_cols: list[str], product_cols: list[str]) -> DataFrame:
         facts = self.fact(*dict.fromkeys([*fact_cols, "product_key"]))
@@ -150,11 +141,10 @@ class Star:
         Dimension joins are inner: a line without its dimension row is left
         out, as in a report that names the dimension.
         """
-        dates = date_columns()
         product_cols = [c for c in cols if c in PRODUCT_COLUMNS]
         store_cols = [c for c in cols if c in STORE_COLUMNS]
         customer_cols = [c for c in cols if c in CUSTOMER_COLUMNS]
-        date_cols = [c for c in cols if c in dates]
+        date_cols = [c for c in cols if c in DATE_COLUMNS]
         fact_cols = [c for c in cols if c in FACT_COLUMNS or c in CENT_COLUMNS]
         unknown = set(cols) - {
             *product_cols, *store_cols, *customer_cols, *date_cols, *fact_cols
@@ -176,7 +166,7 @@ class Star:
             df = lookup_join(df, self.store_flat(*store_cols), "store_key")
         if customer_cols:
             df = lookup_join(df, self.customer_flat(*customer_cols), "customer_key")
-        return df.select(*[dates[c].alias(c) if c in dates else F.col(c) for c in cols])
+        return df.selectExpr(*_named(cols, DATE_COLUMNS))
 
     def orders(self, *cols: str) -> DataFrame:
         """Fact pre-aggregated to the order.
@@ -186,18 +176,17 @@ class Star:
         ``quantity`` and ``n_lines``. Rows are distinct in the attributes, so
         every later distinct count or sum is the same as over the lines.
         """
-        dates = date_columns()
         customer_cols = [c for c in cols if c in CUSTOMER_COLUMNS]
         keys = {"order_number"}
         if customer_cols or "customer_key" in cols:
             keys.add("customer_key")
-        if "order_date" in cols or set(cols) & set(dates):
+        if "order_date" in cols or set(cols) & set(DATE_COLUMNS):
             keys.add("order_date")
         totals = [c for c in ("revenue_cents", "quantity", "n_lines") if c in cols]
         df = self._order_totals(sorted(keys), totals)
         if customer_cols:
             df = lookup_join(df, self.customer_flat(*customer_cols), "customer_key")
-        return df.select(*[dates[c].alias(c) if c in dates else F.col(c) for c in cols])
+        return df.selectExpr(*_named(cols, DATE_COLUMNS))
 
     def _order_totals(self, keys: list[str], totals: list[str]) -> DataFrame:
         facts = self.fact(*keys, *[t for t in totals if t != "n_lines"])
@@ -214,16 +203,17 @@ class Star:
         """One row per purchasing customer: ``orders``, ``revenue_cents``,
         ``first_date``, ``last_date`` as requested."""
         needs = {
-            "orders": ("order_number", F.count_distinct("order_number")),
-            "revenue_cents": ("revenue_cents", F.sum("revenue_cents")),
-            "first_date": ("order_date", F.min("order_date")),
-            "last_date": ("order_date", F.max("order_date")),
+            "orders": ("order_number", F.count_distinct),
+            "revenue_cents": ("revenue_cents", F.sum),
+            "first_date": ("order_date", F.min),
+            "last_date": ("order_date", F.max),
         }
         sources = dict.fromkeys(needs[c][0] for c in cols)
         orders = self.orders("customer_key", *sources)
         if not cols:
             return orders.distinct()
-        return orders.groupBy("customer_key").agg(*[needs[c][1].alias(c) for c in cols])
+        totals = [fn(source).alias(c) for c, (source, fn) in needs.items() if c in cols]
+        return orders.groupBy("customer_key").agg(*totals)
 
     def last_order_date(self) -> DataFrame:
         """One row, one column: the latest order date."""
