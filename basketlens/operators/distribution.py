@@ -172,6 +172,7 @@ class Distribution:
         return joined.groupBy(*self.by, *names).agg(
             F.min(F.when(~low, v)).alias("whisker_low"),
             F.max(F.when(~high, v)).alias("whisker_high"),
+            F.max(v).alias("max"),
             F.sum(n).alias("count"),
             F.sum(v * n).alias("sum"),
             F.sum(F.when(high, n).otherwise(0)).alias("high_count"),

@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is sent to every executor only below this estimated size.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Above it, keys with more fact rows than this are spread over several tasks.
 HOT_ROWS = 5_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled by the columns)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    """Upper estimate of a lookup table's size from Catalyst's statistics.
+
+    Without column statistics Catalyst multiplies the sizes of joined tables.
+    A lookup table joined only to its own lookups cannot outgrow what it
+    reads, so the sum over the scans bounds it more closely.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(int(str(plan.stats().sizeInBytes())), scanned)
 
 
 def lookup_join(

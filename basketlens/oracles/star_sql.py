@@ -114,7 +114,7 @@ def dbl(expr: str) -> str:
 
 def rnd(expr: str, digits: int = 2) -> str:
     """Round halves away from zero on the decimal value of a double."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
 
 
 def pct(num: str, den: str) -> str:

@@ -8,9 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import parse_money, parse_raw_date
+from basketlens.oracles.analytics_sql import (
+    cohort_oracles,
+    eda_oracles,
+    measure_oracles,
+    rfm_oracles,
+)
 from basketlens.oracles.sales_sql import customer_oracles, sales_oracles
 from basketlens.oracles.tables_sql import cleaning_oracles, profile_oracles, quality_oracles
-from basketlens.plans import cleaning, customers, profiling, quality, sales
+from basketlens.plans import (
+    cleaning,
+    cohorts,
+    customers,
+    dashboard,
+    eda,
+    measures,
+    profiling,
+    quality,
+    rfm,
+    sales,
+)
 from basketlens.sources import raw_text
 from basketlens.sources.mapped import MappedStar
 from basketlens.sources.star import fixed_calendar
@@ -48,6 +65,27 @@ CHECKS = [
     quality.slice_reconciliation, quality.clean_suite,
 ]
 
+EDA = [
+    eda.eda_order_revenue_stats, eda.eda_order_outliers, eda.eda_lines_per_order,
+    eda.eda_lines_per_order_dist, eda.eda_customer_spend_stats, eda.eda_product_qty_revenue,
+    eda.eda_product_qty_revenue_corr, eda.eda_monthly_range, eda.eda_seasonality,
+    eda.eda_weekday_revenue, eda.eda_category_line_box, eda.eda_country_revenue,
+    eda.eda_customer_age, eda.eda_line_outliers, eda.eda_hist_order_revenue,
+    eda.eda_hist_customer_spend, eda.eda_hist_age, eda.eda_order_box,
+]
+GRID_PLANS = [
+    cohorts.cohort_retention_pct, cohorts.cohort_matrix, cohorts.cohort_pct_matrix,
+    cohorts.cohort_avg_retention, cohorts.cohort_curve, cohorts.cohort_month1,
+    cohorts.cohort_month1_stats, cohorts.cohort_month1_trend, cohorts.cohort_size_range,
+    cohorts.cohort_month1_large, cohorts.cohort_zoom_12,
+]
+DASHBOARD = [
+    dashboard.weekday_channel_orders, dashboard.product_margin_tiers,
+    dashboard.bottom_half_revenue_share, dashboard.top_customer_share,
+    dashboard.new_vs_returning_by_year, dashboard.drill_category, dashboard.drill_date,
+    dashboard.trend_tooltip,
+]
+
 StarPlan = Callable[[MappedStar], DataFrame]
 
 
@@ -146,11 +184,74 @@ def _on_raw(plan: Callable[[Mapping[str, DataFrame]], DataFrame]) -> StarPlan:
     return lambda s: plan(raw_text.RawTables(s))
 
 
+# -- segments, cohorts, measures -------------------------------------------------
+
+RFM: dict[str, StarPlan] = {
+    "rfm_base": rfm.rfm_base,
+    "rfm_scores": lambda s: rfm.rfm_scores(rfm.rfm_base(s)),
+    "rfm_segments": rfm.rfm_segments,
+    "rfm_segment_summary": lambda s: rfm.segment_summary(rfm.rfm_segments(s)),
+    "rfm_segment_last_order_year": lambda s: rfm.segment_last_order_year(rfm.rfm_segments(s)),
+    "segment_filtered": lambda s: rfm.segment_filtered(rfm.rfm_segments(s)),
+    "dashboard_implicit_totals": lambda s: dashboard.implicit_totals(s, rfm.rfm_base(s)),
+}
+
+
+def _grid(star: MappedStar) -> DataFrame:
+    return cohorts.cohort_grid(cohorts.cohort_active(star))
+
+
+def _on_grid(plan: Callable[[DataFrame], DataFrame]) -> StarPlan:
+    return lambda s: plan(_grid(s))
+
+
+COHORTS: dict[str, StarPlan] = {
+    "cohort_assign": cohorts.cohort_assign,
+    "cohort_active": lambda s: cohorts.cohort_active(s).select(
+        cohorts.month_of_index("cohort").alias("cohort_month"), "period_number", "active"
+    ),
+    "cohort_grid": lambda s: _grid(s).drop("cohort"),
+    **{p.__name__: _on_grid(p) for p in GRID_PLANS},
+    "m_month1_retention": _on_grid(cohorts.month1_retention),
+}
+
+
+def _measure(names: list[str], dims: list[str]) -> StarPlan:
+    return lambda s: measures.measures_by(s, names, dims)
+
+
+MEASURES: dict[str, StarPlan] = {
+    "m_total_revenue": _measure(["total_revenue"], ["year", "category_name"]),
+    "m_total_orders": _measure(["total_orders"], ["year", "channel"]),
+    "m_total_customers": _measure(["total_customers"], ["customer_country"]),
+    "m_units_sold": _measure(["units_sold"], ["year", "quarter", "category_name"]),
+    "m_average_order_value": _measure(
+        ["average_order_value", "median_order_value"], ["year", "channel"]
+    ),
+    "m_revenue_per_customer": _measure(["revenue_per_customer"], ["continent"]),
+    "m_historical_clv": _measure(["historical_clv"], ["customer_state"]),
+    "m_revenue_yoy": _measure(["revenue_yoy_growth_pct"], ["year", "month"]),
+    "m_repeat_customers": _measure(
+        ["repeat_customers", "repeat_customers_in_context"], ["year"]
+    ),
+    "m_repeat_purchase_rate": _measure(["repeat_purchase_rate_pct"], ["customer_country"]),
+    "m_new_customers": _measure(["new_customers"], ["year", "customer_country"]),
+    "sliced_kpis": lambda s: dashboard.sliced_kpis(
+        s,
+        ["year", "channel"],
+        {"category_name": ["ECONOMY", "PROMO"], "continent": "EUROPE"},
+    ),
+}
+
 PLANS: dict[str, StarPlan] = {
     **{p.__name__: p for p in [*SALES, *CUSTOMERS]},
     **CLEANING,
     **QUALITY,
     **{p.__name__: _on_raw(p) for p in PROFILES},
+    **RFM,
+    **COHORTS,
+    **{p.__name__: p for p in [*EDA, *DASHBOARD]},
+    **MEASURES,
 }
 
 
@@ -165,4 +266,8 @@ def check_sql() -> dict[str, str]:
         **cleaning_oracles(),
         **quality_oracles(),
         **profile_oracles(),
+        **rfm_oracles(),
+        **cohort_oracles(),
+        **eda_oracles(),
+        **measure_oracles(),
     }
