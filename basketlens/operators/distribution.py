@@ -16,6 +16,12 @@ CUTS = 63
 CUT_ACCURACY = 4000
 
 
+def approx_cuts(value: str, n: int) -> str:
+    """SQL for ``n`` approximate quantiles cutting a column into n + 1 parts."""
+    points = ", ".join(f"{i / (n + 1)}D" for i in range(1, n + 1))
+    return f"percentile_approx({value}, array({points}), {CUT_ACCURACY})"
+
+
 class Distribution:
     """Value counts ``(by..., v, n)`` of an integer column, nulls left out."""
 
@@ -80,23 +86,17 @@ class Distribution:
         so positions are computed in integers. The output also carries
         ``<name>_low``, the order statistic at or below the position.
         """
-        cut_list = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
         cuts = self.counts.groupBy(*self.by).agg(
-            F.struct(
-                F.array_distinct(F.percentile_approx("v", cut_list, CUT_ACCURACY)).alias("c"),
-                F.sum("n").alias("total"),
+            F.expr(
+                f"struct(array_distinct({approx_cuts('v', CUTS)}) AS c, sum(n) AS total)"
             ).alias("_cuts")
         )
         if self.by:
             ranged = self.counts.join(cuts, self.by)
         else:
             ranged = self.counts.withColumn("_cuts", cuts.scalar())
-        ranged = ranged.select(
-            *self.by,
-            "v",
-            "n",
-            F.col("_cuts.total").alias("_total"),
-            F.expr("size(filter(_cuts.c, c -> c < v))").alias("_range"),
+        ranged = ranged.selectExpr(
+            *self.by, "v", "n", "_cuts.total AS _total", "size(filter(_cuts.c, c -> c < v)) AS _range"
         )
         # One row per range; a group has at most CUTS + 1 of them.
         upto = Window.partitionBy(*self.by).orderBy("_range").rowsBetween(
@@ -107,13 +107,20 @@ class Distribution:
             .agg(F.sum("n").alias("_size"))
             .withColumn("_start", F.coalesce(F.sum("_size").over(upto), F.lit(0)))
         )
-        wanted = self._positions(probs)
-        start, end = F.col("_start"), F.col("_start") + F.col("_size")
-        hit = F.lit(False)
-        for low, high, _ in wanted.values():
-            hit = hit | ((low >= start) & (low < end)) | ((high >= start) & (high < end))
+        # Position (0-based, in integers) at or below the quantile, and the
+        # next one if the quantile falls between two.
+        low = {q: f"((_total - 1) * {num} DIV {den})" for q, (num, den) in probs.items()}
+        rest = {q: f"((_total - 1) * {num} % {den})" for q, (num, den) in probs.items()}
+        high = {q: f"({low[q]} + if({rest[q]} > 0, 1, 0))" for q in probs}
+        hits = [
+            f"{p} >= _start AND {p} < _start + _size" for p in [*low.values(), *high.values()]
+        ]
         # Only ranges that hold a wanted position are sorted.
-        kept = ranges.where(hit).select(*self.by, "_range", "_start")
+        kept = ranges.where(" OR ".join(hits)).select(*self.by, "_range", "_start")
+        if not self.by:
+            # At most two ranges per quantile, so other rows drop out before
+            # the shuffle. With groups the size is for the optimizer to judge.
+            kept = F.broadcast(kept)
         inside = (
             Window.partitionBy(*self.by, "_range")
             .orderBy("v")
@@ -123,27 +130,16 @@ class Distribution:
             "_end", F.col("_start") + F.sum("n").over(inside)
         )
         bounds = []
-        for name, (low, high, _) in wanted.items():
-            bounds.append(F.min(F.when(F.col("_end") > low, F.col("v"))).alias(f"{name}_low"))
-            bounds.append(F.min(F.when(F.col("_end") > high, F.col("v"))).alias(f"_{name}_high"))
+        for q in probs:
+            bounds.append(F.expr(f"min(if(_end > {low[q]}, v, NULL)) AS {q}_low"))
+            bounds.append(F.expr(f"min(if(_end > {high[q]}, v, NULL)) AS _{q}_high"))
         found = placed.groupBy(*self.by, "_total").agg(*bounds)
-        out = [F.col("_total").alias("count")]
-        for name, (_, _, fraction) in wanted.items():
-            low, high = F.col(f"{name}_low"), F.col(f"_{name}_high")
-            out.append((low + (high - low) * fraction).cast("double").alias(name))
-            out.append(low)
-        return found.select(*self.by, *out)
-
-    @staticmethod
-    def _positions(probs: dict[str, tuple[int, int]]) -> dict:
-        wanted = {}
-        for name, (num, den) in probs.items():
-            scaled = (F.col("_total") - 1) * F.lit(num).cast("bigint")
-            low = F.floor(scaled / F.lit(den))
-            rest = scaled % F.lit(den)
-            high = low + F.when(rest > 0, F.lit(1)).otherwise(F.lit(0))
-            wanted[name] = (low, high, rest.cast("double") / F.lit(float(den)))
-        return wanted
+        out = []
+        for q, (_, den) in probs.items():
+            step = f"({rest[q]} / CAST({den} AS DOUBLE))"
+            out.append(f"CAST({q}_low + (_{q}_high - {q}_low) * {step} AS DOUBLE) AS {q}")
+            out.append(f"{q}_low")
+        return found.selectExpr(*self.by, "_total AS count", *out)
 
     # -- shapes --------------------------------------------------------------
 

@@ -11,24 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlens.operators.distribution import approx_cuts
+
 VALUE_CUTS = 255
 KEY_CUTS = 63
-CUT_ACCURACY = 4000
-
 
-def _cut_points(n: int) -> list[float]:
-    return [i / (n + 1) for i in range(1, n + 1)]
-
-
-def _range_id(value: Column, key: Column, cuts: Column) -> Column:
-    """Struct of range numbers whose order agrees with (value, key)."""
-    values, keys = cuts["v"], cuts["k"]
-    on_cut = F.coalesce(F.array_contains(values, value), F.lit(False))
-    return F.struct(
-        F.size(F.filter(values, lambda c: c < value)).alias("a"),
-        on_cut.alias("b"),
-        F.when(on_cut, F.size(F.filter(keys, lambda c: c < key))).otherwise(F.lit(0)).alias("c"),
-    )
+# Range numbers whose order agrees with (value, key). A value equal to a cut
+# gets ranges of its own, numbered along the key.
+_RANGE = """struct(
+  size(filter(_cuts.v, c -> c < {value})) AS a,
+  coalesce(array_contains(_cuts.v, {value}), false) AS b,
+  if(coalesce(array_contains(_cuts.v, {value}), false),
+     size(filter(_cuts.k, c -> c < {key})), 0) AS c)"""
 
 
 def global_row_number(
@@ -46,18 +40,14 @@ def global_row_number(
     order pass a negated value.
     """
     cuts = df.agg(
-        F.struct(
-            F.array_distinct(
-                F.percentile_approx(value, _cut_points(value_cuts), CUT_ACCURACY)
-            ).alias("v"),
-            F.array_distinct(
-                F.percentile_approx(key, _cut_points(key_cuts), CUT_ACCURACY)
-            ).alias("k"),
+        F.expr(
+            f"struct(array_distinct({approx_cuts(value, value_cuts)}) AS v, "
+            f"array_distinct({approx_cuts(key, key_cuts)}) AS k)"
         ).alias("cuts")
     )
     ranged = (
         df.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", _range_id(F.col(value), F.col(key), F.col("_cuts")))
+        .withColumn("_range", F.expr(_RANGE.format(value=value, key=key)))
         .drop("_cuts")
     )
     # At most value_cuts * (key_cuts + 2) + 1 ranges, so one task can add up.
@@ -80,28 +70,25 @@ def global_row_number(
     )
 
 
-def ntile_of(index: Column, total: Column, tiles: int) -> Column:
+_NTILE = """1 + if({i} < {n} % {t} * ({n} DIV {t} + 1),
+  {i} DIV ({n} DIV {t} + 1),
+  {n} % {t} + ({i} - {n} % {t} * ({n} DIV {t} + 1)) DIV greatest({n} DIV {t}, 1))"""
+
+
+def ntile_of(index: str, total: str, tiles: int) -> Column:
     """NTILE number of a 0-based position: the first tiles get one row more."""
-    small = F.floor(total / F.lit(tiles))
-    rest = total % tiles
-    wide = rest * (small + 1)
-    in_wide = F.floor(index / (small + 1))
-    in_small = rest + F.floor((index - wide) / F.greatest(small, F.lit(1)))
-    return (F.when(index < wide, in_wide).otherwise(in_small) + 1).cast("int")
+    return F.expr(_NTILE.format(i=index, n=total, t=tiles)).cast("int")
 
 
-def equal_groups(index: Column, total: Column, groups: int) -> Column:
+def equal_groups(index: str, total: str, groups: int) -> Column:
     """Quantile group (1..groups) of a unique 0-based rank.
 
     Right-closed bins with linearly interpolated edges over the ranks, in
     integers only. It is not NTILE: the two differ when ``total`` is no
     multiple of ``groups``.
     """
-    above = [
-        F.when(index * groups > (total - 1) * k, F.lit(1)).otherwise(F.lit(0))
-        for k in range(1, groups)
-    ]
-    return sum(above, F.lit(1)).cast("int")
+    above = [f"if({index} * {groups} > ({total} - 1) * {k}, 1, 0)" for k in range(1, groups)]
+    return F.expr(f"1 + {' + '.join(above)}").cast("int")
 
 
 def top_k(

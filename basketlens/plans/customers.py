@@ -103,7 +103,7 @@ def customer_deciles(star: Star, tiles: int = 10) -> DataFrame:
     return ranked.select(
         "customer_key",
         "revenue_cents",
-        ntile_of(F.col("row_index"), F.col("row_total"), tiles).alias("decile"),
+        ntile_of("row_index", "row_total", tiles).alias("decile"),
     )
 
 

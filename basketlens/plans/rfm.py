@@ -98,7 +98,7 @@ def rfm_scores(base: DataFrame) -> DataFrame:
     scored = ranked.select(
         *base.columns,
         (F.lit(GROUPS + 1) - bin_number("recency_days", "_r_bounds")).alias("r_score"),
-        equal_groups(F.col("row_index"), F.col("row_total"), GROUPS).alias("f_score"),
+        equal_groups("row_index", "row_total", GROUPS).alias("f_score"),
         bin_number("monetary_cents", "_m_bounds").alias("m_score"),
     )
     blend = half_even((F.col("f_score") + F.col("m_score")) / F.lit(2.0))
