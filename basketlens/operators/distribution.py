@@ -12,14 +12,34 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import ratio
 
+# Cuts per distribution; looked up in two steps of the square root each.
 CUTS = 63
+CUT_STEP = 8
 CUT_ACCURACY = 4000
+# Parts a group is spread over while per-group values are attached to it.
+GROUP_PARTS = 64
 
 
 def approx_cuts(value: str, n: int) -> str:
     """SQL for ``n`` approximate quantiles cutting a column into n + 1 parts."""
     points = ", ".join(f"{i / (n + 1)}D" for i in range(1, n + 1))
-    return f"percentile_approx({value}, array({points}), {CUT_ACCURACY})"
+    return f"array_distinct(percentile_approx({value}, array({points}), {CUT_ACCURACY}))"
+
+
+def coarse_cuts(cuts: str, step: int) -> str:
+    """SQL for every ``step``-th element of a sorted array."""
+    return f"filter({cuts}, (c, i) -> (i + 1) % {step} = 0)"
+
+
+def cuts_below(cuts: str, coarse: str, step: int, value: str) -> str:
+    """SQL counting the elements of a sorted array below a value.
+
+    First over the coarse array, then over the one slice that is left, so a
+    row costs about two square roots of the array length. Never null.
+    """
+    skipped = f"{step} * size(filter({coarse}, c -> c < {value}))"
+    rest = f"size(filter(slice({cuts}, {skipped} + 1, {step}), c -> c < {value}))"
+    return f"coalesce({skipped} + {rest}, 0)"
 
 
 class Distribution:
@@ -35,6 +55,22 @@ class Distribution:
             .agg(F.count(F.lit(1)).alias("n"))
         )
 
+    def _attach(self, per_group: DataFrame) -> DataFrame:
+        """The counts with the columns of a one-row-per-group frame.
+
+        Without groups that row is a scalar. With groups the few rows are
+        repeated so that a group holding much of the data is spread out.
+        """
+        extra = [c for c in per_group.columns if c not in self.by]
+        if not self.by:
+            packed = per_group.select(F.struct(*extra).alias("_s"))
+            return self.counts.withColumn("_s", packed.scalar()).select("v", "n", "_s.*")
+        spread = self.counts.withColumn("_part", F.pmod(F.hash("v"), F.lit(GROUP_PARTS)))
+        repeated = per_group.withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1)))
+        )
+        return spread.join(repeated, [*self.by, "_part"]).drop("_part")
+
     # -- moments -------------------------------------------------------------
 
     def moments(self) -> DataFrame:
@@ -44,16 +80,9 @@ class Distribution:
         values do not cancel.
         """
         basic = self.counts.groupBy(*self.by).agg(
-            F.sum("n").alias("count"),
-            F.sum(F.col("v") * F.col("n")).alias("sum"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
+            ratio(F.sum(F.col("v") * F.col("n")), F.sum("n")).alias("mean")
         )
-        basic = basic.withColumn("mean", ratio("sum", "count"))
-        if self.by:
-            centred = self.counts.join(basic.select(*self.by, "mean"), self.by)
-        else:
-            centred = self.counts.withColumn("mean", basic.select("mean").scalar())
+        centred = self._attach(basic)
         d = F.col("v") - F.col("mean")
         n = F.col("n").cast("double")
         powers = centred.groupBy(*self.by).agg(
@@ -86,17 +115,13 @@ class Distribution:
         so positions are computed in integers. The output also carries
         ``<name>_low``, the order statistic at or below the position.
         """
-        cuts = self.counts.groupBy(*self.by).agg(
-            F.expr(
-                f"struct(array_distinct({approx_cuts('v', CUTS)}) AS c, sum(n) AS total)"
-            ).alias("_cuts")
+        cuts = (
+            self.counts.groupBy(*self.by)
+            .agg(F.expr(approx_cuts("v", CUTS)).alias("_c"), F.sum("n").alias("_total"))
+            .selectExpr(*self.by, "_c", f"{coarse_cuts('_c', CUT_STEP)} AS _d", "_total")
         )
-        if self.by:
-            ranged = self.counts.join(cuts, self.by)
-        else:
-            ranged = self.counts.withColumn("_cuts", cuts.scalar())
-        ranged = ranged.selectExpr(
-            *self.by, "v", "n", "_cuts.total AS _total", "size(filter(_cuts.c, c -> c < v)) AS _range"
+        ranged = self._attach(cuts).selectExpr(
+            *self.by, "v", "n", "_total", f"{cuts_below('_c', '_d', CUT_STEP, 'v')} AS _range"
         )
         # One row per range; a group has at most CUTS + 1 of them.
         upto = Window.partitionBy(*self.by).orderBy("_range").rowsBetween(
@@ -157,11 +182,7 @@ class Distribution:
             "upper_fence", F.col("q3") + 1.5 * iqr
         )
         names = ["q1", "median", "q3", "lower_fence", "upper_fence"]
-        if self.by:
-            joined = self.counts.join(fenced, self.by)
-        else:
-            packed = fenced.select(F.struct(*names).alias("_f"))
-            joined = self.counts.withColumn("_f", packed.scalar()).select("v", "n", "_f.*")
+        joined = self._attach(fenced)
         v, n = F.col("v"), F.col("n")
         high = v > F.col("upper_fence")
         low = v < F.col("lower_fence")

@@ -11,18 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.operators.distribution import approx_cuts
+from basketlens.operators.distribution import approx_cuts, coarse_cuts, cuts_below
 
 VALUE_CUTS = 255
 KEY_CUTS = 63
+CUT_STEP = 16
 
 # Range numbers whose order agrees with (value, key). A value equal to a cut
 # gets ranges of its own, numbered along the key.
 _RANGE = """struct(
-  size(filter(_cuts.v, c -> c < {value})) AS a,
-  coalesce(array_contains(_cuts.v, {value}), false) AS b,
-  if(coalesce(array_contains(_cuts.v, {value}), false),
-     size(filter(_cuts.k, c -> c < {key})), 0) AS c)"""
+  {below_value} AS a,
+  coalesce(array_contains(_cuts._v, {value}), false) AS b,
+  if(coalesce(array_contains(_cuts._v, {value}), false), {below_key}, 0) AS c)"""
 
 
 def global_row_number(
@@ -40,14 +40,20 @@ def global_row_number(
     order pass a negated value.
     """
     cuts = df.agg(
-        F.expr(
-            f"struct(array_distinct({approx_cuts(value, value_cuts)}) AS v, "
-            f"array_distinct({approx_cuts(key, key_cuts)}) AS k)"
-        ).alias("cuts")
+        F.expr(approx_cuts(value, value_cuts)).alias("_v"),
+        F.expr(approx_cuts(key, key_cuts)).alias("_k"),
+    ).selectExpr(
+        f"struct(_v, {coarse_cuts('_v', CUT_STEP)} AS _vd, "
+        f"_k, {coarse_cuts('_k', CUT_STEP)} AS _kd) AS cuts"
+    )
+    range_id = _RANGE.format(
+        value=value,
+        below_value=cuts_below("_cuts._v", "_cuts._vd", CUT_STEP, value),
+        below_key=cuts_below("_cuts._k", "_cuts._kd", CUT_STEP, key),
     )
     ranged = (
         df.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", F.expr(_RANGE.format(value=value, key=key)))
+        .withColumn("_range", F.expr(range_id))
         .drop("_cuts")
     )
     # At most value_cuts * (key_cuts + 2) + 1 ranges, so one task can add up.
