@@ -57,11 +57,27 @@ def percent(num: Column | str, den: Column | str) -> Column:
     return ratio(F.lit(100.0) * _c(num).cast("double"), den)
 
 
+# Two-decimal results round halves away from zero. They are rounded as whole
+# hundredths: a tie is then exactly x.5, which a double can hold.
+
+
 def round2(col: Column | str) -> Column:
-    """Two decimals, halves away from zero."""
     return F.round(_c(col), 2)
 
 
+def ratio2(num: Column | str, den: Column | str) -> Column:
+    return F.round(ratio(F.lit(100.0) * _c(num).cast("double"), den), 0) / F.lit(100.0)
+
+
+def percent2(num: Column | str, den: Column | str) -> Column:
+    return F.round(ratio(F.lit(10000.0) * _c(num).cast("double"), den), 0) / F.lit(100.0)
+
+
+def usd_per(cents: Column | str, count: Column | str) -> Column:
+    """Dollars per unit of ``count``."""
+    return F.round(ratio(cents, count), 0) / F.lit(100.0)
+
+
 def half_even(col: Column | str, digits: int = 0) -> Column:
     """Round halves to the even neighbour."""
     return F.bround(_c(col), digits)

@@ -9,12 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import (
-    half_even,
-    month_index,
-    month_of_index,
-    percent,
-)
+from basketlens.functions.scalars import half_even, month_index, month_of_index, percent
 from basketlens.operators.distribution import guarded_corr
 from basketlens.operators.joins import lookup_join
 from basketlens.sources.star import Star

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from basketlens.functions.scalars import (
     customer_type_label,
     lifespan_label,
-    percent,
-    ratio,
-    round2,
+    percent2,
+    ratio2,
     usd,
+    usd_per,
     year_completeness_label,
 )
 from basketlens.operators.ranking import global_row_number, ntile_of, top_k
@@ -20,11 +20,11 @@ from basketlens.sources.star import Star
 
 def _share_within(col: str) -> Column:
     """Percent of the sum over the (few) result rows."""
-    return round2(percent(col, F.sum(col).over(Window.partitionBy())))
+    return percent2(col, F.sum(col).over(Window.partitionBy()))
 
 
 def _share_of_revenue(star: Star, cents: str) -> Column:
-    return round2(percent(cents, star.revenue_total().scalar()))
+    return percent2(cents, star.revenue_total().scalar())
 
 
 def customers_with_zero_orders(star: Star) -> DataFrame:
@@ -36,7 +36,7 @@ def customers_with_zero_orders(star: Star) -> DataFrame:
         F.col("registered").alias("total_customers_in_master_data"),
         F.col("buyers").alias("customers_with_at_least_one_order"),
         never.alias("customers_never_ordered"),
-        round2(percent(never, "registered")).alias("pct_never_ordered"),
+        percent2(never, "registered").alias("pct_never_ordered"),
     )
 
 
@@ -66,7 +66,7 @@ def revenue_contribution_repeat_vs_onetime(star: Star) -> DataFrame:
         "num_customers",
         usd("r").alias("total_revenue_usd"),
         _share_within("r").alias("pct_of_total_revenue"),
-        round2(ratio(usd("r"), "with_revenue")).alias("avg_revenue_per_customer_usd"),
+        usd_per("r", "with_revenue").alias("avg_revenue_per_customer_usd"),
     )
 
 
@@ -120,8 +120,8 @@ def revenue_concentration_deciles(star: Star) -> DataFrame:
         "decile",
         "num_customers",
         usd("r").alias("decile_revenue_usd"),
-        round2(percent("r", total)).alias("pct_of_total_revenue"),
-        round2(percent(F.sum("r").over(running), total)).alias("cumulative_pct_of_revenue"),
+        percent2("r", total).alias("pct_of_total_revenue"),
+        percent2(F.sum("r").over(running), total).alias("cumulative_pct_of_revenue"),
     ).orderBy("decile")
 
 
@@ -156,8 +156,8 @@ def avg_spend_and_frequency_by_country(star: Star) -> DataFrame:
     return by_country.select(
         "country",
         "num_customers",
-        round2(ratio("o", "num_customers")).alias("avg_orders_per_customer"),
-        round2(ratio(usd("r"), "with_revenue")).alias("avg_revenue_per_customer_usd"),
+        ratio2("o", "num_customers").alias("avg_orders_per_customer"),
+        usd_per("r", "with_revenue").alias("avg_revenue_per_customer_usd"),
         usd("r").alias("total_revenue_usd"),
         _share_of_revenue(star, "r").alias("pct_of_total_revenue"),
     ).orderBy(F.col("total_revenue_usd").desc(), "country")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import WEEKDAYS, percent, ratio, round2, usd
+from basketlens.functions.scalars import WEEKDAYS, percent, percent2, ratio, usd, usd_per
 from basketlens.plans.customers import customer_deciles
 from basketlens.plans.measures import measures_by
 from basketlens.sources.star import Star
@@ -26,7 +26,7 @@ def product_margin_tiers(star: Star) -> DataFrame:
     price, cost = F.col("unit_price_usd"), F.col("unit_cost_usd")
     return (
         star.table("dim_product")
-        .groupBy(round2(percent(price - cost, price)).alias("margin_pct"))
+        .groupBy(percent2(price - cost, price).alias("margin_pct"))
         .agg(F.count(F.lit(1)).alias("products"))
     )
 
@@ -38,9 +38,7 @@ def bottom_half_revenue_share(star: Star) -> DataFrame:
     return deciles.agg(
         F.count(F.when(low, 1)).alias("customers"),
         usd(F.sum(F.when(low, F.col("revenue_cents")))).alias("revenue_usd"),
-        round2(
-            percent(F.sum(F.when(low, F.col("revenue_cents"))), F.sum("revenue_cents"))
-        ).alias("pct_of_total_revenue"),
+        percent2(F.sum(F.when(low, F.col("revenue_cents"))), F.sum("revenue_cents")).alias("pct_of_total_revenue"),
     )
 
 
@@ -114,7 +112,7 @@ def trend_tooltip(star: Star) -> DataFrame:
     )
     return months.select(
         "year_month", usd("r").alias("revenue_usd"), "orders",
-        round2(ratio(usd("r"), "orders")).alias("aov_usd"),
+        usd_per("r", "orders").alias("aov_usd"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import DAYS_PER_YEAR, WEEKDAYS, percent, round2, usd
+from basketlens.functions.scalars import DAYS_PER_YEAR, WEEKDAYS, percent2, usd
 from basketlens.operators.distribution import (
     MEDIAN,
     Distribution,
@@ -112,9 +112,9 @@ def eda_order_outliers(star: Star) -> DataFrame:
     return order_revenue(star).box().select(
         _money4("upper_fence").alias("upper_fence_usd"),
         F.col("high_count").alias("outlier_orders"),
-        round2(percent("high_count", "count")).alias("pct_of_orders"),
+        percent2("high_count", "count").alias("pct_of_orders"),
         usd("high_sum").alias("outlier_revenue_usd"),
-        round2(percent("high_sum", "sum")).alias("pct_of_revenue"),
+        percent2("high_sum", "sum").alias("pct_of_revenue"),
     )
 
 
@@ -248,7 +248,7 @@ def eda_line_outliers(star: Star) -> DataFrame:
     return fences.withColumn("m", named.scalar()).select(
         _money4("upper_fence").alias("upper_fence_usd"),
         F.col("high_count").alias("outlier_lines"),
-        round2(percent("high_count", "count")).alias("pct_of_lines"),
+        percent2("high_count", "count").alias("pct_of_lines"),
         usd("max").alias("max_line_usd"),
         F.col("m.quantity").alias("max_line_quantity"),
         F.col("m.product_name").alias("max_line_product"),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import percent, ratio, round2, usd
+from basketlens.functions.scalars import percent2, usd, usd_per
 from basketlens.operators.distribution import MEDIAN, Distribution
 from basketlens.operators.joins import lookup_join
 from basketlens.sources.star import CUSTOMER_COLUMNS, DATE_COLUMNS, Star
@@ -37,24 +37,22 @@ BLOCKS = {
 
 def _formula(measure: str) -> Column:
     """Measure from its building blocks; ratios round at the very end."""
-    per_customer = round2(ratio(usd("r"), "c"))
+    per_customer = usd_per("r", "c")
     return {
         "total_revenue": usd("r"),
         "total_orders": F.col("o"),
         "total_customers": F.col("c"),
         "units_sold": F.col("q"),
-        "average_order_value": round2(ratio(usd("r"), "o")),
+        "average_order_value": usd_per("r", "o"),
         "median_order_value": F.round(F.col("median") / F.lit(100.0), 4),
         "revenue_per_customer": per_customer,
         # Realised average over the period; not a prediction.
         "historical_clv": per_customer,
         # No sales a year earlier: blank. Sales then but none now: -100.
-        "revenue_yoy_growth_pct": round2(
-            percent(F.coalesce("current", F.lit(0)) - F.col("prior"), "prior")
-        ),
+        "revenue_yoy_growth_pct": percent2(F.coalesce("current", F.lit(0)) - F.col("prior"), "prior"),
         "repeat_customers": F.col("ever"),
         "repeat_customers_in_context": F.col("again"),
-        "repeat_purchase_rate_pct": round2(percent("ever", "c")),
+        "repeat_purchase_rate_pct": percent2("ever", "c"),
         "new_customers": F.col("new"),
     }[measure]
 

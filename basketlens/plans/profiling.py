@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import parse_money, parse_raw_date, percent, round2
+from basketlens.functions.scalars import parse_money, parse_raw_date, percent2, ratio2
 
 Raw = Mapping[str, DataFrame]
 
@@ -67,7 +67,7 @@ def profile_columns(raw: Raw) -> DataFrame:
                 "column_name",
                 "data_type",
                 "missing",
-                F.coalesce(round2(percent("missing", "n_rows")), F.lit(0.0)).alias("missing_pct"),
+                F.coalesce(percent2("missing", "n_rows"), F.lit(0.0)).alias("missing_pct"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -113,7 +113,7 @@ def profile_order_dates(raw: Raw) -> DataFrame:
         F.max(ordered).alias("last_order_date"),
         _count_if(ordered.isNull()).alias("order_date_unreadable"),
         _count_if(blank).alias("delivery_date_missing"),
-        round2(percent(_count_if(blank), F.count(F.lit(1)))).alias("delivery_date_missing_pct"),
+        percent2(_count_if(blank), F.count(F.lit(1))).alias("delivery_date_missing_pct"),
         _count_if(~blank & delivered.isNull()).alias("delivery_date_invalid"),
     )
 
@@ -123,7 +123,7 @@ def profile_quantity(raw: Raw) -> DataFrame:
     return raw["sales"].agg(
         F.min(q).alias("min_quantity"),
         F.max(q).alias("max_quantity"),
-        round2(percent(F.sum(q), F.count(q)) / 100.0).alias("mean_quantity"),
+        ratio2(F.sum(q), F.count(q)).alias("mean_quantity"),
         _count_if(q <= 0).alias("not_positive"),
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import clip, half_even, percent, ratio, round2, usd
+from basketlens.functions.scalars import clip, half_even, percent, percent2, ratio2, usd, usd_per
 from basketlens.operators.distribution import Distribution
 from basketlens.operators.ranking import equal_groups, global_row_number
 from basketlens.sources.staging import stage
@@ -136,9 +136,9 @@ def segment_summary(segments: DataFrame) -> DataFrame:
         "segment",
         "num_customers",
         usd("r").alias("total_revenue_usd"),
-        round2(ratio(usd("r"), n)).alias("avg_monetary_usd"),
-        round2(ratio("f", n)).alias("avg_frequency"),
-        round2(ratio("d", n)).alias("avg_recency_days"),
+        usd_per("r", n).alias("avg_monetary_usd"),
+        ratio2("f", n).alias("avg_frequency"),
+        ratio2("d", n).alias("avg_recency_days"),
         half_even(percent(n, F.sum(n).over(whole)), 2).alias("pct_of_customers"),
         half_even(percent("r", F.sum("r").over(whole)), 2).alias("pct_of_revenue"),
     ).orderBy(F.col("total_revenue_usd").desc(), "segment")
@@ -152,7 +152,7 @@ def segment_last_order_year(segments: DataFrame) -> DataFrame:
     per_segment = Window.partitionBy("segment")
     return counts.withColumn(
         "pct_of_segment",
-        round2(percent("num_customers", F.sum("num_customers").over(per_segment))),
+        percent2("num_customers", F.sum("num_customers").over(per_segment)),
     )
 
 

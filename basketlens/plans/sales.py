@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions.scalars import (
-    percent,
-    ratio,
-    round2,
-    usd,
-    year_completeness_label,
-)
+from basketlens.functions.scalars import percent2, usd, usd_per, year_completeness_label
 from basketlens.operators.joins import lookup_join
 from basketlens.operators.ranking import top_k
 from basketlens.sources.star import Star
@@ -23,16 +17,16 @@ def _usd_total(cents: str, name: str) -> Column:
 
 def _share_of_total(star: Star, cents: str) -> Column:
     """Percent of the whole fact table's revenue, not of the joined rows."""
-    return round2(percent(cents, star.revenue_total().scalar()))
+    return percent2(cents, star.revenue_total().scalar())
 
 
 def _per(cents: str, count: str) -> Column:
-    return round2(ratio(usd(cents), count))
+    return usd_per(cents, count)
 
 
 def _growth(cents: str, window: Window) -> Column:
     before = F.lag(cents).over(window)
-    return round2(percent(F.col(cents) - before, before))
+    return percent2(F.col(cents) - before, before)
 
 
 def kpi_summary(star: Star) -> DataFrame:
@@ -154,7 +148,7 @@ def product_profitability_top10(star: Star, k: int = 10) -> DataFrame:
         "product_name", "category_name",
         _usd_total("revenue_cents", "total_revenue_usd"),
         _usd_total("profit_cents", "total_profit_usd"),
-        round2(percent("profit_cents", "revenue_cents")).alias("profit_margin_pct"),
+        percent2("profit_cents", "revenue_cents").alias("profit_margin_pct"),
     )
 
 
@@ -215,7 +209,7 @@ def category_profit_margin(star: Star) -> DataFrame:
         "category_name",
         _usd_total("r", "total_revenue_usd"),
         _usd_total("p", "total_profit_usd"),
-        round2(percent("p", "r")).alias("profit_margin_pct"),
+        percent2("p", "r").alias("profit_margin_pct"),
     ).orderBy(F.col("profit_margin_pct").desc(), "category_name")
 
 
