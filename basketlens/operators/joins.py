@@ -29,22 +29,23 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     how: str = "inner",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a many-row side to a table holding one row per ``key``.
 
-    A dimension whose estimated size is below ``broadcast_bytes`` is broadcast.
-    A larger one goes through a shuffle in which each hot key (more than
-    ``hot_rows`` fact rows) is cut into ``ceil(rows / hot_rows)`` parts: fact
+    A dimension whose estimated size is at most ``broadcast_bytes`` (by default
+    BROADCAST_BYTES) is broadcast. A larger one goes through a shuffle in which
+    each hot key (more than ``hot_rows`` fact rows, by default HOT_ROWS) is cut into ``ceil(rows / hot_rows)`` parts: fact
     rows pick a part from a hash of their content, so a retried task picks the
     same one, and the single dimension row is repeated once per part.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if estimated_bytes(dim) <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if estimated_bytes(dim) <= limit:
         return facts.join(F.broadcast(dim), key, how)
-    return _salted_join(facts, dim, key, how, hot_rows)
+    return _salted_join(facts, dim, key, how, HOT_ROWS if hot_rows is None else hot_rows)
 
 
 def _salted_join(

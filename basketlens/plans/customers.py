@@ -23,10 +23,6 @@ def _share_within(col: str) -> Column:
     return percent2(col, F.sum(col).over(Window.partitionBy()))
 
 
-def _share_of_revenue(star: Star, cents: str) -> Column:
-    return percent2(cents, star.revenue_total().scalar())
-
-
 def customers_with_zero_orders(star: Star) -> DataFrame:
     """Registered customers against those with an order."""
     buyers = star.customers().agg(F.count("customer_key").alias("buyers"))
@@ -144,22 +140,23 @@ def new_customers_per_year(star: Star) -> DataFrame:
 
 def avg_spend_and_frequency_by_country(star: Star) -> DataFrame:
     # The customer table joins after the reduction to one row per customer.
-    summary = star.customers("orders", "revenue_cents").join(
-        star.customer_flat("customer_country"), "customer_key"
-    )
-    by_country = summary.groupBy(F.col("customer_country").alias("country")).agg(
+    # Customers without a master row count in the revenue total only.
+    masters = star.customer_flat("customer_country").withColumn("matched", F.lit(True))
+    summary = star.customers("orders", "revenue_cents").join(masters, "customer_key", "left")
+    by_country = summary.groupBy(F.col("customer_country").alias("country"), "matched").agg(
         F.count(F.lit(1)).alias("num_customers"),
         F.sum("orders").alias("o"),
         F.sum("revenue_cents").alias("r"),
         F.count("revenue_cents").alias("with_revenue"),
     )
-    return by_country.select(
+    shared = by_country.withColumn("pct_of_total_revenue", _share_within("r")).where("matched")
+    return shared.select(
         "country",
         "num_customers",
         ratio2("o", "num_customers").alias("avg_orders_per_customer"),
         usd_per("r", "with_revenue").alias("avg_revenue_per_customer_usd"),
         usd("r").alias("total_revenue_usd"),
-        _share_of_revenue(star, "r").alias("pct_of_total_revenue"),
+        "pct_of_total_revenue",
     ).orderBy(F.col("total_revenue_usd").desc(), "country")
 
 

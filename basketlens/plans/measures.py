@@ -79,37 +79,56 @@ def _rows(star: Star, cols: list[str], filters: Filters) -> DataFrame:
     return df.select(*cols)
 
 
-def _order_block(star: Star, dims: list[str], filters: Filters, need: set[str]) -> DataFrame:
-    base = _rows(star, [*dims, "order_number", "revenue_cents", "quantity"], filters)
-    totals = {
-        "r": F.sum("revenue_cents"),
-        "q": F.sum("quantity"),
-        "o": F.count_distinct("order_number"),
-    }
-    return base.groupBy(*dims).agg(*[e.alias(n) for n, e in totals.items() if n in need])
-
+def _sales_blocks(star: Star, dims: list[str], filters: Filters, need: set[str]) -> list[DataFrame]:
+    """Totals, order counts and customer counts.
 
-def _customer_block(star: Star, dims: list[str], filters: Filters, need: set[str]) -> DataFrame:
-    """Customer counts from one row per (group, customer)."""
-    seen = _rows(star, [*dims, "customer_key", "order_number", "order_date"], filters)
-    per_customer = seen.groupBy(*dims, "customer_key").agg(
-        F.count_distinct("order_number").alias("n_here"),
-        F.min("order_date").alias("first_here"),
+    Sales are reduced once to (group, customer, order). Orders and customers
+    are then counted from that. When both are wanted, both carry the totals:
+    they read the same columns, so Spark runs the reduction once and reuses
+    its exchange.
+    """
+    by_order = bool(need & {"r", "q", "o"})
+    by_customer = bool(need & {"c", "again", "ever", "new"})
+    totals = {"r": "revenue_cents", "q": "quantity"}
+    totals = {n: c for n, c in totals.items() if n in need}
+    dated = by_customer and "new" in need
+    keys = [*dims, "order_number", *(["customer_key"] if by_customer else [])]
+    facts = [*totals.values(), *(["order_date"] if dated else [])]
+    base = _rows(star, [*keys, *[c for c in facts if c not in keys]], filters)
+    sums = [F.sum(c).alias(n) for n, c in totals.items()]
+    if dated:
+        sums.append(F.min("order_date").alias("first_here"))
+    reduced = base.groupBy(*keys).agg(*sums) if sums else base.distinct()
+    again = [F.sum(n).alias(n) for n in totals]
+    blocks = []
+    if by_order:
+        orders = [F.count_distinct("order_number").alias("o")] if "o" in need else []
+        blocks.append(reduced.groupBy(*dims).agg(*orders, *again))
+    if not by_customer:
+        return blocks
+    per_customer = reduced.groupBy(*dims, "customer_key").agg(
+        F.count("order_number").alias("n_here"),
+        *([F.min("first_here").alias("first_here")] if dated else []),
+        *again,
     )
     if need & {"ever", "new"}:
         # Purchase history is taken over all sales, whatever the filters.
-        history = star.customers("orders", "first_date")
-        per_customer = lookup_join(per_customer, history, "customer_key", "left")
-    counts = {
-        "c": F.count("customer_key"),
-        "again": F.count(F.when(F.col("n_here") >= 2, F.col("customer_key"))),
+        wanted = [c for c, b in (("orders", "ever"), ("first_date", "new")) if b in need]
+        per_customer = lookup_join(per_customer, star.customers(*wanted), "customer_key", "left")
+    conditions = {
+        "c": None,
+        "again": F.col("n_here") >= 2 if "again" in need else None,
+        "ever": F.col("orders") >= 2 if "ever" in need else None,
+        "new": F.col("first_here") == F.col("first_date") if "new" in need else None,
     }
-    if need & {"ever", "new"}:
-        counts["ever"] = F.count(F.when(F.col("orders") >= 2, F.col("customer_key")))
-        counts["new"] = F.count(
-            F.when(F.col("first_here") == F.col("first_date"), F.col("customer_key"))
-        )
-    return per_customer.groupBy(*dims).agg(*[e.alias(n) for n, e in counts.items() if n in need])
+    counts = []
+    for name, condition in conditions.items():
+        if name in need:
+            key = F.col("customer_key")
+            counted = key if condition is None else F.when(condition, key)
+            counts.append(F.count(counted).alias(name))
+    blocks.append(per_customer.groupBy(*dims).agg(*counts, *again))
+    return blocks
 
 
 def _growth_block(star: Star, dims: list[str], filters: Filters) -> DataFrame:
@@ -169,16 +188,15 @@ def measures_by(
         raise ValueError(f"unknown measures: {unknown}")
     need = {b for m in measures for b in BLOCKS[m]}
     blocks = []
-    if need & {"r", "q", "o"}:
-        blocks.append(_order_block(star, dims, filters, need))
-    if need & {"c", "again", "ever", "new"}:
-        blocks.append(_customer_block(star, dims, filters, need))
+    if need & {"r", "q", "o", "c", "again", "ever", "new"}:
+        blocks.extend(_sales_blocks(star, dims, filters, need))
     if need & {"current", "prior"}:
         blocks.append(_growth_block(star, dims, filters))
     if "median" in need:
         blocks.append(_median_block(star, dims, filters))
-    # Blocks have one row per group. Stacking them and keeping the one value
-    # per group lines them up without joins, null groups included.
+    # Blocks have one row per group and agree where they share a column.
+    # Stacking them and keeping one value per group lines them up without
+    # joins, null groups included.
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), blocks)
     names = [c for c in stacked.columns if c not in dims]
     merged = stacked.groupBy(*dims).agg(*[F.max(c).alias(c) for c in names])

@@ -15,9 +15,15 @@ def _usd_total(cents: str, name: str) -> Column:
     return usd(cents).alias(name)
 
 
-def _share_of_total(star: Star, cents: str) -> Column:
-    """Percent of the whole fact table's revenue, not of the joined rows."""
-    return percent2(cents, star.revenue_total().scalar())
+def _with_share(by_group: DataFrame) -> DataFrame:
+    """Add the percent of the whole fact table's revenue ``r``.
+
+    Expects groups that also hold the rows without their dimension: those
+    count in the total and are then dropped. Groups are few, so a window over
+    all of them is small, and no second scan is needed for the total.
+    """
+    total = F.sum("r").over(Window.partitionBy())
+    return by_group.withColumn("pct_of_total_revenue", percent2("r", total)).where("matched")
 
 
 def _per(cents: str, count: str) -> Column:
@@ -157,8 +163,10 @@ def product_profitability_top10(star: Star, k: int = 10) -> DataFrame:
 
 def category_revenue(star: Star) -> DataFrame:
     by_category = (
-        star.lines("category_name", "order_number", "revenue_cents", "quantity")
-        .groupBy("category_name")
+        star.lines(
+            "category_name", "order_number", "revenue_cents", "quantity", unmatched=True
+        )
+        .groupBy("category_name", "matched")
         .agg(
             F.sum("revenue_cents").alias("r"),
             F.sum("quantity").alias("total_units_sold"),
@@ -166,12 +174,12 @@ def category_revenue(star: Star) -> DataFrame:
         )
     )
     # A handful of categories: one task may rank them.
-    return by_category.select(
+    return _with_share(by_category).select(
         "category_name",
         _usd_total("r", "total_revenue_usd"),
         "total_units_sold",
         "orders_containing_category",
-        _share_of_total(star, "r").alias("pct_of_total_revenue"),
+        "pct_of_total_revenue",
         F.rank().over(Window.orderBy(F.col("r").desc())).alias("revenue_rank"),
     ).orderBy(F.col("total_revenue_usd").desc(), "category_name")
 
@@ -179,15 +187,16 @@ def category_revenue(star: Star) -> DataFrame:
 def category_growth_yoy(star: Star) -> DataFrame:
     """Category revenue per year without the last (partial) year."""
     cat_year = (
-        star.lines("category_name", "year", "revenue_cents")
-        .groupBy("category_name", "year")
+        star.lines("category_name", "year", "revenue_cents", unmatched=True)
+        .groupBy("category_name", "year", "matched")
         .agg(F.sum("revenue_cents").alias("r"))
     )
-    # The last year of the fact table, not of the rows that found a category.
-    last_year = star.last_order_date().select(F.year("last_date")).scalar()
+    # The last year of the whole fact table, also of rows without a category.
+    last_year = F.max("year").over(Window.partitionBy())
     w = Window.partitionBy("category_name").orderBy("year")
     return (
-        cat_year.where(F.col("year") != last_year)
+        cat_year.withColumn("last_year", last_year)
+        .where("matched AND year <> last_year")
         .select(
             "category_name",
             "year",
@@ -218,21 +227,23 @@ def category_profit_margin(star: Star) -> DataFrame:
 
 def revenue_by_customer_country(star: Star) -> DataFrame:
     by_country = (
-        star.orders("customer_country", "order_number", "customer_key", "revenue_cents")
-        .groupBy("customer_country")
+        star.orders(
+            "customer_country", "order_number", "customer_key", "revenue_cents", unmatched=True
+        )
+        .groupBy("customer_country", "matched")
         .agg(
             F.sum("revenue_cents").alias("r"),
             F.count_distinct("order_number").alias("total_orders"),
             F.count_distinct("customer_key").alias("total_customers"),
         )
     )
-    return by_country.select(
+    return _with_share(by_country).select(
         F.col("customer_country").alias("country"),
         _usd_total("r", "total_revenue_usd"),
         "total_orders",
         "total_customers",
         _per("r", "total_orders").alias("aov_usd"),
-        _share_of_total(star, "r").alias("pct_of_total_revenue"),
+        "pct_of_total_revenue",
         F.rank().over(Window.orderBy(F.col("r").desc())).alias("revenue_rank"),
     ).orderBy(F.col("total_revenue_usd").desc(), "country")
 
@@ -258,21 +269,21 @@ def revenue_by_customer_state_top15(star: Star, k: int = 15) -> DataFrame:
 
 def revenue_by_channel(star: Star) -> DataFrame:
     by_channel = (
-        star.lines("channel", "order_number", "revenue_cents", "quantity")
-        .groupBy("channel")
+        star.lines("channel", "order_number", "revenue_cents", "quantity", unmatched=True)
+        .groupBy("channel", "matched")
         .agg(
             F.sum("revenue_cents").alias("r"),
             F.count_distinct("order_number").alias("total_orders"),
             F.sum("quantity").alias("total_units_sold"),
         )
     )
-    return by_channel.select(
+    return _with_share(by_channel).select(
         "channel",
         _usd_total("r", "total_revenue_usd"),
         "total_orders",
         "total_units_sold",
         _per("r", "total_orders").alias("aov_usd"),
-        _share_of_total(star, "r").alias("pct_of_total_revenue"),
+        "pct_of_total_revenue",
     ).orderBy(F.col("total_revenue_usd").desc(), "channel")
 
 

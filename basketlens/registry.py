@@ -28,6 +28,7 @@ from basketlens.plans import (
     rfm,
     sales,
 )
+from basketlens.session import apply_recommended
 from basketlens.sources import raw_text
 from basketlens.sources.mapped import MappedStar
 from basketlens.sources.star import fixed_calendar
@@ -91,7 +92,7 @@ StarPlan = Callable[[MappedStar], DataFrame]
 
 def _on_star(plan: StarPlan) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plan(MappedStar(spark, sf_dir))
+        return plan(MappedStar(apply_recommended(spark), sf_dir))
 
     return run
 

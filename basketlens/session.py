@@ -28,3 +28,12 @@ def build_session(
     for key, value in {**RECOMMENDED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def apply_recommended(spark: SparkSession) -> SparkSession:
+    """Give a foreign session the adaptive settings it does not set itself."""
+    chosen = spark.conf.getAll
+    for key, value in RECOMMENDED_CONF.items():
+        if ".adaptive." in key and key not in chosen:
+            spark.conf.set(key, value)
+    return spark

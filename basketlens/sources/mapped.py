@@ -226,7 +226,9 @@ class MappedStar(Star):
             "o_orderkey AS order_number", *_exprs(cols, ORDER_COLUMNS)
         )
 
-    def _fact_columns(self, cols: list[str], product_cols: list[str]) -> DataFrame:
+    def _fact_columns(
+        self, cols: list[str], product_cols: list[str], how: str = "left"
+    ) -> DataFrame:
         """Sales lines with ``cols``; order and product are read only if named."""
         money = [c for c in cols if c in MONEY_COLUMNS]
         header = [c for c in cols if c in ORDER_COLUMNS]
@@ -236,15 +238,18 @@ class MappedStar(Star):
         need += ["order_number"] if header else []
         df = self.source("lineitem").selectExpr(*_exprs(dict.fromkeys(need), LINE_COLUMNS))
         if money or product_cols:
-            prices = self._products(*_prices_for(money), *product_cols)
-            df = lookup_join(df, prices, "product_key", "inner" if product_cols else "left")
+            products = self._products(*_prices_for(money), *product_cols)
+            if product_cols and how == "left":
+                products = products.selectExpr("*", "true AS _product")
+                product_cols = [*product_cols, "_product"]
+            df = lookup_join(df, products, "product_key", how)
             # Amounts replace what only fed them before any further shuffle.
-            keep = dict.fromkeys([*need, *product_cols, *money])
+            keep = dict.fromkeys([*cols, *product_cols, *(["order_number"] if header else [])])
             df = df.selectExpr(
                 *[
                     f"{AMOUNT_COLUMNS[c]} AS {c}" if c in AMOUNT_COLUMNS else c
                     for c in keep
-                    if c in cols or c in product_cols or c == "order_number"
+                    if c not in header
                 ]
             )
         if header:
@@ -255,8 +260,11 @@ class MappedStar(Star):
     def fact(self, *cols: str) -> DataFrame:
         return self._fact_columns(list(cols), []).select(*cols)
 
-    def fact_with_product(self, fact_cols: list[str], product_cols: list[str]) -> DataFrame:
-        return self._fact_columns(fact_cols, product_cols).select(*fact_cols, *product_cols)
+    def fact_with_product(
+        self, fact_cols: list[str], product_cols: list[str], how: str = "inner"
+    ) -> DataFrame:
+        df = self._fact_columns(fact_cols, product_cols, how)
+        return df.select(*fact_cols, *product_cols, *(["_product"] if how == "left" else []))
 
     def _order_totals(self, keys: list[str], totals: list[str]) -> DataFrame:
         # Reduce the lines to their order first, then attach the header: the

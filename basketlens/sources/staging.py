@@ -19,10 +19,10 @@ _local_dirs: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str | None:
-    configured = spark.conf.get(_CONF, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(_CONF, None) or context.getConf().get(_CONF)
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         return None
     app = context.applicationId

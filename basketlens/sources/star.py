@@ -49,6 +49,10 @@ CUSTOMER_COLUMNS = {
 }
 
 
+def _matched(hits: list[str], wanted: bool) -> list[str]:
+    return [f"({' AND '.join(hits or ['true'])}) AS matched"] if wanted else []
+
+
 # Attributes computed from ``order_date``; no calendar join is needed.
 DATE_COLUMNS = {
     "year": "year(order_date)",
@@ -131,15 +135,24 @@ class Star:
         cents = {c: f"CAST({usd} * 100 AS BIGINT)" for c, usd in CENT_COLUMNS.items()}
         return self.table("fact_sales").selectExpr(*_named(cols, cents))
 
-    def fact_with_product(self, fact_cols: list[str], product_cols: list[str]) -> DataFrame:
+    def fact_with_product(
+        self, fact_cols: list[str], product_cols: list[str], how: str = "inner"
+    ) -> DataFrame:
+        """Fact lines with product columns; a left join also gets ``_product``,
+        which is null where there is no product."""
         facts = self.fact(*dict.fromkeys([*fact_cols, "product_key"]))
-        return lookup_join(facts, self.product_flat(*product_cols), "product_key")
+        products = self.product_flat(*product_cols)
+        if how == "left":
+            products = products.selectExpr("*", "true AS _product")
+        return lookup_join(facts, products, "product_key", how)
 
-    def lines(self, *cols: str) -> DataFrame:
+    def lines(self, *cols: str, unmatched: bool = False) -> DataFrame:
         """One row per order line with fact, date and dimension attributes.
 
         Dimension joins are inner: a line without its dimension row is left
-        out, as in a report that names the dimension.
+        out, as in a report that names the dimension. With ``unmatched`` such
+        lines stay, and a flag ``matched`` tells them apart; a share of the
+        whole fact table then needs no second scan.
         """
         product_cols = [c for c in cols if c in PRODUCT_COLUMNS]
         store_cols = [c for c in cols if c in STORE_COLUMNS]
@@ -158,23 +171,31 @@ class Star:
         if customer_cols:
             fact_cols.append("customer_key")
         fact_cols = list(dict.fromkeys(fact_cols))
+        how = "left" if unmatched else "inner"
+        hits = []
         if product_cols:
-            df = self.fact_with_product(fact_cols, product_cols)
+            df = self.fact_with_product(fact_cols, product_cols, how)
+            hits.append("_product IS NOT NULL")
         else:
             df = self.fact(*fact_cols)
         if store_cols:
-            df = lookup_join(df, self.store_flat(*store_cols), "store_key")
+            stores = self.store_flat(*store_cols).selectExpr("*", "true AS _store")
+            df = lookup_join(df, stores, "store_key", how)
+            hits.append("_store IS NOT NULL")
         if customer_cols:
-            df = lookup_join(df, self.customer_flat(*customer_cols), "customer_key")
-        return df.selectExpr(*_named(cols, DATE_COLUMNS))
+            customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
+            df = lookup_join(df, customers, "customer_key", how)
+            hits.append("_customer IS NOT NULL")
+        return df.selectExpr(*_named(cols, DATE_COLUMNS), *_matched(hits, unmatched))
 
-    def orders(self, *cols: str) -> DataFrame:
+    def orders(self, *cols: str, unmatched: bool = False) -> DataFrame:
         """Fact pre-aggregated to the order.
 
         ``cols`` may name order attributes (``customer_key``, ``order_date``),
         date and customer attributes, and the totals ``revenue_cents``,
         ``quantity`` and ``n_lines``. Rows are distinct in the attributes, so
         every later distinct count or sum is the same as over the lines.
+        ``unmatched`` works as in ``lines``.
         """
         customer_cols = [c for c in cols if c in CUSTOMER_COLUMNS]
         keys = {"order_number"}
@@ -184,9 +205,12 @@ class Star:
             keys.add("order_date")
         totals = [c for c in ("revenue_cents", "quantity", "n_lines") if c in cols]
         df = self._order_totals(sorted(keys), totals)
+        hits = []
         if customer_cols:
-            df = lookup_join(df, self.customer_flat(*customer_cols), "customer_key")
-        return df.selectExpr(*_named(cols, DATE_COLUMNS))
+            customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
+            df = lookup_join(df, customers, "customer_key", "left" if unmatched else "inner")
+            hits.append("_customer IS NOT NULL")
+        return df.selectExpr(*_named(cols, DATE_COLUMNS), *_matched(hits, unmatched))
 
     def _order_totals(self, keys: list[str], totals: list[str]) -> DataFrame:
         facts = self.fact(*keys, *[t for t in totals if t != "n_lines"])

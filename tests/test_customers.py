@@ -1,4 +1,5 @@
 from basketlens.plans import customers, sales
+from basketlens.sources.star import TABLES, Star
 from shop import rows, sale, shop_star
 
 
@@ -86,3 +87,14 @@ def test_order_number_shared_by_two_customers_is_one_order(spark):
     got = sales.revenue_by_customer_country(star).first()
     assert (got.total_orders, got.total_customers) == (1, 2)
     assert sales.kpi_summary(star).first().total_orders == 1
+
+
+def test_category_share_keeps_lines_without_a_product_in_the_total(spark):
+    star = shop_star(spark, [sale(1, 1, "1/1/2019", 1), sale(2, 1, "1/1/2019", 1, product=3)])
+    tables = {n: star.table(n) for n in TABLES}
+    tables["dim_product"] = tables["dim_product"].where("product_key <> 3")
+    tables["dim_store"] = tables["dim_store"].where("store_key <> 1")
+    partial = Star(tables)
+    got = sales.category_revenue(partial).collect()
+    assert [(r.category_name, r.pct_of_total_revenue) for r in got] == [("Home", 9.09)]
+    assert sales.revenue_by_channel(partial).collect() == []
