@@ -69,7 +69,18 @@ class Distribution:
         repeated = per_group.withColumn(
             "_part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1)))
         )
-        return spread.join(repeated, [*self.by, "_part"]).drop("_part")
+        return self._join_groups(spread, repeated, ["_part"]).drop("_part")
+
+    def _join_groups(self, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        """Inner join on the group and ``keys`` in which a null group is a group.
+
+        A plain equality would also push null filters below the counts, and
+        the counts would no longer be one plan that Spark runs once.
+        """
+        names = [*self.by, *keys]
+        renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in names})
+        same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in names]
+        return left.join(renamed, same).drop(*[f"_right_{c}" for c in names])
 
     # -- moments -------------------------------------------------------------
 
@@ -151,7 +162,7 @@ class Distribution:
             .orderBy("v")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        placed = ranged.join(kept, [*self.by, "_range"]).withColumn(
+        placed = self._join_groups(ranged, kept, ["_range"]).withColumn(
             "_end", F.col("_start") + F.sum("n").over(inside)
         )
         bounds = []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ def estimated_bytes(df: DataFrame) -> int:
     A lookup table joined only to its own lookups cannot outgrow what it
     reads, so the sum over the scans bounds it more closely.
     """
+    if not hasattr(df, "_jdf"):
+        return sys.maxsize  # no access to statistics: take the path for any size
     plan = df._jdf.queryExecution().optimizedPlan()
     leaves = plan.collectLeaves()
     scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

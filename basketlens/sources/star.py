@@ -17,6 +17,9 @@ TABLES = [
     "dim_store", "dim_date", "exchange_rate", "fact_sales",
 ]
 
+# Partition column of a stored fact table.
+STORED_YEAR = "order_year"
+
 FACT_COLUMNS = [
     "order_number", "line_item", "order_date", "delivery_date", "is_delivered",
     "customer_key", "store_key", "product_key", "quantity", "currency_code",
@@ -103,6 +106,10 @@ class Star:
 
     def __init__(self, tables: dict[str, DataFrame]):
         self._tables = tables
+        # A stored fact is partitioned by year; asking for that column lets a
+        # filter on the year skip whole partitions.
+        facts = tables.get("fact_sales")
+        self._year_stored = facts is not None and STORED_YEAR in facts.columns
 
     @property
     def spark(self) -> SparkSession:
@@ -113,6 +120,15 @@ class Star:
 
     # -- views ---------------------------------------------------------------
 
+    def _date_columns(self) -> dict[str, str]:
+        return {**DATE_COLUMNS, "year": STORED_YEAR} if self._year_stored else DATE_COLUMNS
+
+    def _date_sources(self, names: list[str]) -> list[str]:
+        """Fact columns the given date attributes are computed from."""
+        stored = {"year"} if self._year_stored else set()
+        sources = [STORED_YEAR if n in stored else "order_date" for n in names]
+        return list(dict.fromkeys(sources))
+
     def product_flat(self, *cols: str) -> DataFrame:
         """Products with their subcategory and category names (inner chain)."""
         flat = self.table("dim_product")
@@ -164,8 +180,7 @@ class Star:
         }
         if unknown:
             raise ValueError(f"unknown columns: {sorted(unknown)}")
-        if date_cols:
-            fact_cols.append("order_date")
+        fact_cols.extend(self._date_sources(date_cols))
         if store_cols:
             fact_cols.append("store_key")
         if customer_cols:
@@ -186,7 +201,7 @@ class Star:
             customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
             df = lookup_join(df, customers, "customer_key", how)
             hits.append("_customer IS NOT NULL")
-        return df.selectExpr(*_named(cols, DATE_COLUMNS), *_matched(hits, unmatched))
+        return df.selectExpr(*_named(cols, self._date_columns()), *_matched(hits, unmatched))
 
     def orders(self, *cols: str, unmatched: bool = False) -> DataFrame:
         """Fact pre-aggregated to the order.
@@ -201,7 +216,8 @@ class Star:
         keys = {"order_number"}
         if customer_cols or "customer_key" in cols:
             keys.add("customer_key")
-        if "order_date" in cols or set(cols) & set(DATE_COLUMNS):
+        keys.update(self._date_sources([c for c in cols if c in DATE_COLUMNS]))
+        if "order_date" in cols:
             keys.add("order_date")
         totals = [c for c in ("revenue_cents", "quantity", "n_lines") if c in cols]
         df = self._order_totals(sorted(keys), totals)
@@ -210,7 +226,7 @@ class Star:
             customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
             df = lookup_join(df, customers, "customer_key", "left" if unmatched else "inner")
             hits.append("_customer IS NOT NULL")
-        return df.selectExpr(*_named(cols, DATE_COLUMNS), *_matched(hits, unmatched))
+        return df.selectExpr(*_named(cols, self._date_columns()), *_matched(hits, unmatched))
 
     def _order_totals(self, keys: list[str], totals: list[str]) -> DataFrame:
         facts = self.fact(*keys, *[t for t in totals if t != "n_lines"])
@@ -263,8 +279,11 @@ def write_star(star: Star, folder: str) -> None:
         df = star.table(name)
         path = f"{folder.rstrip('/')}/{name}"
         if name == "fact_sales":
-            by_year = df.withColumn("order_year", F.year("order_date"))
-            by_year.write.mode("overwrite").partitionBy("order_year").parquet(path)
+            # Rebalancing gives each year files of even size, and splits a
+            # year that holds much of the data.
+            by_year = df.withColumn(STORED_YEAR, F.year("order_date"))
+            even = by_year.hint("rebalance", STORED_YEAR)
+            even.write.mode("overwrite").partitionBy(STORED_YEAR).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
 
