@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     how: str = "inner",
+    key_rows: Callable[[], DataFrame] | None = None,
     broadcast_bytes: int | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
@@ -43,22 +45,28 @@ def lookup_join(
     each hot key (more than ``hot_rows`` fact rows, by default HOT_ROWS) is cut into ``ceil(rows / hot_rows)`` parts: fact
     rows pick a part from a hash of their content, so a retried task picks the
     same one, and the single dimension row is repeated once per part.
+
+    ``key_rows`` may supply a cheaper frame to find hot keys in than ``facts``,
+    such as the key column of the stored table. It only steers the load.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if estimated_bytes(dim) <= limit:
         return facts.join(F.broadcast(dim), key, how)
-    return _salted_join(facts, dim, key, how, HOT_ROWS if hot_rows is None else hot_rows)
+    counted = key_rows() if key_rows else facts
+    return _salted_join(
+        facts, dim, key, how, counted, HOT_ROWS if hot_rows is None else hot_rows
+    )
 
 
 def _salted_join(
-    facts: DataFrame, dim: DataFrame, key: str, how: str, hot_rows: int
+    facts: DataFrame, dim: DataFrame, key: str, how: str, counted: DataFrame, hot_rows: int
 ) -> DataFrame:
     # One row per hot key. There can be no more of them than
     # fact rows / hot_rows, each two longs wide.
     hot = (
-        facts.groupBy(key)
+        counted.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where((F.col("_n") > hot_rows) & F.col(key).isNotNull())
         .select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("bigint").alias("_parts"))

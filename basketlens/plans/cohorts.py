@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import half_even, month_index, month_of_index, percent
 from basketlens.operators.distribution import guarded_corr
-from basketlens.operators.joins import lookup_join
 from basketlens.sources.star import Star
 
 LARGE_COHORT = 100
@@ -23,7 +22,7 @@ def cohort_assign(star: Star) -> DataFrame:
     """Every order with its customer's first month and the months since."""
     orders = star.orders("customer_key", "order_number", "order_date").distinct()
     first = star.customers("first_date")
-    joined = lookup_join(orders, first, "customer_key")
+    joined = star.look_up(orders, first, "customer_key")
     period = month_index("order_date") - month_index("first_date")
     return joined.select(
         "customer_key",

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import percent2, usd, usd_per
 from basketlens.operators.distribution import MEDIAN, Distribution
-from basketlens.operators.joins import lookup_join
 from basketlens.sources.star import CUSTOMER_COLUMNS, DATE_COLUMNS, Star
 
 # Measure -> building blocks it is made of.
@@ -114,7 +113,8 @@ def _sales_blocks(star: Star, dims: list[str], filters: Filters, need: set[str])
     if need & {"ever", "new"}:
         # Purchase history is taken over all sales, whatever the filters.
         wanted = [c for c, b in (("orders", "ever"), ("first_date", "new")) if b in need]
-        per_customer = lookup_join(per_customer, star.customers(*wanted), "customer_key", "left")
+        # A customer has at most one row per group here, so no key is hot.
+        per_customer = per_customer.join(star.customers(*wanted), "customer_key", "left")
     conditions = {
         "c": None,
         "again": F.col("n_here") >= 2 if "again" in need else None,

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import percent2, usd, usd_per, year_completeness_label
-from basketlens.operators.joins import lookup_join
 from basketlens.operators.ranking import top_k
 from basketlens.sources.star import Star
 
@@ -297,7 +296,7 @@ def revenue_by_store_country(star: Star) -> DataFrame:
         .agg(F.sum("revenue_cents").alias("r"))
     )
     by_country = (
-        lookup_join(visits, star.store_flat("store_country"), "store_key")
+        star.look_up(visits, star.store_flat("store_country"), "store_key")
         .groupBy("store_country")
         .agg(
             F.sum("r").alias("r"),

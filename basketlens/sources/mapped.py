@@ -242,7 +242,7 @@ class MappedStar(Star):
             if product_cols and how == "left":
                 products = products.selectExpr("*", "true AS _product")
                 product_cols = [*product_cols, "_product"]
-            df = lookup_join(df, products, "product_key", how)
+            df = self.look_up(df, products, "product_key", how)
             # Amounts replace what only fed them before any further shuffle.
             keep = dict.fromkeys([*cols, *product_cols, *(["order_number"] if header else [])])
             df = df.selectExpr(
@@ -257,6 +257,12 @@ class MappedStar(Star):
             df = df.join(self._headers(header), "order_number", "left")
         return df
 
+    def key_rows(self, key: str) -> DataFrame:
+        # A customer's orders show well enough whether its lines are many.
+        if key in ORDER_COLUMNS:
+            return self._headers([key]).select(key)
+        return self.source("lineitem").selectExpr(*_exprs([key], LINE_COLUMNS))
+
     def fact(self, *cols: str) -> DataFrame:
         return self._fact_columns(list(cols), []).select(*cols)
 

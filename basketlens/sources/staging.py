@@ -15,7 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+# Removed again when the Python process ends.
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def staging_root(spark: SparkSession) -> str | None:
@@ -27,8 +28,10 @@ def staging_root(spark: SparkSession) -> str | None:
         return None
     app = context.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="basketlens-")
-    return _local_dirs[app]
+        _local_dirs[app] = tempfile.TemporaryDirectory(
+            prefix="basketlens-", ignore_cleanup_errors=True
+        )
+    return _local_dirs[app].name
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

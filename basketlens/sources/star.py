@@ -151,6 +151,15 @@ class Star:
         cents = {c: f"CAST({usd} * 100 AS BIGINT)" for c, usd in CENT_COLUMNS.items()}
         return self.table("fact_sales").selectExpr(*_named(cols, cents))
 
+    def key_rows(self, key: str) -> DataFrame:
+        """A frame whose row counts per ``key`` resemble those of the fact."""
+        return self.fact(key)
+
+    def look_up(self, facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+        """Lookup join that finds hot keys in the stored fact's key column, so
+        earlier joins of ``facts`` are not run for it."""
+        return lookup_join(facts, dim, key, how, lambda: self.key_rows(key))
+
     def fact_with_product(
         self, fact_cols: list[str], product_cols: list[str], how: str = "inner"
     ) -> DataFrame:
@@ -160,7 +169,7 @@ class Star:
         products = self.product_flat(*product_cols)
         if how == "left":
             products = products.selectExpr("*", "true AS _product")
-        return lookup_join(facts, products, "product_key", how)
+        return self.look_up(facts, products, "product_key", how)
 
     def lines(self, *cols: str, unmatched: bool = False) -> DataFrame:
         """One row per order line with fact, date and dimension attributes.
@@ -195,11 +204,11 @@ class Star:
             df = self.fact(*fact_cols)
         if store_cols:
             stores = self.store_flat(*store_cols).selectExpr("*", "true AS _store")
-            df = lookup_join(df, stores, "store_key", how)
+            df = self.look_up(df, stores, "store_key", how)
             hits.append("_store IS NOT NULL")
         if customer_cols:
             customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
-            df = lookup_join(df, customers, "customer_key", how)
+            df = self.look_up(df, customers, "customer_key", how)
             hits.append("_customer IS NOT NULL")
         return df.selectExpr(*_named(cols, self._date_columns()), *_matched(hits, unmatched))
 
@@ -224,7 +233,7 @@ class Star:
         hits = []
         if customer_cols:
             customers = self.customer_flat(*customer_cols).selectExpr("*", "true AS _customer")
-            df = lookup_join(df, customers, "customer_key", "left" if unmatched else "inner")
+            df = self.look_up(df, customers, "customer_key", "left" if unmatched else "inner")
             hits.append("_customer IS NOT NULL")
         return df.selectExpr(*_named(cols, self._date_columns()), *_matched(hits, unmatched))
 

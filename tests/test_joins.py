@@ -44,7 +44,7 @@ def test_estimate_ignores_products_of_joined_tables(spark, star):
 def test_plans_do_not_depend_on_the_join_strategy(spark, folder, monkeypatch):
     """Forced to shuffle and salt, the reports stay the same."""
     from basketlens.operators import joins
-    from basketlens.plans import sales
+    from basketlens.plans import cohorts, sales
     from basketlens.sources.mapped import MappedStar
 
     def report():
@@ -52,15 +52,27 @@ def test_plans_do_not_depend_on_the_join_strategy(spark, folder, monkeypatch):
         return [
             Counter(plan(star).collect())
             for plan in (
-                sales.category_revenue, sales.revenue_by_channel, sales.revenue_by_customer_country
+                sales.category_revenue, sales.revenue_by_channel,
+                sales.revenue_by_customer_country, cohorts.cohort_assign,
             )
         ]
 
     before = report()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    assert report() == before
 
-    def salted(facts, dim, key, how="inner"):
-        return joins._salted_join(facts, dim, key, how, 50)
 
-    for module in ("basketlens.sources.mapped", "basketlens.sources.star"):
-        monkeypatch.setattr(f"{module}.lookup_join", salted)
-    assert report() == before
+def test_hot_keys_are_found_in_the_key_column(spark, folder, monkeypatch):
+    """Three large lookups scan the lines once, plus one key column for each
+    of the two line-level keys."""
+    from basketlens.operators import joins
+    from basketlens.sources.mapped import MappedStar
+
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    star = MappedStar(spark, folder)
+    wide = star.lines("category_name", "channel", "customer_country", "revenue_cents")
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation" in line and "l_orderkey" in line]
+    # Each key count appears on both sides of its join; Spark runs it once.
+    assert len(scans) == 1 + 2 * 2
