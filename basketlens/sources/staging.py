@@ -1,45 +1,59 @@
-"""Write an intermediate table once when several consumers need it.
+"""Tables written between two steps of one computation.
 
-The table goes to the shared folder the session names in
-``spark.checkpoint.dir`` and is read back as Parquet, so lineage is cut, the
-work is done once, and a lost executor costs nothing but a re-read. With no
-such folder a local session (tests) gets one under the system temp folder; on
-a cluster the plan is returned unstaged, which is slower but just as correct.
+They go to the shared folder the session names in ``spark.checkpoint.dir``, or
+below the warehouse where that is unset: both are places every executor and the
+driver can reach. What is read back is Parquet, so lineage is cut, the work is
+done once, and a lost executor costs a re-read. A workspace is removed when the
+session's JVM ends, or earlier by ``drop``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
-# Removed again when the Python process ends.
-_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
-def staging_root(spark: SparkSession) -> str | None:
-    context = spark.sparkContext
-    configured = spark.conf.get(_CONF, None) or context.getConf().get(_CONF)
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
-        return None
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.TemporaryDirectory(
-            prefix="basketlens-", ignore_cleanup_errors=True
-        )
-    return _local_dirs[app].name
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that driver and executors share; the same rule on any master."""
+    named = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
+
+
+class Workspace:
+    """A folder of its own for the intermediate tables of one computation."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/basketlens/{label}-{uuid.uuid4().hex}"
+        # Removed by the file system's own shutdown hook, whatever store it is.
+        self._delete("", at_exit=True)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and return the written table."""
+        df.write.mode("error").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, name: str = "") -> None:
+        """Remove one table, or the whole workspace."""
+        self._delete(name, at_exit=False)
+
+    def _delete(self, name: str, at_exit: bool) -> None:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.folder)
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if at_exit:
+            system.mkdirs(path)
+            system.deleteOnExit(path)
+        else:
+            system.delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Materialise ``df`` in the staging folder and return the written table."""
-    spark = df.sparkSession
-    root = staging_root(spark)
-    if root is None:
-        return df
-    path = f"{root.rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` to a workspace of its own and return the written table."""
+    return Workspace(df.sparkSession, label).save(df, "table")
