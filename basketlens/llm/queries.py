@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat_grammar, hilbert_shards, host_rules, url_rules
+from basketlens.llm import (
+    chat_grammar,
+    hilbert_shards,
+    host_rules,
+    token_counts,
+    token_files,
+    url_rules,
+)
 from basketlens.llm.url_rules import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +32,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of an installed vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to packed files and read back."""
+    return token_files.token_file_digest(
+        _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.token_counts(
+        _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+    )
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page by longest rule, then by its redirect component."""
     return url_rules.url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
@@ -69,6 +97,8 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
+    "op6_token_counts": op6_token_counts,
     "op4_url_rules": op4_url_rules,
     "op5_chat_grammar": op5_chat_grammar,
     "op9_hilbert_shards": op9_hilbert_shards,
