@@ -80,8 +80,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN rates USING (source)
 """
 
+_DECONTAMINATE = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), strings AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS length,
+    array_to_string(words[pos:pos + least(len(words), 13) - 1], ' ') AS what
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 11, 2))) AS pos FROM items WHERE len(words) > 0)
+), lengths AS (SELECT DISTINCT length FROM strings),
+places AS (
+  SELECT doc_id, pos, length, array_to_string(words[pos:pos + length - 1], ' ') AS what
+  FROM (SELECT doc_id, words, length, unnest(range(1, len(words) - length + 2)) AS pos
+        FROM docs, lengths WHERE len(words) >= length)
+), found AS (
+  SELECT doc_id, pos, p.length, item_id FROM places p JOIN strings s ON s.length = p.length AND s.what = p.what
+), hit AS (
+  SELECT doc_id, count(DISTINCT word)::BIGINT AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + length)) AS word FROM found) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op4_url_rules": _URL_RULES,
     "op5_chat_grammar": _CHAT,
+    "op7_decontaminate": _DECONTAMINATE,
     "op10_host_rules": _HOST_RULES,
 }

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import (
     chat_grammar,
+    decontaminate,
     hilbert_shards,
     host_rules,
+    source_mix,
     token_counts,
     token_files,
     url_rules,
@@ -83,6 +85,18 @@ def op5_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words in every document."""
+    return decontaminate.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix."""
+    return source_mix.mix_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document along the Hilbert curve, equal row counts."""
     return hilbert_shards.sharded(_table(spark, sf_dir, "documents")).select(
@@ -101,6 +115,8 @@ QUERIES: dict[str, Query] = {
     "op6_token_counts": op6_token_counts,
     "op4_url_rules": op4_url_rules,
     "op5_chat_grammar": op5_chat_grammar,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_source_mix": op8_source_mix,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_host_rules": op10_host_rules,
 }
