@@ -111,7 +111,39 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+# op3: copies are compared once; every pair that shares a shingle is.
+_JACCARD = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(words) - 2, 2)),
+    lambda pos: array_to_string(words[pos:pos + 3], ' ')))) AS own
+  FROM docs WHERE len(words) > 0
+), sets AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY min(doc_id)) AS set_id, own, len(own) AS n, min(doc_id) AS low
+  FROM shingles GROUP BY own
+), held AS MATERIALIZED (SELECT set_id, n, unnest(own) AS shingle FROM sets),
+pairs AS (
+  SELECT a.set_id AS x, b.set_id AS y, any_value(a.n) AS n1, any_value(b.n) AS n2, count(*) AS shared
+  FROM held a JOIN held b ON a.shingle = b.shingle AND a.set_id < b.set_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY 1, 2
+), links AS MATERIALIZED (
+  SELECT x, y FROM pairs WHERE 100 * shared >= 85 * (n1 + n2 - shared)
+), edges AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(x, y) AS (
+  SELECT set_id, set_id FROM sets UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x
+), parts AS (
+  SELECT x AS set_id, min(s.low) AS low FROM reached r JOIN sets s ON s.set_id = r.y GROUP BY x
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(p.low, d.doc_id) AS component_id
+FROM docs d LEFT JOIN shingles h ON h.doc_id = d.doc_id LEFT JOIN sets s ON s.own = h.own
+LEFT JOIN parts p ON p.set_id = s.set_id
+"""
+
 CHECK_SQL: dict[str, str] = {
+    "op3_jaccard_groups": _JACCARD,
     "op4_url_rules": _URL_RULES,
     "op5_chat_grammar": _CHAT,
     "op7_decontaminate": _DECONTAMINATE,

@@ -12,6 +12,7 @@ from basketlens.llm import (
     decontaminate,
     hilbert_shards,
     host_rules,
+    jaccard_groups,
     source_mix,
     token_counts,
     token_files,
@@ -55,6 +56,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and similarity component of every document."""
+    return jaccard_groups.similarity_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page by longest rule, then by its redirect component."""
     return url_rules.url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
@@ -112,6 +118,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
+    "op3_jaccard_groups": op3_jaccard_groups,
     "op6_token_counts": op6_token_counts,
     "op4_url_rules": op4_url_rules,
     "op5_chat_grammar": op5_chat_grammar,
