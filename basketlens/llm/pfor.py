@@ -35,9 +35,16 @@ _HEADER, _TRAILER = "<4sIII", "<QQQQ4s"
 MAGIC = b"PFOR"
 
 
+#: Bits that each number below 2^16 needs.
+_BIT_LENGTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs; exact, as doubles hold 32-bit integers."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    """Bits that each 32-bit value needs."""
+    high = values >> 16
+    if not high.any():
+        return _BIT_LENGTHS[values]
+    return np.where(high > 0, 16 + _BIT_LENGTHS[high], _BIT_LENGTHS[values & 0xFFFF])
 
 
 def _pack(rows: np.ndarray, width: int) -> np.ndarray:

@@ -17,6 +17,8 @@ import types
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Characters whose composition and lower case leave no room for doubt:
 # ASCII and the precomposed letters of Latin-1.
@@ -34,6 +36,15 @@ def worker_store() -> dict:
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
     return sys.modules[name].__dict__
+# The same two, for whole columns.
+_NOT_PLAIN_RE2 = r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]"
+_PRETOKEN_RE2 = (
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\x09-\x0D\x20]+"
+)
+# Byte-level vocabularies write a printable byte as itself and the others as the
+# characters from U+0100 on, in byte order.
+_UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(_UNPRINTABLE)}
 
 
 class Units:
@@ -41,13 +52,13 @@ class Units:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         added = self.library.get_added_tokens_decoder().values()
+        self.specials = [token.content for token in added]
         specials = [re.escape(token.content.encode()) for token in added]
         self._special = re.compile(b"|".join(specials) or b"(?!)")
 
@@ -78,7 +89,31 @@ class Units:
 
     def _mapped(self, pretoken: str) -> str:
         """The characters that stand for the pre-token's bytes in the vocabulary."""
-        return "".join(part for part, _ in self._bytes.pre_tokenize_str(pretoken))
+        return pretoken.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+
+    def encode_column(self, texts: pa.Array, pretokens: dict[str, bytes]) -> list[bytes]:
+        """Ids of each text of a string column without nulls; ``pretokens`` is filled on the way."""
+        easy = plain(texts, self.specials)
+        codes, starts, names = split_column(texts.filter(pa.array(easy)))
+        fresh = [x for x in names if x not in pretokens]
+        pretokens.update(zip(fresh, self.encode_pretokens(fresh)))
+        parts = list(map(pretokens.__getitem__, names))
+        # Where each name's ids lie in one array, and from that each code's.
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(parts), self.dtype)
+        own = lengths[codes]
+        ends = np.cumsum(own)
+        first = (np.cumsum(lengths) - lengths)[codes] - (ends - own)
+        ids = flat[np.repeat(first, own) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[starts]
+        done = iter([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
+        hard = zip(easy, texts) if not easy.all() else ((True, None) for _ in easy)
+        return [next(done) if quick else self._by_chunk(text.as_py()) for quick, text in hard]
+
+    def _by_chunk(self, text: str) -> bytes:
+        chunks = chunks_of(text.encode())
+        known = self.encode_chunks(list(set(chunks)), {})
+        return b"".join(map(known.__getitem__, chunks))
 
     def encode_whole(self, text: bytes) -> bytes:
         """Ids of any text, straight from the library."""
@@ -98,6 +133,28 @@ class Units:
         }
 
 
+def split_column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Pre-tokens of a column of plain texts: codes, where each text's codes begin, names.
+
+    Each pre-token gets a space after it, and the texts are split at spaces.
+    """
+    spaced = pc.replace_substring_regex(
+        pc.utf8_lower(texts), pattern=_PRETOKEN_RE2, replacement="\\0 "
+    )
+    lists = pc.ascii_split_whitespace(spaced)
+    found = pc.dictionary_encode(lists.flatten())
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    return found.indices.to_numpy(), starts - starts[0], found.dictionary.to_pylist()
+
+
+def plain(texts: pa.Array, specials: list[str]) -> np.ndarray:
+    """Which texts have plain characters only and no special token's string."""
+    odd = pc.match_substring_regex(texts, _NOT_PLAIN_RE2)
+    for special in specials:
+        odd = pc.or_(odd, pc.match_substring(texts, special))
+    return ~odd.to_numpy(zero_copy_only=False).astype(bool)
+
+
 def chunks_of(text: bytes | None) -> list[bytes]:
     """A text's chunks; bytes.split() cuts at ASCII white space only."""
     return text.split() if text else []

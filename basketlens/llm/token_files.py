@@ -22,30 +22,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.pfor import Reader, Writer
-from basketlens.llm.pretokens import Units, bounded, chunks_of, worker_store
+from basketlens.llm.pretokens import Units, bounded, worker_store
 from basketlens.sources.staging import Workspace
 
 #: Documents a file holds on average, and the most files that are written.
 FILE_ROWS, MAX_FILES = 4_096, 4_096
-#: Entries of a worker's caches of encoded chunks and pre-tokens.
-CACHE = 500_000
+#: Entries of a worker's cache of encoded pre-tokens.
+CACHE = 1_000_000
 #: Output rows that are held together.
 OUT_ROWS = 1_024
 
 
-def encoded(texts: list[bytes | None], units: Units, end_id: int) -> Iterator[bytes]:
+def encoded(texts: pa.Array, units: Units, end_id: int) -> list[bytes]:
     """Ids of each text and the end id, as bytes of an array of the file's dtype."""
-    store = worker_store()
-    chunks = bounded(store.setdefault("chunks", {}), CACHE)
-    pretokens = bounded(store.setdefault("pretokens", {}), CACHE)
+    pretokens = bounded(worker_store().setdefault("pretokens", {}), CACHE)
     end = np.array([end_id], units.dtype).tobytes()
-    for k in range(0, len(texts), 256):
-        split = [chunks_of(t) for t in texts[k : k + 256]]
-        chunks.update(units.encode_chunks(list(set().union(*split) - chunks.keys()), pretokens))
-        for own in split:
-            yield b"".join(map(chunks.__getitem__, own)) + end
-        if len(chunks) > CACHE:
-            chunks.clear()
+    return [ids + end for ids in units.encode_column(texts.cast(pa.string()).fill_null(""), pretokens)]
 
 
 def _file_system(url: str):
@@ -77,11 +69,11 @@ def write_files(
         units = Units.opened(vocabulary)
         places = np.array(cuts, np.int64)
         for batch in batches:
-            keys, texts = (c.to_pylist() for c in batch.columns)
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for k in range(0, len(keys), OUT_ROWS):
                 part = keys[k : k + OUT_ROWS]
                 files = [0 if x is None else 1 + int(np.searchsorted(places, x, "right")) for x in part]
-                ids = list(encoded(texts[k : k + OUT_ROWS], units, end_id))
+                ids = encoded(texts.slice(k, OUT_ROWS), units, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(files, pa.int32()), pa.array(part, pa.int64()), pa.array(ids, pa.binary())],
                     ["file", "key", "ids"],
@@ -115,7 +107,7 @@ def write_files(
             [pa.array(c, t) for c, t in zip(columns, types)], ["file", "path", "n_docs", "n_ids"]
         )
 
-    coded = documents.select(F.col(key).cast("bigint"), F.col(text).cast("binary")).mapInArrow(
+    coded = documents.select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(
         encode, "file int, key bigint, ids binary"
     )
     dealt = coded.repartitionById(len(cuts) + 2, F.col("file")).sortWithinPartitions("file", "key", "ids")
