@@ -36,11 +36,16 @@ def worker_store() -> dict:
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
     return sys.modules[name].__dict__
-# The same two, for whole columns.
-_NOT_PLAIN_RE2 = r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]"
-_PRETOKEN_RE2 = (
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\x09-\x0D\x20]+"
-)
+# Texts that are not split by the column.
+_HARD_RE2 = r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]|'(?i:s|t|re|ve|m|ll|d)"
+# Kind of each byte of a lower-cased plain text: space, letter, digit or other sign.
+_LETTER, _DIGIT, _SIGN = 1, 2, 3
+_LOWER_BYTE = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_KIND = np.array([
+    0 if b == 32 or 9 <= b <= 13 else _LETTER if 97 <= b <= 122 or b >= 128
+    else _DIGIT if 48 <= b <= 57 else _SIGN
+    for b in range(256)
+], np.uint8)
 # Byte-level vocabularies write a printable byte as itself and the others as the
 # characters from U+0100 on, in byte order.
 _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
@@ -94,19 +99,18 @@ class Units:
     def encode_column(self, texts: pa.Array, pretokens: dict[str, bytes]) -> list[bytes]:
         """Ids of each text of a string column without nulls; ``pretokens`` is filled on the way."""
         easy = plain(texts, self.specials)
-        codes, starts, names = split_column(texts.filter(pa.array(easy)))
-        fresh = [x for x in names if x not in pretokens]
-        pretokens.update(zip(fresh, self.encode_pretokens(fresh)))
-        parts = list(map(pretokens.__getitem__, names))
-        # Where each name's ids lie in one array, and from that each code's.
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(parts), self.dtype)
-        own = lengths[codes]
-        ends = np.cumsum(own)
-        first = (np.cumsum(lengths) - lengths)[codes] - (ends - own)
-        ids = flat[np.repeat(first, own) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[starts]
-        done = iter([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
+        codes, starts, names = split_column(texts if easy.all() else texts.filter(pa.array(easy)))
+        names = names.to_pylist()
+        known = list(map(pretokens.get, names))
+        new = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(new, self.encode_pretokens([names[i] for i in new])):
+            known[i] = pretokens[names[i]] = ids
+        # The ids of all codes in a row, and where each text's begin and end in it.
+        parts = pa.array(known, pa.binary())
+        _, offsets, values = parts.take(codes).buffers()
+        cuts = np.frombuffer(offsets, np.int32)[starts].tolist()
+        ids = memoryview(values or b"")
+        done = iter([bytes(ids[a:b]) for a, b in zip(cuts, cuts[1:])])
         hard = zip(easy, texts) if not easy.all() else ((True, None) for _ in easy)
         return [next(done) if quick else self._by_chunk(text.as_py()) for quick, text in hard]
 
@@ -133,28 +137,56 @@ class Units:
         }
 
 
-def split_column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def split_column(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """Pre-tokens of a column of plain texts: codes, where each text's codes begin, names.
 
-    Each pre-token gets a space after it, and the texts are split at spaces.
+    Works on the bytes of all texts at once: a pre-token begins where the class
+    of character changes, and at every digit. Texts with a contraction must not
+    be given.
     """
-    spaced = pc.replace_substring_regex(
-        pc.utf8_lower(texts), pattern=_PRETOKEN_RE2, replacement="\\0 "
-    )
-    lists = pc.ascii_split_whitespace(spaced)
-    found = pc.dictionary_encode(lists.flatten())
-    starts = lists.offsets.to_numpy().astype(np.int64)
-    return found.indices.to_numpy(), starts - starts[0], found.dictionary.to_pylist()
+    _, offsets, values = texts.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(values or b"", np.uint8)[cuts[0] : cuts[-1]]
+    cuts = cuts - cuts[0]
+    low = _LOWER_BYTE[raw]
+    capital = np.flatnonzero(raw[:-1] == 0xC3) + 1  # second bytes of letters beyond ASCII
+    low[capital] += np.where(raw[capital] < 0x9F, 0x20, 0).astype(np.uint8)
+    kind = _KIND[low]
+    begins = kind != np.concatenate([[0], kind[:-1]])
+    begins |= kind == _DIGIT
+    begins[cuts[:-1][cuts[:-1] < len(raw)]] = True
+    inside = kind != 0
+    begins &= inside
+    # Without the spaces, each pre-token ends where the next begins.
+    packed, first = low[inside], np.flatnonzero(begins[inside])
+    places = np.append(first, len(packed)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(first), pa.py_buffer(places), pa.py_buffer(packed))
+    found = pc.dictionary_encode(pieces)
+    starts = np.concatenate([[0], np.cumsum(begins)])[cuts]
+    return found.indices, starts, found.dictionary
 
 
 def plain(texts: pa.Array, specials: list[str]) -> np.ndarray:
-    """Which texts have plain characters only and no special token's string."""
-    odd = pc.match_substring_regex(texts, _NOT_PLAIN_RE2)
+    """Which texts have plain characters, no contraction and no special token's string."""
+    odd = pc.match_substring_regex(texts, _HARD_RE2)
     for special in specials:
         odd = pc.or_(odd, pc.match_substring(texts, special))
     return ~odd.to_numpy(zero_copy_only=False).astype(bool)
 
 
+def slices(texts: pa.Array, rows: int, size: int):
+    """(first, count) of runs of texts with at most ``rows`` rows, and ``size`` bytes or one text."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    first = held = 0
+    for i, n in enumerate(lengths):
+        if i > first and (held + n > size or i - first == rows):
+            yield first, i - first
+            first, held = i, 0
+        held += n
+    if lengths:
+        yield first, len(lengths) - first
+
+
 def chunks_of(text: bytes | None) -> list[bytes]:
     """A text's chunks; bytes.split() cuts at ASCII white space only."""
     return text.split() if text else []

@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.pfor import Reader, Writer
-from basketlens.llm.pretokens import Units, bounded, worker_store
+from basketlens.llm.pretokens import Units, bounded, slices, worker_store
 from basketlens.sources.staging import Workspace
 
 #: Documents a file holds on average, and the most files that are written.
 FILE_ROWS, MAX_FILES = 4_096, 4_096
 #: Entries of a worker's cache of encoded pre-tokens.
 CACHE = 1_000_000
+#: Texts that are encoded together, by number and bytes.
+ENCODE_ROWS, ENCODE_BYTES = 8_192, 12 << 20
 #: Output rows that are held together.
 OUT_ROWS = 1_024
 
@@ -70,10 +72,10 @@ def write_files(
         places = np.array(cuts, np.int64)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for k in range(0, len(keys), OUT_ROWS):
-                part = keys[k : k + OUT_ROWS]
+            for k, n in slices(texts, ENCODE_ROWS, ENCODE_BYTES):
+                part = keys[k : k + n]
                 files = [0 if x is None else 1 + int(np.searchsorted(places, x, "right")) for x in part]
-                ids = encoded(texts.slice(k, OUT_ROWS), units, end_id)
+                ids = encoded(texts.slice(k, n), units, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(files, pa.int32()), pa.array(part, pa.int64()), pa.array(ids, pa.binary())],
                     ["file", "key", "ids"],
