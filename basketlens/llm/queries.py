@@ -13,6 +13,7 @@ from basketlens.llm import (
     hilbert_shards,
     host_rules,
     jaccard_groups,
+    language_id,
     source_mix,
     token_counts,
     token_files,
@@ -42,6 +43,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three of four folds."""
+    return language_id.languages(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to packed files and read back."""
     return token_files.token_file_digest(
@@ -117,6 +123,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
     "op3_jaccard_groups": op3_jaccard_groups,
     "op6_token_counts": op6_token_counts,
