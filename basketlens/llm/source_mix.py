@@ -38,7 +38,8 @@ LEAF, FAN = 50_000, 256
 SEED = 20240607
 
 # Source as a key without nulls.
-_KEY = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+def _source_key():
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
 
 
 def word_count(text: str):
@@ -162,7 +163,7 @@ def _pivot(batches: Iterator[pa.RecordBatch], level: int, seed: int, last: bool)
 
 def mixed(rows: DataFrame, key: str, space: Workspace, leaf: int = LEAF, fan: int = FAN, seed: int = SEED, **how) -> DataFrame:
     """``rows`` (source, size, key and others) with source_size, target and ``copies``."""
-    targets = source_targets(rows.select("source", "size"), space, **how).withColumn("skey", _KEY)
+    targets = source_targets(rows.select("source", "size"), space, **how).withColumn("skey", _source_key())
     # At most (all rows / leaf) sources are as large as this.
     hot = targets.where(F.col("n_docs") > leaf).select(
         "skey", F.ceil(F.col("n_docs") / F.lit(leaf)).cast("bigint").alias("parts")
@@ -170,7 +171,7 @@ def mixed(rows: DataFrame, key: str, space: Workspace, leaf: int = LEAF, fan: in
     most = hot.agg(F.max("parts")).first()[0] or 1
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     part = F.pmod(F.xxhash64(key, "size"), F.coalesce("parts", F.lit(1)))
-    spread = rows.withColumn("skey", _KEY).join(F.broadcast(hot), "skey", "left").withColumn("bucket", part).drop("parts")
+    spread = rows.withColumn("skey", _source_key()).join(F.broadcast(hot), "skey", "left").withColumn("bucket", part).drop("parts")
     each = targets.select("skey", "source_size", "target").join(hot, "skey", "left").select(
         "skey", "source_size", "target",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1)).alias("bucket"),

@@ -13,65 +13,49 @@ are counted each; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.pretokens import Units, bounded, chunks_of, worker_store
+from basketlens.llm.pretokens import Units, slices
 from basketlens.sources.staging import Workspace
 
 #: Commonest units that are broadcast, and the longest unit among them: at most 8 MB.
 HEAD, HEAD_CHARS = 200_000, 16
-#: Entries of a task's cache and of its running counts.
-CACHE = 500_000
+#: Texts that are split together, by number and bytes.
+SPLIT_ROWS, SPLIT_BYTES = 8_192, 12 << 20
+#: Units that a task counts before it passes them on.
+HELD = 1_000_000
 OUT_ROWS = 50_000
 LIMIT = 2_048
 
 
-def _splitter(vocabulary: str):
-    """chunk -> its units, a chunk that isn't split being a unit itself."""
-    units = Units.opened(vocabulary)
-    cache = worker_store().setdefault("splits", {})
-
-    def split(chunk: bytes) -> list[str]:
-        found = cache.get(chunk)
-        if found is None:
-            found = units.split(chunk) or [chunk.decode("utf-8", "replace")]
-            bounded(cache, CACHE)[chunk] = found
-        return found
-
-    return split
-
-
 def unit_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
-    """(unit, n) of a one-column frame of texts as bytes: how often each unit occurs."""
+    """(unit, n) of a one-column frame of texts: how often each unit occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = _splitter(vocabulary)
-        chunks: Counter = Counter()
-
-        def drained() -> Iterator[pa.RecordBatch]:
-            found: Counter = Counter()
-            for chunk, n in chunks.items():
-                for unit in split(chunk):
-                    found[unit] += n
-            chunks.clear()
-            names, numbers = list(found), list(found.values())
-            for k in range(0, len(names), OUT_ROWS):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[k : k + OUT_ROWS], pa.string()), pa.array(numbers[k : k + OUT_ROWS], pa.int64())],
-                    ["unit", "n"],
-                )
+        units = Units.opened(vocabulary)
+        held: list[pa.Table] = []
+
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("unit").aggregate([("n", "sum")]).rename_columns(["unit", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                chunks.update(chunks_of(text))
-                if len(chunks) > CACHE:
-                    yield from drained()
-        yield from drained()
+            column = batch.column(0).cast(pa.string()).fill_null("")
+            for first, size in slices(column, SPLIT_ROWS, SPLIT_BYTES):
+                for _, codes, _, names in units.column_units(column.slice(first, size)):
+                    n = np.bincount(codes.to_numpy(zero_copy_only=False), minlength=len(names))
+                    held.append(pa.table({"unit": names, "n": pa.array(n, pa.int64())}))
+                if sum(map(len, held)) > HELD:
+                    held = [summed()]
+                    if len(held[0]) > HELD // 2:
+                        yield from held.pop().to_batches(OUT_ROWS)
+        if held:
+            yield from summed().to_batches(OUT_ROWS)
 
     return texts.mapInArrow(count, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
 
@@ -105,53 +89,49 @@ def token_counts(
 ) -> DataFrame:
     """Per row: key, n_bytes, n_tokens, over_limit."""
     space = Workspace(documents.sparkSession, "token-counts")
-    texts = documents.select(
-        F.col(key).cast("bigint").alias("key"), F.col(text).cast("binary").alias("text")
-    )
+    texts = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     table = space.save(with_pieces(unit_counts(texts.select("text"), vocabulary), vocabulary), "pieces")
     common = (
         table.where(F.length("unit") <= HEAD_CHARS)
-        .orderBy(F.desc("n"), "unit").limit(head).select("unit", "pieces").collect()
+        .orderBy(F.desc("n"), "unit").limit(head).select("unit", "pieces").toPandas()
+    )
+    known = documents.sparkSession.sparkContext.broadcast(
+        (common["unit"].tolist(), common["pieces"].to_numpy(np.int64))
     )
-    run = space.folder
-    known = documents.sparkSession.sparkContext.broadcast({r["unit"]: r["pieces"] for r in common})
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per document with what is known, and a row per rarer unit in it."""
-        split, pieces = _splitter(vocabulary), known.value
-        # Pieces of a chunk whose units are all common; others by unit.
-        store = worker_store()
-        if store.get("sums_of") != run:  # another run had other common units
-            store["sums_of"], store["sums"] = run, {}
-        sums = store["sums"]
-        rows: list[tuple] = []
+        """A row per document with the pieces that are known, and one per rarer unit in it."""
+        units = Units.opened(vocabulary)
+        head_units = pa.array(known.value[0], pa.string())
+        head_pieces = np.append(known.value[1], 0)
         for batch in batches:
-            for row, key_, content in zip(*(c.to_pylist() for c in batch.columns)):
-                total, rare = 0, Counter()
-                for chunk, n in Counter(chunks_of(content)).items():
-                    found = sums.get(chunk)
-                    if found is None:
-                        counted = [(u, pieces.get(u)) for u in split(chunk)]
-                        found = (
-                            sum(p for _, p in counted if p is not None),
-                            [u for u, p in counted if p is None],
-                        )
-                        bounded(sums, CACHE)[chunk] = found
-                    total += n * found[0]
-                    for unit in found[1]:
-                        rare[unit] += n
-                rows.append((row, key_, None, total, len(content) if content else 0))
-                rows += [(row, None, unit, n, None) for unit, n in rare.items()]
-                if len(rows) > OUT_ROWS:
-                    yield _rows(rows)
-                    rows = []
-        yield _rows(rows)
-
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [[]] * 5
-        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            column = batch.column(2).cast(pa.string()).fill_null("")
+            for first, size in slices(column, SPLIT_ROWS, SPLIT_BYTES):
+                part = batch.slice(first, size)
+                row = part.column(0).to_numpy()
+                total = np.zeros(size, np.int64)
+                for rows, codes, starts, names in units.column_units(column.slice(first, size)):
+                    at = pc.fill_null(pc.index_in(names, head_units), len(head_units)).to_numpy()
+                    own = codes.to_numpy(zero_copy_only=False)
+                    sums = np.concatenate([[0], np.cumsum(head_pieces[at][own])])
+                    total[rows] = np.diff(sums[starts])
+                    rare = np.flatnonzero((at == len(head_units))[own])
+                    holder = np.searchsorted(starts, rare, "right") - 1
+                    both, n = np.unique(holder * len(names) + own[rare], return_counts=True)
+                    yield _batch(
+                        row[rows[both // max(1, len(names))]], None,
+                        names.take(pa.array(both % max(1, len(names)))), n, None,
+                    )
+                yield _batch(row, part.column(1), None, total, pc.binary_length(column.slice(first, size)))
+
+    def _batch(row, key_, unit, n, n_bytes) -> pa.RecordBatch:
+        def column(values, kind):
+            return pa.nulls(len(row), kind) if values is None else values
+
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], ["row", "key", "unit", "n", "n_bytes"]
+            [pa.array(row, pa.int64()), column(key_, pa.int64()), column(unit, pa.string()),
+             pa.array(n, pa.int64()), column(n_bytes, pa.int64()).cast(pa.int64())],
+            ["row", "key", "unit", "n", "n_bytes"],
         )
 
     # The scan gives a row the same number when a task runs again.
