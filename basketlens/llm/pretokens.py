@@ -176,8 +176,8 @@ def split_column(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
     capital = np.flatnonzero(raw[:-1] == 0xC3) + 1  # second bytes of letters beyond ASCII
     low[capital] += np.where(raw[capital] < 0x9F, 0x20, 0).astype(np.uint8)
     kind = _KIND[low]
-    begins = kind != np.concatenate([[0], kind[:-1]])
-    begins |= kind == _DIGIT
+    begins = kind == _DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
     begins[cuts[:-1][cuts[:-1] < len(raw)]] = True
     inside = kind != 0
     begins &= inside
@@ -186,7 +186,7 @@ def split_column(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
     places = np.append(first, len(packed)).astype(np.int32)
     pieces = pa.StringArray.from_buffers(len(first), pa.py_buffer(places), pa.py_buffer(packed))
     found = pc.dictionary_encode(pieces)
-    starts = np.concatenate([[0], np.cumsum(begins)])[cuts]
+    starts = np.searchsorted(np.flatnonzero(begins), cuts)
     return found.indices, starts, found.dictionary
 
 

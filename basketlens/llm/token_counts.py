@@ -27,7 +27,7 @@ from basketlens.sources.staging import Workspace
 #: Commonest units that are broadcast, and the longest unit among them: at most 8 MB.
 HEAD, HEAD_CHARS = 200_000, 16
 #: Texts that are split together, by number and bytes.
-SPLIT_ROWS, SPLIT_BYTES = 8_192, 12 << 20
+SPLIT_ROWS, SPLIT_BYTES = 8_192, 6 << 20
 #: Units that a task counts before it passes them on.
 HELD = 1_000_000
 OUT_ROWS = 50_000

@@ -28,9 +28,9 @@ from basketlens.sources.staging import Workspace
 #: Documents a file holds on average, and the most files that are written.
 FILE_ROWS, MAX_FILES = 4_096, 4_096
 #: Entries of a worker's cache of encoded pre-tokens.
-CACHE = 1_000_000
+CACHE = 400_000
 #: Texts that are encoded together, by number and bytes.
-ENCODE_ROWS, ENCODE_BYTES = 8_192, 12 << 20
+ENCODE_ROWS, ENCODE_BYTES = 8_192, 6 << 20
 #: Output rows that are held together.
 OUT_ROWS = 1_024
 
@@ -76,6 +76,7 @@ def write_files(
                 part = keys[k : k + n]
                 files = [0 if x is None else 1 + int(np.searchsorted(places, x, "right")) for x in part]
                 ids = encoded(texts.slice(k, n), units, end_id)
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(files, pa.int32()), pa.array(part, pa.int64()), pa.array(ids, pa.binary())],
                     ["file", "key", "ids"],
