@@ -155,14 +155,14 @@ class Reader:
         end = source.tell()
         source.seek(end - struct.calcsize(_TRAILER))
         blocks, patches, documents, self.n_ids, magic = struct.unpack(_TRAILER, source.read(struct.calcsize(_TRAILER)))
+        source.seek(0)
+        if magic != MAGIC or struct.unpack(_HEADER, source.read(struct.calcsize(_HEADER)))[:3] != (MAGIC, 1, BLOCK):
+            raise ValueError("not a file of packed ids")
         sizes = [patches * PATCH.itemsize, blocks * INDEX.itemsize, documents * DOCUMENT.itemsize]
         source.seek(end - struct.calcsize(_TRAILER) - sum(sizes))
         self.patches = np.frombuffer(source.read(sizes[0]), PATCH)
         self.index = np.frombuffer(source.read(sizes[1]), INDEX)
         self.documents = np.frombuffer(source.read(sizes[2]), DOCUMENT)
-        source.seek(0)
-        if magic != MAGIC or struct.unpack(_HEADER, source.read(struct.calcsize(_HEADER)))[:3] != (MAGIC, 1, BLOCK):
-            raise ValueError("not a file of packed ids")
 
     def blocks(self, first: int, last: int) -> np.ndarray:
         """The ids of blocks first to last - 1."""
