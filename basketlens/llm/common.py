@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.sources.staging import Workspace
@@ -16,6 +16,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of a batch that Python tasks get at once; Spark's own default is 64 MB,
+#: which with growing buffers on both sides is several hundred MB an executor.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the batches of a session that has no bound of its own."""
+    if BATCH_CONF not in spark.conf.getAll:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
+    return spark
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A to Z and nothing else."""
     return F.translate(text, _UPPER, _LOWER)

@@ -42,8 +42,8 @@ SHINGLE = 4
 #: Two documents link when 100 * common >= PERCENT * all.
 PERCENT = 85
 #: Shingles whose count orders them after all others: those that a batch of
-#: documents holds this often, the commonest of them. They only steer the load.
-COMMON_IN_BATCH, COMMON = 4, 100_000
+#: documents (COUNT_ROWS at most) holds this often, the commonest of them. They only steer the load.
+COMMON_IN_BATCH, COMMON, COUNT_ROWS = 4, 100_000, 2_048
 #: 64-bit words of the bitmap that bounds an overlap.
 BITMAP_WORDS = 16
 #: Bits of the filters that spare work on shingles and sets no pair needs.
@@ -99,10 +99,12 @@ def ordered(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.nd
     return np.concatenate([hashes[~known], late[np.lexsort((late, counts[at[known]]))]])
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+def _texts(
+    batches: Iterator[pa.RecordBatch], column: int, rows: int = OUT_ROWS
+) -> Iterator[tuple[pa.RecordBatch, list]]:
     for batch in batches:
-        for k in range(0, batch.num_rows, OUT_ROWS):
-            part = batch.slice(k, OUT_ROWS)
+        for k in range(0, batch.num_rows, rows):
+            part = batch.slice(k, rows)
             yield part, part.column(column).to_pylist()
 
 
@@ -110,9 +112,9 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The commonest shingles and their counts, at most COMMON of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for _, texts in _texts(batches, 0, COUNT_ROWS):
             seen, sets = set(), []
-            for text in batch.column(0).to_pylist():
+            for text in texts:
                 own = shingles(text)
                 key = digest(own)
                 if key not in seen:

@@ -19,6 +19,7 @@ from basketlens.llm import (
     token_files,
     url_rules,
 )
+from basketlens.llm.common import small_batches
 from basketlens.llm.url_rules import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +34,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def vocabulary(name: str) -> str:

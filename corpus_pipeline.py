@@ -10,26 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.llm import decontaminate, hilbert_shards, jaccard_groups, language_id, source_mix
+from basketlens.llm.common import small_batches
 from basketlens.sources.staging import Workspace
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier accepts."""
+    small_batches(spark)
     return language_id.accepted_rows(docs)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each similarity component."""
+    small_batches(spark)
     return jaccard_groups.one_per_component(docs)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage of weight."""
+    small_batches(spark)
     return decontaminate.clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    small_batches(spark)
     return source_mix.mix_rows(docs)
 
 
