@@ -45,14 +45,22 @@ def cuts_below(cuts: str, coarse: str, step: int, value: str) -> str:
 class Distribution:
     """Value counts ``(by..., v, n)`` of an integer column, nulls left out."""
 
-    def __init__(self, df: DataFrame, value: Column | str, by: list[str] | None = None):
+    def __init__(
+        self,
+        df: DataFrame,
+        value: Column | str,
+        by: list[str] | None = None,
+        weight: str | None = None,
+    ):
         self.by = list(by or [])
         v = F.col(value) if isinstance(value, str) else value
+        # ``weight``: how many rows a row of ``df`` stands for.
+        n = F.col(weight) if weight else F.lit(1)
         self.counts = (
-            df.select(*self.by, v.cast("bigint").alias("v"))
+            df.select(*self.by, v.cast("bigint").alias("v"), n.cast("bigint").alias("n"))
             .where(F.col("v").isNotNull())
             .groupBy(*self.by, "v")
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("n").alias("n"))
         )
 
     def _attach(self, per_group: DataFrame) -> DataFrame:

@@ -85,6 +85,21 @@ SELECT segment, {int_("year(last_order_date)")} AS year, COUNT(*) AS num_custome
 FROM segments GROUP BY 1, 2""",
             RFM_CTE,
         ),
+        **{
+            f"rfm_segment_by_{name}": query(
+                f"""
+SELECT segment, c.{source} AS {column}, COUNT(*) AS num_customers,
+  {dbl("SUM(monetary_cents)")} / 100 AS total_revenue_usd,
+  {pct("COUNT(*)", "SUM(COUNT(*)) OVER (PARTITION BY segment)")} AS pct_of_segment_customers,
+  {pct("SUM(monetary_cents)", "SUM(SUM(monetary_cents)) OVER (PARTITION BY segment)")}
+    AS pct_of_segment_revenue
+FROM segments s LEFT JOIN dim_customer c ON c.customer_key = s.customer_key GROUP BY 1, 2""",
+                RFM_CTE,
+            )
+            for name, source, column in [
+                ("country", "country", "customer_country"), ("continent", "continent", "continent"),
+            ]
+        },
         "segment_filtered": query(
             f"SELECT * FROM ({SUMMARY}) AS s "
             "WHERE segment IN ('At Risk', 'Can''t Lose Them', 'Lost')",
@@ -471,6 +486,15 @@ FROM (SELECT {int_("year(d)")} AS year, {int_("month(d)")} AS month, SUM(cur) AS
     SELECT CAST(order_date + INTERVAL 12 MONTH AS DATE), NULL, revenue_usd FROM fact_sales) AS u
   WHERE d <= {LAST}
   GROUP BY 1, 2) AS t""",
+        "m_revenue_yoy_to_calendar_end": f"""
+SELECT year, {pct("COALESCE(cur, 0) - prior", "prior")} AS revenue_yoy_growth_pct,
+  last_day <= {LAST} AS yoy_period_complete
+FROM (SELECT {int_("year(d)")} AS year, SUM(cur) AS cur, SUM(prior) AS prior, MAX(d) AS last_day
+  FROM (SELECT order_date AS d, revenue_usd AS cur, NULL AS prior FROM fact_sales
+    UNION ALL
+    SELECT CAST(order_date + INTERVAL 12 MONTH AS DATE), NULL, revenue_usd FROM fact_sales) AS u
+  WHERE d <= DATE '2001-12-31'
+  GROUP BY 1) AS t""",
         "weekday_channel_orders": f"SELECT {int_('isodow(order_date) - 1')} AS weekday, "
         f"dayname(order_date) AS day_name, channel, {o} AS orders FROM wide GROUP BY 1, 2, 3",
         "product_margin_tiers": f"SELECT {pct('unit_price_usd - unit_cost_usd', 'unit_price_usd')} "

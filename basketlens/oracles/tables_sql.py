@@ -54,7 +54,9 @@ FROM dim_product p JOIN flat f ON p.product_key = f.product_key""")
     sql["dim_date"] = query("SELECT * FROM dim_date")
     sql["dim_date_fixed"] = query("""
 SELECT d.date_key, d.month_name, d.day_name, d.is_weekend, d.year, d.quarter, d.month, d.day,
-  d.day_of_week, COUNT(f.order_number) AS n_lines
+  d.day_of_week, COUNT(f.order_number) AS n_lines,
+  (SELECT COUNT(*) FROM fact_sales WHERE order_date < DATE '1995-01-01') AS lines_before,
+  (SELECT COUNT(*) FROM fact_sales WHERE order_date > DATE '2001-12-31') AS lines_after
 FROM (SELECT date_key, monthname(date_key) AS month_name, dayname(date_key) AS day_name,
     (isodow(date_key) >= 6) AS is_weekend,
     CAST(year(date_key) AS INTEGER) AS year, CAST(quarter(date_key) AS INTEGER) AS quarter,
@@ -115,6 +117,10 @@ TOTAL = "(SELECT SUM(revenue_usd) FROM fact_sales)"
 
 def quality_oracles() -> dict[str, str]:
     dup = _surplus("fact_sales", "order_number, line_item")
+    composite = (
+        "((SELECT COUNT(*) FROM fact_sales) - (SELECT COUNT(*) FROM (SELECT DISTINCT order_number, "
+        "line_item FROM fact_sales WHERE order_number IS NOT NULL AND line_item IS NOT NULL) AS k))"
+    )
     one = {
         "dup_transaction_key": dup,
         "order_date_valid": _count("fact_sales", "order_date IS NULL"),
@@ -132,7 +138,7 @@ def quality_oracles() -> dict[str, str]:
             "fact_sales", "COALESCE(abs(quantity * unit_price_usd - revenue_usd) >= 0.000001, TRUE)"
         ),
         "negative_profit": _count("fact_sales", "profit_usd < 0"),
-        "fact_composite_key": dup,
+        "fact_composite_key": composite,
         "duplicate_groups": "(SELECT COUNT(*) FROM (SELECT customer_key FROM dim_customer "
         "GROUP BY 1 HAVING COUNT(*) > 1) AS t)",
         "check_quantity_constraint": _count("fact_sales", "quantity <= 0"),
@@ -152,6 +158,15 @@ def quality_oracles() -> dict[str, str]:
         for t, s in counts.items()
     ]
     sql["dq_row_counts"] = query("\nUNION ALL ".join(row_counts))
+    numbers = {
+        "sales": ("lineitem", "l_orderkey"), "customers": ("customer", "c_custkey"),
+        "products": ("part", "p_partkey"), "stores": ("supplier", "s_suppkey"),
+        "exchange_rates": ("exchange_rate", "exchange"),
+    }
+    sql["dq_unreadable_cells"] = query("\nUNION ALL ".join(
+        _check(n, _count(t, f"{c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL"))
+        for n, (t, c) in numbers.items()
+    ))
     keys = {
         "dim_customer": "customer_key", "dim_product": "product_key", "dim_store": "store_key",
         "dim_category": "category_key", "dim_subcategory": "subcategory_key",
@@ -202,7 +217,7 @@ def quality_oracles() -> dict[str, str]:
     )
     sql["dq_star_suite"] = query(
         "\nUNION ALL ".join(
-            [*row_counts, *primary, _check("fact_composite_key", dup), *foreign,
+            [*row_counts, *primary, _check("fact_composite_key", composite), *foreign,
              _check("duplicate_groups", one["duplicate_groups"]), reconciles]
         )
     )

@@ -101,11 +101,6 @@ def clean_sales(raw: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_product_keys(products: DataFrame) -> DataFrame:
-    """Keys that would multiply sales lines in the price lookup."""
-    return products.groupBy("product_key").count().where("count > 1")
-
-
 # -- star --------------------------------------------------------------------
 
 

@@ -49,7 +49,7 @@ def customer_age(star: Star) -> Distribution:
 
 
 def line_revenue(star: Star) -> Distribution:
-    return Distribution(star.fact("revenue_cents"), "revenue_cents")
+    return Distribution(star.line_value_counts("revenue_cents"), "revenue_cents", weight="n")
 
 
 # -- helpers -------------------------------------------------------------------
@@ -225,9 +225,8 @@ def eda_product_qty_revenue_corr(star: Star) -> DataFrame:
 
 def eda_category_line_box(star: Star) -> DataFrame:
     """Box plot of line revenue per category, highest median first."""
-    dist = Distribution(
-        star.lines("category_name", "revenue_cents"), "revenue_cents", ["category_name"]
-    )
+    by = ["category_name"]
+    dist = Distribution(star.line_value_counts("revenue_cents", by), "revenue_cents", by, "n")
     return _money_box(dist.box(), "category_name").orderBy(
         F.col("median_usd").desc(), "category_name"
     )

@@ -27,6 +27,7 @@ BLOCKS = {
     "revenue_per_customer": ["r", "c"],
     "historical_clv": ["r", "c"],
     "revenue_yoy_growth_pct": ["current", "prior"],
+    "yoy_period_complete": ["current", "prior"],
     "repeat_customers": ["ever"],
     "repeat_customers_in_context": ["again"],
     "repeat_purchase_rate_pct": ["ever", "c"],
@@ -49,6 +50,8 @@ def _formula(measure: str) -> Column:
         "historical_clv": per_customer,
         # No sales a year earlier: blank. Sales then but none now: -100.
         "revenue_yoy_growth_pct": percent2(F.coalesce("current", F.lit(0)) - F.col("prior"), "prior"),
+        # Whether the period ends by the last order, so both years cover it alike.
+        "yoy_period_complete": F.col("whole"),
         "repeat_customers": F.col("ever"),
         "repeat_customers_in_context": F.col("again"),
         "repeat_purchase_rate_pct": percent2("ever", "c"),
@@ -131,12 +134,16 @@ def _sales_blocks(star: Star, dims: list[str], filters: Filters, need: set[str])
     return blocks
 
 
-def _growth_block(star: Star, dims: list[str], filters: Filters) -> DataFrame:
+def _growth_block(
+    star: Star, dims: list[str], filters: Filters, calendar_end: str | None
+) -> DataFrame:
     """Revenue and the revenue of the same dates one year earlier.
 
     Every day's revenue also counts as prior revenue of the day twelve months
-    later, as long as that day lies within the calendar. No self join: a
-    period without an earlier one simply has no prior part.
+    later, as long as that day lies within the calendar, which ends with
+    ``calendar_end`` or else with the last order. No self join: a period
+    without an earlier one simply has no prior part. ``whole`` tells whether
+    all days that count lie before the last order.
     """
     date_dims = [d for d in dims if d in DATE_COLUMNS]
     other_dims = [d for d in dims if d not in DATE_COLUMNS]
@@ -152,17 +159,23 @@ def _growth_block(star: Star, dims: list[str], filters: Filters) -> DataFrame:
         "inline(array(struct(order_date, r AS current, CAST(NULL AS BIGINT) AS prior), "
         "struct(add_months(order_date, 12) AS order_date, CAST(NULL AS BIGINT) AS current, "
         "r AS prior)))",
-    ).where(F.col("order_date") <= star.last_order_date().scalar())
+    )
+    last = star.last_order_date().scalar()
+    end = F.lit(calendar_end).cast("date") if calendar_end else last
+    both = both.where(F.col("order_date") <= end).withColumn("whole", F.col("order_date") <= last)
     named = both.selectExpr(
         *other_dims,
         *[f"{DATE_COLUMNS[d]} AS {d}" for d in dict.fromkeys([*date_dims, *date_filters])],
         "current",
         "prior",
+        "whole",
     )
     for column, value in date_filters.items():
         named = named.where(_condition(column, value))
     return named.groupBy(*dims).agg(
-        F.sum("current").alias("current"), F.sum("prior").alias("prior")
+        F.sum("current").alias("current"),
+        F.sum("prior").alias("prior"),
+        F.bool_and("whole").alias("whole"),
     )
 
 
@@ -180,8 +193,13 @@ def measures_by(
     measures: list[str],
     dims: list[str] | None = None,
     filters: Filters | None = None,
+    calendar_end: str | None = None,
 ) -> DataFrame:
-    """Evaluate ``measures`` per combination of ``dims`` under ``filters``."""
+    """Evaluate ``measures`` per combination of ``dims`` under ``filters``.
+
+    ``calendar_end`` is the last day that growth over the year before looks
+    at; by default that of the last order.
+    """
     dims, filters = list(dims or []), dict(filters or {})
     unknown = [m for m in measures if m not in BLOCKS]
     if unknown:
@@ -191,7 +209,7 @@ def measures_by(
     if need & {"r", "q", "o", "c", "again", "ever", "new"}:
         blocks.extend(_sales_blocks(star, dims, filters, need))
     if need & {"current", "prior"}:
-        blocks.append(_growth_block(star, dims, filters))
+        blocks.append(_growth_block(star, dims, filters, calendar_end))
     if "median" in need:
         blocks.append(_median_block(star, dims, filters))
     # Blocks have one row per group and agree where they share a column.

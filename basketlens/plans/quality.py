@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import close_to
+from basketlens.sources.raw_files import RAW_SCHEMAS, unreadable
 from basketlens.sources.star import Star
 
 RECOMPUTE_TOLERANCE = 1e-6
@@ -122,13 +123,18 @@ def surplus_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return groups.agg(F.sum(F.col("k") - 1).alias("n"))
 
 
-def dup_transaction_key(star: Star, name: str = "dup_transaction_key") -> DataFrame:
+def dup_transaction_key(star: Star) -> DataFrame:
     keys = ["order_number", "line_item"]
-    return surplus_rows(star.fact(*keys), keys).select(*_zero(name, "n"))
+    return surplus_rows(star.fact(*keys), keys).select(*_zero("dup_transaction_key", "n"))
 
 
 def fact_composite_key(star: Star) -> DataFrame:
-    return dup_transaction_key(star, "fact_composite_key")
+    """Rows without a key of their own; unlike duplicates, a null in the key counts."""
+    keys = ["order_number", "line_item"]
+    groups = star.fact(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("k"))
+    whole = F.col("order_number").isNotNull() & F.col("line_item").isNotNull()
+    excess = F.sum("k") - F.sum(F.when(whole, 1).otherwise(0))
+    return groups.agg(excess.alias("n")).select(*_zero("fact_composite_key", "n"))
 
 
 def customer_key_unique(star: Star) -> DataFrame:
@@ -146,6 +152,7 @@ def duplicate_groups(star: Star) -> DataFrame:
     )
 
 
+# The key of each dimension.
 PRIMARY_KEYS = {
     "dim_customer": "customer_key",
     "dim_product": "product_key",
@@ -156,10 +163,12 @@ PRIMARY_KEYS = {
 }
 
 
-def primary_keys(star: Star) -> DataFrame:
+def primary_keys(star: Star, tables: list[str] | None = None) -> DataFrame:
     """Rows without a key of their own: duplicates and nulls alike."""
     checks = []
     for table, key in PRIMARY_KEYS.items():
+        if tables is not None and table not in tables:
+            continue
         excess = star.table(table).agg(
             (F.count(F.lit(1)) - F.count_distinct(key)).alias("n")
         )
@@ -240,8 +249,20 @@ def foreign_keys(star: Star) -> DataFrame:
     )
 
 
+# -- files -------------------------------------------------------------------------
+
+
+def unreadable_cells(cells: Mapping[str, DataFrame]) -> DataFrame:
+    """Cells of each raw table that hold something, but not a value of their type."""
+    tables = [n for n in RAW_SCHEMAS if n in cells]
+    return union_checks(
+        [unreadable(cells[n], RAW_SCHEMAS[n]).select(*_zero(n, "n")) for n in tables]
+    )
+
+
 # -- totals --------------------------------------------------------------------
 
+# The raw table behind each star table.
 SOURCES = {
     "dim_customer": "customers",
     "dim_product": "products",

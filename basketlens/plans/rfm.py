@@ -144,6 +144,29 @@ def segment_summary(segments: DataFrame) -> DataFrame:
     ).orderBy(F.col("total_revenue_usd").desc(), "segment")
 
 
+def segment_by(segments: DataFrame, star: Star, attribute: str) -> DataFrame:
+    """Customers and revenue per segment and customer attribute, with shares of the segment.
+
+    Both sides have a row per customer. Customers without a master record
+    stay, with a null attribute.
+    """
+    known = segments.join(star.customer_flat(attribute), "customer_key", "left")
+    counts = known.groupBy("segment", attribute).agg(
+        F.count(F.lit(1)).alias("num_customers"), F.sum("monetary_cents").alias("r")
+    )
+    per_segment = Window.partitionBy("segment")
+    return counts.select(
+        "segment",
+        attribute,
+        "num_customers",
+        usd("r").alias("total_revenue_usd"),
+        percent2("num_customers", F.sum("num_customers").over(per_segment)).alias(
+            "pct_of_segment_customers"
+        ),
+        percent2("r", F.sum("r").over(per_segment)).alias("pct_of_segment_revenue"),
+    )
+
+
 def segment_last_order_year(segments: DataFrame) -> DataFrame:
     """Where in time each segment's last orders lie."""
     counts = segments.groupBy("segment", F.year("last_order_date").alias("year")).agg(

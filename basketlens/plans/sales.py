@@ -34,19 +34,42 @@ def _growth(cents: str, window: Window) -> Column:
     return percent2(F.col(cents) - before, before)
 
 
+def _orders_and_customers(
+    star: Star, orders: DataFrame, dims: list[str], sums: list[str] | None = None
+) -> DataFrame:
+    """Revenue ``r``, orders ``o``, customers ``c`` and further sums per group of order rows.
+
+    Where a star promises one customer per order, orders are counted per
+    customer and customers then counted: two plain aggregates in place of two
+    distinct counts, for which every row would be copied twice.
+    """
+    totals = [F.sum(s).cast("bigint").alias(s) for s in sums or []]
+    if not star.one_customer_per_order:
+        return orders.groupBy(*dims).agg(
+            F.sum("revenue_cents").alias("r"),
+            F.count_distinct("order_number").alias("o"),
+            F.count_distinct("customer_key").alias("c"),
+            *totals,
+        )
+    per_customer = orders.groupBy(*dims, "customer_key").agg(
+        F.sum("revenue_cents").alias("r"), F.count("order_number").alias("o"), *totals
+    )
+    return per_customer.groupBy(*dims).agg(
+        F.sum("r").alias("r"),
+        F.coalesce(F.sum("o"), F.lit(0)).alias("o"),
+        F.count("customer_key").alias("c"),
+        *totals,
+    )
+
+
 def kpi_summary(star: Star) -> DataFrame:
     orders = star.orders("order_number", "customer_key", "revenue_cents", "quantity")
-    totals = orders.agg(
-        F.sum("revenue_cents").alias("r"),
-        F.count_distinct("order_number").alias("o"),
-        F.count_distinct("customer_key").alias("c"),
-        F.sum("quantity").alias("q"),
-    )
+    totals = _orders_and_customers(star, orders, [], ["quantity"])
     return totals.select(
         _usd_total("r", "total_revenue_usd"),
         F.col("o").alias("total_orders"),
         F.col("c").alias("total_customers_who_ordered"),
-        F.col("q").alias("total_units_sold"),
+        F.col("quantity").alias("total_units_sold"),
         _per("r", "o").alias("avg_order_value_usd"),
         _per("r", "c").alias("avg_revenue_per_customer_usd"),
     )
@@ -225,17 +248,14 @@ def category_profit_margin(star: Star) -> DataFrame:
 
 
 def revenue_by_customer_country(star: Star) -> DataFrame:
-    by_country = (
+    orders = (
         star.orders(
             "customer_country", "order_number", "customer_key", "revenue_cents", unmatched=True
         )
-        .groupBy("customer_country", "matched")
-        .agg(
-            F.sum("revenue_cents").alias("r"),
-            F.count_distinct("order_number").alias("total_orders"),
-            F.count_distinct("customer_key").alias("total_customers"),
-        )
     )
+    by_country = _orders_and_customers(
+        star, orders, ["customer_country", "matched"]
+    ).withColumnsRenamed({"o": "total_orders", "c": "total_customers"})
     return _with_share(by_country).select(
         F.col("customer_country").alias("country"),
         _usd_total("r", "total_revenue_usd"),
@@ -288,22 +308,26 @@ def revenue_by_channel(star: Star) -> DataFrame:
 
 def revenue_by_store_country(star: Star) -> DataFrame:
     """Store-side geography; only stores with sales are counted."""
-    # Reduced to (order, store) first: the two distinct counts then multiply
-    # those rows instead of the lines.
+    # Reduced to (order, store) first; orders and stores are then counted apart.
     visits = (
         star.fact("order_number", "store_key", "revenue_cents")
         .groupBy("order_number", "store_key")
         .agg(F.sum("revenue_cents").alias("r"))
     )
-    by_country = (
-        star.look_up(visits, star.store_flat("store_country"), "store_key")
+    countries = star.store_flat("store_country")
+    orders = (
+        star.look_up(visits, countries, "store_key")
+        .groupBy("store_country", "order_number")
+        .agg(F.sum("r").alias("r"))
         .groupBy("store_country")
-        .agg(
-            F.sum("r").alias("r"),
-            F.count_distinct("order_number").alias("total_orders"),
-            F.count_distinct("store_key").alias("store_count"),
-        )
+        .agg(F.sum("r").alias("r"), F.count("order_number").alias("total_orders"))
+    )
+    stores = (
+        visits.select("store_key").distinct().join(countries, "store_key")
+        .groupBy(F.col("store_country").alias("country"))
+        .agg(F.count("store_key").alias("store_count"))
     )
+    by_country = orders.join(stores, F.col("store_country").eqNullSafe(F.col("country"))).drop("country")
     return by_country.select(
         F.col("store_country").alias("country"),
         _usd_total("r", "total_revenue_usd"),

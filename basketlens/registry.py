@@ -129,15 +129,22 @@ def _clean_sales(star: MappedStar) -> DataFrame:
     return cleaning.clean_sales(raw_text.raw_sales(star), products)
 
 
-def _fixed_dates(star: MappedStar) -> DataFrame:
-    """Calendar over a given span, with the order lines that fall on each day."""
-    days = fixed_calendar(star.spark, "1995-01-01", "2001-12-31")
+def fixed_dates(star: MappedStar, first: str, last: str) -> DataFrame:
+    """Calendar over a given span, with the order lines of each day and those
+    before and after the span."""
+    days = fixed_calendar(star.spark, first, last)
     daily = star.orders("order_date", "n_lines").groupBy(
         F.col("order_date").alias("date_key")
     ).agg(F.sum("n_lines").alias("n_lines"))
-    return days.join(daily, "date_key", "left").withColumn(
-        "n_lines", F.coalesce("n_lines", F.lit(0))
-    )
+    outside = [
+        daily.where(missed).agg(F.coalesce(F.sum("n_lines"), F.lit(0)).alias("n")).scalar().alias(name)
+        for name, missed in (
+            ("lines_before", F.col("date_key") < F.lit(first).cast("date")),
+            ("lines_after", F.col("date_key") > F.lit(last).cast("date")),
+        )
+    ]
+    counted = days.join(daily, "date_key", "left")
+    return counted.withColumn("n_lines", F.coalesce("n_lines", F.lit(0))).select("*", *outside)
 
 
 CLEANING: dict[str, StarPlan] = {
@@ -158,7 +165,7 @@ CLEANING: dict[str, StarPlan] = {
     "dim_customer": lambda s: s.table("dim_customer"),
     "dim_store": lambda s: s.table("dim_store"),
     "dim_date": lambda s: s.table("dim_date"),
-    "dim_date_fixed": _fixed_dates,
+    "dim_date_fixed": lambda s: fixed_dates(s, "1995-01-01", "2001-12-31"),
     "fact_sales_build": lambda s: money_as_double(s.table("fact_sales")),
     "exchange_rate": lambda s: money_as_double(s.table("exchange_rate")),
     "revenue_local_currency": cleaning.revenue_local_currency,
@@ -175,6 +182,7 @@ def _row_check(name: str) -> StarPlan:
 QUALITY: dict[str, StarPlan] = {
     **{f"dq_{c.__name__}": c for c in CHECKS},
     **{f"dq_{n}": _row_check(n) for n in quality.ROW_CHECKS},
+    "dq_unreadable_cells": lambda s: quality.unreadable_cells(raw_text.raw_cells(s)),
     "dq_row_counts": lambda s: quality.row_counts(s, raw_text.RawTables(s)),
     "dq_revenue_reconciles": lambda s: quality.revenue_reconciles(s, _clean_sales(s)),
     "dq_star_suite": lambda s: quality.star_suite(s, raw_text.RawTables(s), _clean_sales(s)),
@@ -192,6 +200,10 @@ RFM: dict[str, StarPlan] = {
     "rfm_scores": lambda s: rfm.rfm_scores(rfm.rfm_base(s)),
     "rfm_segments": rfm.rfm_segments,
     "rfm_segment_summary": lambda s: rfm.segment_summary(rfm.rfm_segments(s)),
+    "rfm_segment_by_country": lambda s: rfm.segment_by(
+        rfm.rfm_segments(s), s, "customer_country"
+    ),
+    "rfm_segment_by_continent": lambda s: rfm.segment_by(rfm.rfm_segments(s), s, "continent"),
     "rfm_segment_last_order_year": lambda s: rfm.segment_last_order_year(rfm.rfm_segments(s)),
     "segment_filtered": lambda s: rfm.segment_filtered(rfm.rfm_segments(s)),
     "dashboard_implicit_totals": lambda s: dashboard.implicit_totals(s, rfm.rfm_base(s)),
@@ -232,6 +244,9 @@ MEASURES: dict[str, StarPlan] = {
     "m_revenue_per_customer": _measure(["revenue_per_customer"], ["continent"]),
     "m_historical_clv": _measure(["historical_clv"], ["customer_state"]),
     "m_revenue_yoy": _measure(["revenue_yoy_growth_pct"], ["year", "month"]),
+    "m_revenue_yoy_to_calendar_end": lambda s: measures.measures_by(
+        s, ["revenue_yoy_growth_pct", "yoy_period_complete"], ["year"], calendar_end="2001-12-31"
+    ),
     "m_repeat_customers": _measure(
         ["repeat_customers", "repeat_customers_in_context"], ["year"]
     ),

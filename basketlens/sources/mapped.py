@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.operators.joins import lookup_join
+from basketlens.operators.joins import is_large, lookup_join
 from basketlens.sources.star import (
     CENT_COLUMNS,
     FACT_COLUMNS,
+    LINE_IDENTITY,
+    PRODUCT_COLUMNS,
     Star,
     calendar,
     with_date_parts,
@@ -137,6 +139,8 @@ def _prices_for(money: list[str]) -> list[str]:
 class MappedStar(Star):
     """Star whose tables are views over the source tables in one folder."""
 
+    one_customer_per_order = True  # the order header carries the customer
+
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__({})
         self._spark = spark
@@ -236,6 +240,7 @@ class MappedStar(Star):
         need += ["product_key"] if money or product_cols else []
         need += ["quantity"] if money else []
         need += ["order_number"] if header else []
+        need += LINE_IDENTITY if (money or product_cols) and is_large(self._products()) else []
         df = self.source("lineitem").selectExpr(*_exprs(dict.fromkeys(need), LINE_COLUMNS))
         if money or product_cols:
             products = self._products(*_prices_for(money), *product_cols)
@@ -295,6 +300,21 @@ class MappedStar(Star):
             *[f"{AMOUNT_COLUMNS[t]} AS {t}" if t in amounts else t for t in totals],
         )
 
+    def line_value_counts(self, value: str, by: list[str] | None = None) -> DataFrame:
+        # An amount depends on product and quantity only: lines are counted by
+        # those, and each product's few quantities are priced once.
+        by = list(by or [])
+        if value not in AMOUNT_COLUMNS or not set(by) <= set(PRODUCT_COLUMNS):
+            return super().line_value_counts(value, by)
+        counted = (
+            self.source("lineitem")
+            .selectExpr(*_exprs(["product_key", "quantity"], LINE_COLUMNS))
+            .groupBy("product_key", "quantity")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        priced = counted.join(self._products(*_prices_for([value]), *by), "product_key")
+        return priced.selectExpr(*by, f"{AMOUNT_COLUMNS[value]} AS {value}", "n")
+
     def last_order_date(self) -> DataFrame:
         return self.orders("order_date").agg(F.max("order_date").alias("last_date"))
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import RAW_DATE_FORMAT
 from basketlens.sources.mapped import MappedStar
+from basketlens.sources.raw_files import BROKEN
 
 
 def _date_text(col: str) -> str:
@@ -90,6 +92,20 @@ def raw_exchange_rates(star: MappedStar) -> DataFrame:
     )
 
 
+def raw_cells(star: MappedStar) -> dict[str, DataFrame]:
+    """The raw tables as text cells, each record written as a CSV line and read again."""
+    tables = RawTables(star)
+    quoting = {"escape": '"', "header": "false"}
+    cells = {}
+    for name in tables:
+        raw = tables[name]
+        line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), quoting)
+        texts = ", ".join(f"`{c}` STRING" for c in [*raw.columns, BROKEN])
+        options = {**quoting, "columnNameOfCorruptRecord": BROKEN}
+        cells[name] = raw.select(F.from_csv(line, texts, options).alias("r")).select("r.*")
+    return cells
+
+
 class RawTables(Mapping[str, DataFrame]):
     """The raw tables by name; each plan is built on first use."""
 

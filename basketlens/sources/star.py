@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.operators.joins import lookup_join
+from basketlens.operators.joins import is_large, lookup_join
 
 TABLES = [
     "dim_category", "dim_subcategory", "dim_product", "dim_customer",
@@ -20,6 +20,9 @@ TABLES = [
 # Partition column of a stored fact table.
 STORED_YEAR = "order_year"
 
+# Tells order lines apart.
+LINE_IDENTITY = ["order_number", "line_item"]
+
 FACT_COLUMNS = [
     "order_number", "line_item", "order_date", "delivery_date", "is_delivered",
     "customer_key", "store_key", "product_key", "quantity", "currency_code",
@@ -104,6 +107,9 @@ def fixed_calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
 class Star:
     """A star schema held as eight DataFrames."""
 
+    # Whether every order row belongs to one customer. Loaded data need not.
+    one_customer_per_order = False
+
     def __init__(self, tables: dict[str, DataFrame]):
         self._tables = tables
         # A stored fact is partitioned by year; asking for that column lets a
@@ -157,16 +163,19 @@ class Star:
 
     def look_up(self, facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
         """Lookup join that finds hot keys in the stored fact's key column, so
-        earlier joins of ``facts`` are not run for it."""
-        return lookup_join(facts, dim, key, how, lambda: self.key_rows(key))
+        earlier joins of ``facts`` are not run for it. Hot keys are cut by the
+        line's identity where ``facts`` carries it."""
+        identity = LINE_IDENTITY if set(LINE_IDENTITY) <= set(facts.columns) else []
+        return lookup_join(facts, dim, key, how, lambda: self.key_rows(key), identity=identity)
 
     def fact_with_product(
         self, fact_cols: list[str], product_cols: list[str], how: str = "inner"
     ) -> DataFrame:
         """Fact lines with product columns; a left join also gets ``_product``,
         which is null where there is no product."""
-        facts = self.fact(*dict.fromkeys([*fact_cols, "product_key"]))
         products = self.product_flat(*product_cols)
+        identity = LINE_IDENTITY if is_large(products) else []
+        facts = self.fact(*dict.fromkeys([*fact_cols, "product_key", *identity]))
         if how == "left":
             products = products.selectExpr("*", "true AS _product")
         return self.look_up(facts, products, "product_key", how)
@@ -194,6 +203,10 @@ class Star:
             fact_cols.append("store_key")
         if customer_cols:
             fact_cols.append("customer_key")
+        if (store_cols and is_large(self.store_flat())) or (
+            customer_cols and is_large(self.customer_flat())
+        ):
+            fact_cols.extend(LINE_IDENTITY)
         fact_cols = list(dict.fromkeys(fact_cols))
         how = "left" if unmatched else "inner"
         hits = []
@@ -248,6 +261,12 @@ class Star:
         facts = self.fact("product_key", *[t for t in totals if t != "n_lines"])
         return facts.groupBy("product_key").agg(*[_total(t) for t in totals])
 
+    def line_value_counts(self, value: str, by: list[str] | None = None) -> DataFrame:
+        """How often each value of a line column occurs per group: by..., value, ``n``."""
+        names = [*(by or []), value]
+        rows = self.lines(*names) if by else self.fact(value)
+        return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+
     def customers(self, *cols: str) -> DataFrame:
         """One row per purchasing customer: ``orders``, ``revenue_cents``,
         ``first_date``, ``last_date`` as requested."""

@@ -50,12 +50,6 @@ def test_star_tables(spark):
     assert third.zip_code == "01234" and third.state_code is None
 
 
-def test_fan_out_guard(spark):
-    raw = raw_shop(spark, SALES, products=[*PRODUCTS, PRODUCTS[0]])
-    doubled = cleaning.duplicate_product_keys(cleaning.clean_products(raw["products"]))
-    assert [r.product_key for r in doubled.collect()] == [1]
-
-
 def test_local_currency(spark):
     star = shop_star(spark, SALES[:3])
     got = rows(cleaning.revenue_local_currency(star), "currency_code")
@@ -149,3 +143,45 @@ def test_typed_csv_round_trip(spark, tmp_path):
     raw_files.write_table(df, str(tmp_path / "t"), "csv")
     back = raw_files.read_csv(spark, str(tmp_path / "t"), df.schema, date_format="yyyy-MM-dd")
     assert back.collect() == df.collect()
+
+
+NAMES = ["Key", "Label", "Brand", "Price"]
+TYPES = raw_files._schema("Key:long, Label:text, Brand:text, Price:double")
+
+
+def csv_of(tmp_path, text):
+    path = tmp_path / "t.csv"
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_csv_quotes_and_null_words(spark, tmp_path):
+    path = csv_of(tmp_path, 'Key,Label,Brand,Price\n1,"TV 52"" LCD, Black",NA,1.5\n2,x,"n/a ",NA\n')
+    got = [tuple(r) for r in raw_files.read_csv(spark, path, TYPES).collect()]
+    assert got == [(1, 'TV 52" LCD, Black', None, 1.5), (2, "x", "n/a ", None)]
+    assert raw_files.unreadable(raw_files.read_cells(spark, path, NAMES), TYPES).first().n == 0
+
+
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    path = csv_of(tmp_path, 'Key,Label,Brand,Price\n1,"two\nlines",b,1\n2,x,y,2\n')
+    got = raw_files.read_csv(spark, path, TYPES, line_breaks=True).collect()
+    assert [r.Label for r in got] == ["two\nlines", "x"]
+
+
+def test_csv_with_another_header_is_an_error(spark, tmp_path):
+    path = csv_of(tmp_path, "Label,Key,Brand,Price\nx,1,b,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw_files.read_csv(spark, path, TYPES).collect()
+
+
+def test_csv_counts_what_it_cannot_read(spark, tmp_path):
+    path = csv_of(tmp_path, "Key,Label,Brand,Price\nx12,a,b,1\n2,a,b,cheap\n3,a,b\n4,a,b,2.5\n")
+    cells = raw_files.read_cells(spark, path, NAMES)
+    assert raw_files.unreadable(cells, TYPES).first().n == 3
+    assert [r.Key for r in raw_files.typed_cells(cells, TYPES).collect()] == [None, 2, 3, 4]
+
+
+def test_csv_round_trip_keeps_quotes_and_commas(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "b", c', "d", 2.0)], TYPES)
+    raw_files.write_table(df, str(tmp_path / "t"), "csv")
+    assert raw_files.read_csv(spark, str(tmp_path / "t"), TYPES).collect() == df.collect()

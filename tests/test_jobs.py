@@ -5,7 +5,7 @@ from basketlens.plans import sales
 from basketlens.plans.quality import QualityError
 from basketlens.session import apply_recommended
 from basketlens.sources.raw_files import RAW_FILES, RAW_SCHEMAS
-from basketlens.sources.staging import stage, staging_root
+from basketlens.sources.staging import Workspace, shared_folder, stage
 from shop import CUSTOMERS, PRODUCTS, RATES, STORES, raw_shop, sale
 
 SALES = [
@@ -15,8 +15,8 @@ SALES = [
 ]
 
 
-def export(spark, folder, products=PRODUCTS):
-    raw = raw_shop(spark, SALES, products, CUSTOMERS, STORES, RATES)
+def export(spark, folder, products=PRODUCTS, customers=CUSTOMERS):
+    raw = raw_shop(spark, SALES, products, customers, STORES, RATES)
     raw["data_dictionary"] = spark.createDataFrame(
         [("Sales", "Quantity", "Units")], RAW_SCHEMAS["data_dictionary"]
     )
@@ -42,10 +42,20 @@ def test_export_to_published_tables(spark, tmp_path):
     assert spark.read.parquet(f"{out}/category_revenue").count() == 2
 
 
-def test_duplicate_products_stop_the_build(spark, tmp_path):
-    export(spark, str(tmp_path / "raw"), [*PRODUCTS, PRODUCTS[0]])
-    with pytest.raises(QualityError):
+RELABELLED = (9, "Lamp 2", "Acme", "Red", "$4.00 ", "$10.00 ", "11", "Lights", "1", "Home")
+
+
+@pytest.mark.parametrize("changed,key", [
+    ({"products": [*PRODUCTS, PRODUCTS[0]]}, "dim_product.product_key"),
+    ({"products": [*PRODUCTS, RELABELLED]}, "dim_subcategory.subcategory_key"),
+    ({"customers": [*CUSTOMERS, CUSTOMERS[0]]}, "dim_customer.customer_key"),
+    ({"customers": [*CUSTOMERS, (None, *CUSTOMERS[0][1:])]}, "dim_customer.customer_key"),
+])
+def test_bad_dimension_keys_stop_the_build(spark, tmp_path, changed, key):
+    export(spark, str(tmp_path / "raw"), **changed)
+    with pytest.raises(QualityError, match=key):
         jobs.build_warehouse(spark, str(tmp_path / "raw"), str(tmp_path / "star"))
+    assert not (tmp_path / "star").exists()
 
 
 def test_segments_are_published(spark, star, tmp_path):
@@ -57,12 +67,21 @@ def test_segments_are_published(spark, star, tmp_path):
 
 def test_staging_writes_where_the_session_says(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert staging_root(spark) == root
+    assert shared_folder(spark) == root
     staged = stage(spark.range(5), "numbers")
     assert staged.count() == 5
     assert f"{root}/basketlens/numbers-" in staged.inputFiles()[0]
 
 
+def test_workspace_tables_are_dropped(spark):
+    space = Workspace(spark, "space")
+    saved = space.save(spark.range(3), "a")
+    assert saved.count() == 3
+    space.drop("a")
+    space.save(spark.range(4), "a")
+    assert spark.read.parquet(space.path("a")).count() == 4
+
+
 def test_recommended_settings_respect_the_session(spark):
     key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
     spark.conf.set(key, "false")

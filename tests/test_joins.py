@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from basketlens.operators.joins import estimated_bytes, lookup_join
+from basketlens.operators.joins import BROADCAST_BYTES, estimated_bytes, is_large, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +38,7 @@ def test_other_join_types_are_refused(tables):
 
 def test_estimate_ignores_products_of_joined_tables(spark, star):
     customers = star.table("dim_customer")
-    assert estimated_bytes(customers) < 10 * 1024 * 1024
+    assert estimated_bytes(customers) < BROADCAST_BYTES
 
 
 def test_plans_do_not_depend_on_the_join_strategy(spark, folder, monkeypatch):
@@ -76,3 +76,21 @@ def test_hot_keys_are_found_in_the_key_column(spark, folder, monkeypatch):
     scans = [line for line in plan.splitlines() if "Relation" in line and "l_orderkey" in line]
     # Each key count appears on both sides of its join; Spark runs it once.
     assert len(scans) == 1 + 2 * 2
+
+
+def test_hot_key_is_cut_by_identity_where_other_columns_hardly_vary(spark):
+    facts = spark.range(4000).selectExpr("1L AS key", "id", "id % 2 AS quantity")
+    dim = spark.createDataFrame([(1, "a")], "key bigint, name string")
+    joined = lookup_join(facts, dim, "key", broadcast_bytes=0, hot_rows=100, identity=["id"])
+    assert joined.count() == 4000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(id" in plan and "quantity" not in plan.split("xxhash64(")[1].split(")")[0]
+
+
+def test_a_compressed_dimension_is_not_taken_for_small(spark, tmp_path):
+    """Two million regular rows are a small file and a large table."""
+    path = str(tmp_path / "dim")
+    spark.range(2_000_000).selectExpr("id AS key", "concat('name ', id % 10) AS name").write.parquet(path)
+    dim = spark.read.parquet(path)
+    assert is_large(dim)
+    assert not is_large(spark.range(100).selectExpr("id AS key", "'a' AS name"))

@@ -67,6 +67,12 @@ def test_duplicate_and_null_keys(spark):
     assert keys["dim_product.product_key"] == (0.0, True)
 
 
+def test_a_null_in_the_line_key_is_no_duplicate_but_no_key(spark):
+    star = shop_star(spark, [*GOOD, (None, *GOOD[0][1:])])
+    assert found(Q.dup_transaction_key(star))["dup_transaction_key"] == (0.0, True)
+    assert found(Q.fact_composite_key(star))["fact_composite_key"] == (1.0, False)
+
+
 def test_each_relationship_reports_its_orphans(spark):
     star = shop_star(spark, GOOD)
     tables = {n: star.table(n) for n in (
