@@ -27,15 +27,17 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.components import components
+from basketlens.llm.pretokens import worker_store
 from basketlens.sources.staging import Workspace
 
 SHINGLE = 4
@@ -60,18 +62,94 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _S32)
 
 
-def shingles(text: bytes | None, length: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes; lower() and split() touch ASCII only."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    take = min(length, len(words))
-    rows = len(words) - take + 1
+# Value of each byte in a word's hash, A to Z folded; the hash is a polynomial in
+# an odd number over 64 bits, from sums over the text so far.
+_BASE = 0xC2B2AE3D27D4EB4F
+_VALUES = _finish(np.arange(1, 257, dtype=np.uint64) * _M2)
+_VALUES[65:91] = _VALUES[97:123]
+_IN_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)], np.int8)
+#: Bytes of text that are hashed together.
+HASH_BYTES = 1 << 20
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, at least n of each."""
+    store = worker_store()
+    if len(store.get("powers", ((),))[0]) < n:
+        size = max(n, 2 * HASH_BYTES)
+        both = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            powers = np.full(size, base, np.uint64)
+            powers[0] = 1
+            both.append(np.cumprod(powers))
+        store["powers"] = tuple(both)
+    return store["powers"]
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each run of anything but ASCII white space."""
+    raw = np.frombuffer(data, np.uint8)
+    edges = np.diff(_IN_WORD[raw], prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    powers, inverse = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * powers[: len(raw)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * inverse[starts] if len(starts) else sums[:0]
+    return _finish(hashes + (ends - starts).astype(np.uint64)), starts
+
+
+def _sequences(words: np.ndarray, take: int) -> np.ndarray:
+    """Hash of each run of ``take`` words."""
+    rows = max(0, len(words) - take + 1)
     mixed = np.full(rows, take, np.uint64)
     for k in range(take):
-        mixed = _finish(mixed * _M1 + hashes[k : k + rows])
-    return np.unique(mixed)
+        mixed = _finish(mixed * _M1 + words[k : k + rows])
+    return mixed
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])] if len(hashes) else hashes
+
+
+def _long_words(text: bytes) -> np.ndarray:
+    """Word hashes of a text of any length, cut at white space into pieces."""
+    parts, at = [], 0
+    while at < len(text):
+        found = re.compile(rb"[ \t-\r]").search(text, at + HASH_BYTES)
+        end = found.end() if found else len(text)
+        parts.append(_word_hashes(text[at:end])[0])
+        at = end
+    return np.concatenate(parts)
+
+
+def shingle_sets(texts: list[bytes | None], length: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or b"") <= HASH_BYTES):
+            size += len(texts[end] or b"") + 1
+            end += 1
+        part = [t or b"" for t in texts[at:end]]
+        if len(part) == 1 and len(part[0]) > HASH_BYTES:
+            words, bounds = _long_words(part[0]), None
+            bounds = [0, len(words)]
+        else:
+            words, starts = _word_hashes(b"\n".join(part))
+            lengths = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)])).tolist()
+        whole = _sequences(words, length)
+        for i, j in zip(bounds, bounds[1:]):
+            short = 0 < j - i < length
+            out.append(_sequences(words[i:j], j - i) if short else _distinct(whole[i : max(i, j - length + 1)]))
+        at = end
+    return out
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    return shingle_sets([text])[0]
 
 
 def digest(hashes: np.ndarray) -> bytes:
@@ -114,8 +192,7 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _texts(batches, 0, COUNT_ROWS):
             seen, sets = set(), []
-            for text in texts:
-                own = shingles(text)
+            for own in shingle_sets(texts):
                 key = digest(own)
                 if key not in seen:
                     seen.add(key)
@@ -147,8 +224,7 @@ def set_table(rows: DataFrame, percent: int) -> DataFrame:
         common, counts = known.value
         for part, texts in _texts(batches, 1):
             out: list[tuple] = []
-            for text in texts:
-                own = shingles(text)
+            for own in shingle_sets(texts):
                 n = len(own)
                 first = ordered(own, common, counts)[: prefix_length(n, percent) if n else 0].tobytes()
                 pack = xxhash.xxh3_128_digest(n.to_bytes(4, "little") + first)
@@ -208,11 +284,23 @@ def _postings(groups: DataFrame, only: np.ndarray | None = None) -> DataFrame:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether sets that first meet at these positions can be similar, by size and position."""
+    """Whether sets that first meet at these positions can be similar.
+
+    By size; by the elements left from the positions on; and by the repeated
+    prefix shingles left: of the prefix that ends first, every shingle the other
+    set has is in the other's prefix, so the overlap is at most those two
+    prefixes' common shingles and the rest of the set.
+    """
     n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
     most = F.least(n1 - F.col(f"{a}.pos"), n2 - F.col(f"{b}.pos"))
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (
-        (100 + percent) * most >= percent * (n1 + n2)
+    both = F.least(F.col(f"{a}.left"), F.col(f"{b}.left"))
+    larger = F.greatest(n1, n2)
+    # prefix = n - ceil(percent n) + 1, so the rest of a set is ceil(percent n) - 1.
+    rest = F.expr(f"(({percent} * greatest({a}.n, {b}.n) + 99) div 100) - 1")
+    return (
+        (100 * F.least(n1, n2) >= percent * larger)
+        & ((100 + percent) * most >= percent * (n1 + n2))
+        & ((100 + percent) * (both + rest) >= percent * (n1 + n2))
     )
 
 
@@ -251,7 +339,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, space: Workspace, name: str, p
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, part in _texts(batches, 0):
             built: dict[bytes, bytes] = {}
-            for own in map(shingles, part):
+            for own in shingle_sets(part):
                 key = digest(own)
                 if _held(known.value, np.array([int.from_bytes(key[:3], "big")]))[0]:
                     built[key] = own.tobytes()
@@ -302,17 +390,23 @@ def classes_with_components(
         "repeated",
     )
     only = _filter(repeated.select(F.expr(f"token & {FILTER_BITS - 1}L").alias("place")))
-    posted = space.save(_postings(groups, only).join(repeated, "token", "left_semi"), "posted")
+    # ``left``: how many of those a group has from this one on, in the order.
+    onward = Window.partitionBy("pack").orderBy(F.desc("pos"))
+    posted = space.save(
+        _postings(groups, only).join(repeated, "token", "left_semi")
+        .withColumn("left", F.row_number().over(onward)),
+        "posted",
+    )
     space.drop("groups")
     space.drop("repeated")
 
     # Each group with the first and the last group of each of its shingles, and
     # the classes of a group with each other, all through one class of the pivot.
-    entry = F.struct("pack", "n", "pos")
+    entry = F.struct("pack", "n", "pos", "left")
     ends = posted.groupBy("token").agg(F.array(F.min(entry), F.max(entry)).alias("ends"))
     starred = (
         posted.join(ends, "token")
-        .select(F.struct("n", "pos").alias("x"), "pack", F.explode("ends").alias("y"))
+        .select(F.struct("n", "pos", "left").alias("x"), "pack", F.explode("ends").alias("y"))
         .where((F.col("pack") != F.col("y.pack")) & _possible("x", "y", percent))
         .select(F.col("pack").alias("g"), F.col("y.pack").alias("h"))
     )
