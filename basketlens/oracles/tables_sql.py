@@ -294,16 +294,12 @@ def profile_oracles() -> dict[str, str]:
     keys = {
         "order_number": "order_number", "order_line": "(order_number, line_item)",
         "customer_key": "customer_key", "product_key": "product_key", "store_key": "store_key",
+        "currency_code": "currency_code",
     }
     parts = [
-        f"SELECT '{n}' AS key_name, COUNT(DISTINCT {e}) AS distinct_values, "
-        f"CAST(NULL AS VARCHAR) AS value_list FROM fact_sales"
+        f"SELECT '{n}' AS key_name, COUNT(DISTINCT {e}) AS distinct_values FROM fact_sales"
         for n, e in keys.items()
     ]
-    parts.append(
-        f"SELECT 'currency_code', COUNT(DISTINCT currency_code), {_list('currency_code')} "
-        "FROM fact_sales"
-    )
     sql["profile_sales_keys"] = query("\nUNION ALL ".join(parts))
     sql["profile_order_dates"] = query(f"""
 SELECT MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date,
@@ -324,13 +320,13 @@ SELECT COUNT(DISTINCT p.product_key) AS products,
   {dbl("MIN(unit_price_usd)")} AS min_price_usd, {dbl("MAX(unit_price_usd)")} AS max_price_usd,
   COUNT(*) FILTER (WHERE unit_price_usd IS NULL) AS price_unreadable,
   COUNT(*) FILTER (WHERE unit_price_usd < unit_cost_usd) AS price_below_cost,
-  {_list("category_name")} AS category_list,
+  COUNT(DISTINCT category_name) AS categories,
   COUNT(DISTINCT subcategory_name) AS subcategories, COUNT(DISTINCT p.brand) AS brands
 FROM dim_product p JOIN flat f ON p.product_key = f.product_key""")
     sql["profile_customers"] = query(f"""
 SELECT COUNT(*) AS n_rows, COUNT(DISTINCT customer_key) AS customers,
   COUNT(*) = COUNT(DISTINCT customer_key) AS key_unique,
-  COUNT(DISTINCT country) AS countries, {_list("continent")} AS continent_list,
+  COUNT(DISTINCT country) AS countries, COUNT(DISTINCT continent) AS continents,
   COUNT(*) FILTER (WHERE gender = 'Female') AS female,
   COUNT(*) FILTER (WHERE gender = 'Male') AS male
 FROM dim_customer""")
@@ -339,7 +335,7 @@ FROM dim_customer""")
     )
     sql["profile_stores"] = query(f"""
 SELECT COUNT(*) AS n_rows, COUNT(DISTINCT store_key) AS stores,
-  {_list("country")} AS country_list, MIN(square_meters) AS min_square_meters,
+  COUNT(DISTINCT country) AS countries, MIN(square_meters) AS min_square_meters,
   MAX(square_meters) AS max_square_meters,
   COUNT(*) FILTER (WHERE square_meters IS NULL) AS missing_square_meters,
   (SELECT string_agg(CAST(store_key AS VARCHAR), ', ' ORDER BY store_key) FROM
@@ -349,7 +345,7 @@ SELECT COUNT(*) AS n_rows, COUNT(DISTINCT store_key) AS stores,
 FROM dim_store""")
     sql["profile_fx"] = query(f"""
 SELECT MIN(rate_date) AS first_rate_date, MAX(rate_date) AS last_rate_date,
-  {_list("currency")} AS currency_list
+  COUNT(DISTINCT currency) AS currencies
 FROM exchange_rate""")
     refs = {"customer_key": "dim_customer", "product_key": "dim_product", "store_key": "dim_store"}
     sql["profile_referential"] = query(
@@ -361,9 +357,20 @@ FROM exchange_rate""")
         )
     )
     sql["profile_currency_gap"] = query(f"""
-SELECT COUNT(DISTINCT currency_code) AS missing_currencies,
-  {_list("currency_code")} AS currency_list
-FROM fact_sales WHERE currency_code NOT IN (SELECT currency FROM exchange_rate)""")
+SELECT currency_code AS currency, COUNT(*) AS n_lines
+FROM fact_sales WHERE currency_code NOT IN (SELECT currency FROM exchange_rate) GROUP BY 1""")
+    listed = [
+        ("sales", "Currency Code", "fact_sales", "currency_code"),
+        ("products", "Category", "(dim_product p JOIN flat f ON p.product_key = f.product_key)", "category_name"),
+        ("customers", "Continent", "dim_customer", "continent"),
+        ("stores", "Country", "dim_store", "country"),
+        ("exchange_rates", "Currency", "exchange_rate", "currency"),
+    ]
+    sql["profile_values"] = query("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {col} AS value, COUNT(*) AS n_rows "
+        f"FROM {source} GROUP BY {col}"
+        for t, c, source, col in listed
+    ))
     sql["profile_fx_coverage"] = query("""
 SELECT a AS first_order_date, b AS last_order_date, ra AS first_rate_date, rb AS last_rate_date,
   ra <= a AND rb >= b AS covered

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import half_even, month_index, month_of_index, percent
 from basketlens.operators.distribution import guarded_corr
+from basketlens.sources.staging import stage
 from basketlens.sources.star import Star
 
 LARGE_COHORT = 100
@@ -108,8 +109,10 @@ def cohort_retention_pct(grid: DataFrame) -> DataFrame:
 def cohort_matrix(grid: DataFrame, value: Column | None = None) -> DataFrame:
     """Cohorts down, periods across; an unreached cell is null.
 
-    The column list comes from one number, the deepest period of the grid.
+    The column list comes from one number, the deepest period of the grid. The
+    grid (cohorts times periods) is staged, so the orders are read once.
     """
+    grid = stage(grid, "cohort-grid")
     deepest = grid.agg(F.max("period_number")).first()[0]
     periods = list(range(0, (deepest if deepest is not None else -1) + 1))
     cell = F.col("active_customers") if value is None else value

@@ -17,32 +17,65 @@ def _count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
 
 
-def _names(col: str) -> Column:
-    """Sorted distinct values of a column with a small domain, as one text."""
-    return F.concat_ws(", ", F.array_sort(F.collect_set(col)))
+# What identical rows share at least.
+ROW_KEYS = {
+    "sales": ["Order Number", "Line Item"],
+    "customers": ["CustomerKey"],
+    "products": ["ProductKey"],
+    "stores": ["StoreKey"],
+    "exchange_rates": ["Date", "Currency"],
+}
 
 
 def profile_tables(raw: Raw) -> DataFrame:
-    """Rows, columns and fully identical surplus rows per table."""
+    """Rows, columns and fully identical surplus rows per table.
+
+    Identical rows share their key, so only rows whose key occurs more than
+    once are compared whole; of all others just the key is shuffled.
+    """
     parts = []
     for name, df in raw.items():
-        groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+        keys = ROW_KEYS.get(name, df.columns)
+        names = [f"_key{i}" for i in range(len(keys))]
+        per_key = df.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]).agg(
             F.count(F.lit(1)).alias("_k")
         )
+        repeated = per_key.where("_k > 1").drop("_k")
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+        whole = (
+            df.join(repeated, reduce(Column.__and__, same), "left_semi")
+            .groupBy(*[F.col(f"`{c}`") for c in df.columns])
+            .agg((F.count(F.lit(1)) - 1).alias("_k"))
+        )
+        surplus = whole.agg(F.coalesce(F.sum("_k"), F.lit(0)).alias("_s")).scalar()
         parts.append(
-            groups.agg(
-                F.coalesce(F.sum("_k"), F.lit(0)).alias("n_rows"),
-                F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias("duplicate_rows"),
-            ).select(
+            per_key.agg(F.coalesce(F.sum("_k"), F.lit(0)).alias("n_rows")).select(
                 F.lit(name).alias("table_name"),
                 "n_rows",
                 F.lit(len(df.columns)).alias("n_columns"),
-                "duplicate_rows",
+                surplus.alias("duplicate_rows"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
 
 
+# The columns whose values are listed.
+LISTED = [
+    ("sales", "Currency Code"), ("products", "Category"), ("customers", "Continent"),
+    ("stores", "Country"), ("exchange_rates", "Currency"),
+]
+
+
+def profile_values(raw: Raw) -> DataFrame:
+    """A row per value of the columns that should hold few, with its rows."""
+    parts = [
+        raw[table].groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "value", "n_rows")
+        for table, column in LISTED
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def profile_columns(raw: Raw) -> DataFrame:
     """Type and missing values per column; one aggregate per table."""
     parts = []
@@ -85,20 +118,16 @@ def profile_sales_keys(raw: Raw) -> DataFrame:
         if len(cols) == 1:
             picked = picked.where(F.col(f"`{cols[0]}`").isNotNull())
         return picked.distinct().agg(F.count(F.lit(1)).alias("distinct_values")).select(
-            F.lit(label).alias("key_name"), "distinct_values", F.lit(None).cast("string").alias("value_list")
+            F.lit(label).alias("key_name"), "distinct_values"
         )
 
-    currencies = sales.agg(
-        F.size(F.collect_set("Currency Code")).cast("bigint").alias("distinct_values"),
-        _names("Currency Code").alias("value_list"),
-    ).select(F.lit("currency_code").alias("key_name"), "distinct_values", "value_list")
     parts = [
         distinct("order_number", "Order Number"),
         distinct("order_line", "Order Number", "Line Item"),
         distinct("customer_key", "CustomerKey"),
         distinct("product_key", "ProductKey"),
         distinct("store_key", "StoreKey"),
-        currencies,
+        distinct("currency_code", "Currency Code"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -144,7 +173,7 @@ def profile_products(raw: Raw) -> DataFrame:
     )
     kinds = products.select("Category", "Subcategory", "Brand").distinct().agg(
         F.struct(
-            _names("Category").alias("category_list"),
+            F.count_distinct("Category").alias("categories"),
             F.count_distinct("Subcategory").alias("subcategories"),
             F.count_distinct("Brand").alias("brands"),
         ).alias("k")
@@ -163,7 +192,7 @@ def profile_customers(raw: Raw) -> DataFrame:
     facts = kinds.agg(
         F.struct(
             F.count_distinct("Country").alias("countries"),
-            _names("Continent").alias("continent_list"),
+            F.count_distinct("Continent").alias("continents"),
             F.sum(F.when(F.col("Gender") == "Female", F.col("n")).otherwise(0)).alias("female"),
             F.sum(F.when(F.col("Gender") == "Male", F.col("n")).otherwise(0)).alias("male"),
         ).alias("k")
@@ -191,7 +220,7 @@ def profile_stores(raw: Raw) -> DataFrame:
     shape = stores.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("StoreKey").alias("stores"),
-        _names("Country").alias("country_list"),
+        F.count_distinct("Country").alias("countries"),
         F.min(area).alias("min_square_meters"),
         F.max(area).alias("max_square_meters"),
         _count_if(area.isNull()).alias("missing_square_meters"),
@@ -208,7 +237,7 @@ def profile_fx(raw: Raw) -> DataFrame:
     return raw["exchange_rates"].agg(
         F.min(day).alias("first_rate_date"),
         F.max(day).alias("last_rate_date"),
-        _names("Currency").alias("currency_list"),
+        F.count_distinct("Currency").alias("currencies"),
     )
 
 
@@ -235,12 +264,13 @@ def profile_referential(raw: Raw) -> DataFrame:
 
 
 def profile_currency_gap(raw: Raw) -> DataFrame:
-    """Currencies of the sales table without any exchange rate."""
-    used = raw["sales"].select(F.col("Currency Code").alias("currency")).where("currency is not null")
-    known = raw["exchange_rates"].select(F.col("Currency").alias("currency"))
-    return used.distinct().join(known, "currency", "left_anti").agg(
-        F.count(F.lit(1)).alias("missing_currencies"), _names("currency").alias("currency_list")
+    """A row per currency of the sales table without any exchange rate, with its lines."""
+    used = (
+        raw["sales"].where(F.col("`Currency Code`").isNotNull())
+        .groupBy(F.col("`Currency Code`").alias("currency")).agg(F.count(F.lit(1)).alias("n_lines"))
     )
+    known = raw["exchange_rates"].select(F.col("Currency").alias("currency")).distinct()
+    return used.join(known, "currency", "left_anti")
 
 
 def profile_fx_coverage(raw: Raw) -> DataFrame:

@@ -56,7 +56,7 @@ PROFILES = [
     profiling.profile_order_dates, profiling.profile_quantity, profiling.profile_products,
     profiling.profile_customers, profiling.profile_gender_counts, profiling.profile_stores,
     profiling.profile_fx, profiling.profile_referential, profiling.profile_currency_gap,
-    profiling.profile_fx_coverage, profiling.profile_duplicate_names,
+    profiling.profile_fx_coverage, profiling.profile_values, profiling.profile_duplicate_names,
 ]
 CHECKS = [
     quality.dup_transaction_key, quality.price_valid, quality.cost_valid,

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basketlens.functions.scalars import AMOUNT, MONEY, RATE
 from basketlens.operators.joins import is_large, lookup_join
+from basketlens.sources.raw_files import read_csv, write_table
 
 TABLES = [
     "dim_category", "dim_subcategory", "dim_product", "dim_customer",
@@ -301,12 +304,52 @@ def _total(name: str) -> Column:
 # -- storage -----------------------------------------------------------------
 
 
-def write_star(star: Star, folder: str) -> None:
-    """Store the eight tables as Parquet; the fact is partitioned by year."""
+# Types of the published tables, for formats that don't carry them.
+MULTILINE = {"dim_customer", "dim_product"}  # free text may hold line breaks
+TABLE_SCHEMAS = {
+    "dim_category": "category_key string, category_name string",
+    "dim_subcategory": "subcategory_key string, subcategory_name string, category_key string",
+    "dim_product": "product_key bigint, product_name string, brand string, color string, "
+    "unit_cost_usd {money}, unit_price_usd {money}, subcategory_key string",
+    "dim_customer": "customer_key bigint, gender string, name string, city string, "
+    "state_code string, state string, zip_code string, country string, continent string, "
+    "birthday date",
+    "dim_store": "store_key bigint, country string, state string, square_meters double, "
+    "open_date date, is_online boolean",
+    "dim_date": "date_key date, year int, quarter int, month int, month_name string, day int, "
+    "day_of_week int, day_name string, is_weekend boolean",
+    "exchange_rate": "rate_date date, currency string, exchange {rate}",
+    "fact_sales": "order_number bigint, line_item bigint, order_date date, delivery_date date, "
+    "is_delivered boolean, customer_key bigint, store_key bigint, product_key bigint, "
+    "quantity int, currency_code string, unit_price_usd {money}, unit_cost_usd {money}, "
+    "revenue_usd {amount}, cost_usd {amount}, profit_usd {amount}",
+    "customer_rfm": "customer_key bigint, last_order_date date, recency_days int, "
+    "frequency bigint, monetary_cents bigint, r_score int, f_score int, m_score int, "
+    "fm_score int, rfm_score_label string, segment string",
+}
+STORED_DATE = "yyyy-MM-dd"
+
+
+def table_schema(name: str) -> T.StructType:
+    """Schema of a published table."""
+    ddl = TABLE_SCHEMAS[name].format(money=MONEY, amount=AMOUNT, rate=RATE)
+    return T.StructType.fromDDL(ddl)
+
+
+def read_published_csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A published CSV table with its types."""
+    path = f"{folder.rstrip('/')}/{name}"
+    return read_csv(spark, path, table_schema(name), date_format=STORED_DATE, line_breaks=name in MULTILINE)
+
+
+def write_star(star: Star, folder: str, fmt: str = "parquet") -> None:
+    """Store the eight tables; as Parquet the fact is partitioned by year."""
     for name in TABLES:
         df = star.table(name)
         path = f"{folder.rstrip('/')}/{name}"
-        if name == "fact_sales":
+        if fmt == "csv":
+            write_table(df.select(*table_schema(name).names), path, fmt)
+        elif name == "fact_sales":
             # Rebalancing gives each year files of even size, and splits a
             # year that holds much of the data.
             by_year = df.withColumn(STORED_YEAR, F.year("order_date"))
@@ -316,8 +359,10 @@ def write_star(star: Star, folder: str) -> None:
             df.write.mode("overwrite").parquet(path)
 
 
-def read_star(spark: SparkSession, folder: str) -> Star:
+def read_star(spark: SparkSession, folder: str, fmt: str = "parquet") -> Star:
     """Open tables written by write_star."""
+    if fmt == "csv":
+        return Star({n: read_published_csv(spark, folder, n) for n in TABLES})
     tables = {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in TABLES}
     return Star(tables)
 

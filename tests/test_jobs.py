@@ -1,11 +1,13 @@
 import pytest
 
 from basketlens import jobs
-from basketlens.plans import sales
+from basketlens.plans import rfm, sales
+from basketlens.plans.cleaning import build_star
 from basketlens.plans.quality import QualityError
 from basketlens.session import apply_recommended
-from basketlens.sources.raw_files import RAW_FILES, RAW_SCHEMAS
+from basketlens.sources.raw_files import RAW_FILES, RAW_SCHEMAS, read_raw_folder
 from basketlens.sources.staging import Workspace, shared_folder, stage
+from basketlens.sources.star import TABLES, read_published_csv, read_star, write_star
 from shop import CUSTOMERS, PRODUCTS, RATES, STORES, raw_shop, sale
 
 SALES = [
@@ -90,3 +92,26 @@ def test_recommended_settings_respect_the_session(spark):
         assert spark.conf.get(key) == "false"
     finally:
         spark.conf.set(key, "true")
+
+
+def test_published_csv_tables_open_again_with_their_types(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "csv")
+    export(spark, raw)
+    star = build_star(read_raw_folder(spark, raw))
+    write_star(star, out, "csv")
+    back = read_star(spark, out, "csv")
+    for name in TABLES:
+        ours, theirs = star.table(name), back.table(name)
+        assert dict(theirs.dtypes) == {c: t for c, t in ours.dtypes if c in theirs.columns}, name
+        assert sorted(map(str, theirs.select(*theirs.columns).collect())) == sorted(
+            map(str, ours.select(*theirs.columns).collect())
+        )
+    assert sales.kpi_summary(back).collect() == sales.kpi_summary(star).collect()
+
+
+def test_published_segments_open_again_with_their_types(spark, star, tmp_path):
+    jobs.publish_segments(star, str(tmp_path), "csv")
+    segments = rfm.rfm_segments(star)
+    back = read_published_csv(spark, str(tmp_path), "customer_rfm")
+    assert back.dtypes == segments.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, segments.collect()))
