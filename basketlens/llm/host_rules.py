@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import SPACES, WORD, count_upto, let
+from basketlens.llm.common import WORD, count_upto, let
 from basketlens.sources.staging import Workspace
 
 SYMBOLS = "#*$%&|<>"

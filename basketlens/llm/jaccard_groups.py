@@ -13,9 +13,10 @@ that order, and the commonest last.
    from above, and what passes is verified on whole sets.
 
 Links are wanted only as far as they connect, so step 2 first pairs each group
-with two pivots per shingle, and then only groups that are not yet known to be
-connected, all of them. No pair that could join two components is left out,
-and a large group of near copies costs pairs in proportion to its size.
+with a few pivots per shingle, then groups not yet known to be connected with
+more pivots, and last such groups with each other, all of them. No pair that
+could join two components is left out, and the members of a large group of near
+copies that are soon connected cost pairs in proportion to their number.
 
 Shingles are 64-bit hashes and classes 128-bit digests of the sorted hashes.
 
@@ -368,6 +369,95 @@ def _verified(pairs: DataFrame, texts: DataFrame, space: Workspace, name: str, p
     return links
 
 
+#: Seeds of the pivots of each round; the last round has none and leaves no pair out.
+ROUNDS = {"star": (1, 2), "stars": (3, 4, 5, 6, 7, 8), "rest": None}
+
+_ENTRY = ["pack", "n", "pos", "left"]
+
+
+#: Words of the smaller bitmap that entries carry: halves of the large one, folded.
+_SKETCH = [f"s{k}" for k in range(BITMAP_WORDS // 2)]
+
+
+def _live(posted: DataFrame, labelled: DataFrame, classes: DataFrame, space: Workspace, name: str) -> DataFrame:
+    """Entries of shingles that meet classes of several components, with their group's
+    labels and, for a group of one class, its folded bitmap."""
+    half = len(_SKETCH)
+    folded = [
+        F.when(F.col("members") == 1, F.col("bits")[k].bitwiseXOR(F.col("bits")[k + half])).alias(s)
+        for k, s in enumerate(_SKETCH)
+    ]
+    ranges = labelled.join(classes.select("class", "bits"), "class").groupBy("pack").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count(F.lit(1)).alias("members"), F.any_value("bits").alias("bits"),
+    ).select("pack", "low", "high", *folded)
+    entries = posted.join(ranges, "pack")
+    mixed = entries.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l != h")
+    return space.save(entries.join(mixed.select("token"), "token", "left_semi"), f"{name}-live")
+
+
+def _apart(entries: DataFrame, x: str, y: str) -> Column:
+    """Whether two groups may hold classes of different components."""
+    if "low" not in entries.columns:
+        return F.lit(True)
+    same = [F.col(f"{x}.low") == F.col(c) for c in (f"{x}.high", f"{y}.low", f"{y}.high")]
+    return ~(same[0] & same[1] & same[2])
+
+
+def _star_pairs(entries: DataFrame, seeds: tuple[int, ...], percent: int) -> DataFrame:
+    """Group pairs (g, h), h a pivot of a shingle: as many rows as entries and seeds at most."""
+    columns = [c for c in [*_ENTRY, "low", "high"] if c in entries.columns]
+    pivots = [F.min_by(F.struct(*columns), F.xxhash64("pack", F.lit(seed))) for seed in seeds]
+    ends = entries.groupBy("token").agg(F.array_distinct(F.array(*pivots)).alias("ends"))
+    both = entries.join(ends, "token").select(F.struct(*columns).alias("x"), F.explode("ends").alias("y"))
+    return both.where(
+        (F.col("x.pack") != F.col("y.pack")) & _possible("x", "y", percent) & _apart(entries, "x", "y")
+    ).select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
+
+
+def _room(x: str, y: str, percent: int) -> Column:
+    """Whether the folded bitmaps leave room for the similarity; unknown is yes."""
+    apart = sum(
+        (F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SKETCH), F.lit(0)
+    )
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return F.coalesce((100 + percent) * (both - apart) >= 2 * percent * both, F.lit(True))
+
+
+def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """All group pairs (g, h) that share a shingle and may join two components.
+
+    A pair that has the same shingle before this one too has met there already,
+    so it is made where a run of common shingles begins, the first at least.
+    """
+    x, y = entries.alias("x"), entries.alias("y")
+    met_before = F.coalesce(F.col("x.prev") == F.col("y.prev"), F.lit(False))
+    return x.join(
+        y,
+        (F.col("x.token") == F.col("y.token")) & (F.col("x.pack") < F.col("y.pack")) & ~met_before
+        & _possible("x", "y", percent) & _apart(entries, "x", "y") & _room("x", "y", percent),
+    ).select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
+
+
+def _class_pairs(met: DataFrame, labelled: DataFrame, whole: bool) -> DataFrame:
+    """Class pairs (a, b) of group pairs, and of groups with themselves, across components.
+
+    Unless ``whole``, the second group is represented by one class.
+    """
+    groups = labelled.groupBy("pack").agg(
+        F.min("class").alias("class"), F.min_by("label", "class").alias("label"), F.count(F.lit(1)).alias("members")
+    )
+    own = groups.where("members > 1").select(F.col("pack").alias("g"), F.col("pack").alias("h"))
+    left = labelled.select(F.col("pack").alias("g"), F.col("class").alias("c"), F.col("label").alias("p"))
+    right = (labelled if whole else groups).select(
+        F.col("pack").alias("h"), F.col("class").alias("d"), F.col("label").alias("q")
+    )
+    return (
+        met.union(own).distinct().join(left, "g").join(right, "h").where("p != q")
+        .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+    )
+
+
 def classes_with_components(
     documents: DataFrame, space: Workspace, key: str = "doc_id", text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -390,73 +480,40 @@ def classes_with_components(
         "repeated",
     )
     only = _filter(repeated.select(F.expr(f"token & {FILTER_BITS - 1}L").alias("place")))
-    # ``left``: how many of those a group has from this one on, in the order.
+    # ``left``: how many of those a group has from this one on, in the order;
+    # ``prev``: the one before it.
     onward = Window.partitionBy("pack").orderBy(F.desc("pos"))
     posted = space.save(
         _postings(groups, only).join(repeated, "token", "left_semi")
-        .withColumn("left", F.row_number().over(onward)),
+        .withColumn("left", F.row_number().over(onward))
+        .withColumn("prev", F.lead("token").over(onward)),
         "posted",
     )
     space.drop("groups")
     space.drop("repeated")
 
-    # Each group with the first and the last group of each of its shingles, and
-    # the classes of a group with each other, all through one class of the pivot.
-    entry = F.struct("pack", "n", "pos", "left")
-    ends = posted.groupBy("token").agg(F.array(F.min(entry), F.max(entry)).alias("ends"))
-    starred = (
-        posted.join(ends, "token")
-        .select(F.struct("n", "pos", "left").alias("x"), "pack", F.explode("ends").alias("y"))
-        .where((F.col("pack") != F.col("y.pack")) & _possible("x", "y", percent))
-        .select(F.col("pack").alias("g"), F.col("y.pack").alias("h"))
-    )
-    pivots = classes.groupBy("pack").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("members"))
-    own = pivots.where("members > 1").select(F.col("pack").alias("g"), F.col("pack").alias("h"))
-    member = classes.select(F.col("class").alias("c"), F.col("pack").alias("g"))
-    pivot = pivots.select(F.col("pack").alias("h"), F.col("pivot").alias("d"))
-    star_pairs = (
-        starred.union(own).distinct().join(member, "g").join(pivot, "h").where("c != d")
-        .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-    )
-    star = space.save(_bounded_overlap(star_pairs, classes, percent), "star")
-    links = _verified(star, rows.select("text"), space, "star", percent)
-
-    # All pairs that could still join two components.
-    labels = components(links, space, "first").withColumnsRenamed({"node": "class", "component": "label"})
-    labelled = space.save(
-        classes.select("class", "pack").join(labels, "class", "left")
-        .select("class", "pack", F.coalesce("label", "class").alias("label")),
-        "labelled",
-    )
-    ranges = labelled.groupBy("pack").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
-    )
-    entries = posted.join(ranges, "pack")
-    mixed = entries.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l != h")
-    live = space.save(entries.join(mixed.select("token"), "token", "left_semi"), "live")
-    x, y = live.alias("x"), live.alias("y")
-    one_label = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high"))
-    met = (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.pack") < F.col("y.pack"))
-               & _possible("x", "y", percent) & ~(one_label & (F.col("x.low") == F.col("y.low"))))
-        .select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
-    )
-    inner = ranges.where("low != high").select(F.col("pack").alias("g"), F.col("pack").alias("h"))
-    left = labelled.select(F.col("pack").alias("g"), F.col("class").alias("c"), F.col("label").alias("p"))
-    right = labelled.select(F.col("pack").alias("h"), F.col("class").alias("d"), F.col("label").alias("q"))
-    rest_pairs = (
-        met.union(inner).distinct().join(left, "g").join(right, "h").where("c != d AND p != q")
-        .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    rest = space.save(_bounded_overlap(rest_pairs, classes, percent), "rest")
-    more = _verified(rest, rows.select("text"), space, "rest", percent)
-
-    found = components(links.union(more), space, "last").withColumnsRenamed({"node": "class"})
-    return (
-        sets.select("key", "mark", "n", "class").join(found, "class", "left")
-        .withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "class")))
-    )
+    # Rounds: some pivots per shingle, more of them, then every pair that is left.
+    links = tested = None
+    labelled = classes.select("class", "pack", F.col("class").alias("label"))
+    for name, seeds in ROUNDS.items():
+        entries = posted if links is None else _live(posted, labelled, classes, space, name)
+        met = _all_pairs(entries, percent) if seeds is None else _star_pairs(entries, seeds, percent)
+        pairs = _class_pairs(met, labelled, whole=seeds is None)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        candidates = space.save(_bounded_overlap(pairs, classes, percent), name)
+        more = _verified(candidates, rows.select("text"), space, name, percent)
+        tested = candidates if tested is None else tested.union(candidates)
+        links = more if links is None else links.union(more)
+        found = components(links, space, f"{name}-parts").withColumnsRenamed({"node": "class"})
+        labelled = space.save(
+            classes.select("class", "pack").join(found, "class", "left")
+            .select("class", "pack", F.coalesce("component", "class").alias("label")),
+            f"{name}-labels",
+        )
+
+    labels = labelled.select("class", F.col("label").alias("component"))
+    return sets.select("key", "mark", "n", "class").join(labels, "class", "left")
 
 
 def similarity_components(
