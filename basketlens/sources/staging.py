@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+_PARALLEL = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,15 +30,29 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/basketlens/{label}-{uuid.uuid4().hex}"
-        # Removed by the file system's own shutdown hook, whatever store it is.
-        self._delete("", at_exit=True)
+        self._kept = False
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the written table."""
-        df.write.mode("error").parquet(self.path(name))
+        """Write ``df`` once and return the written table.
+
+        Shuffled rows are written in files of the advisory partition size, not
+        in as many as there are cores: each file costs every store some calls.
+        """
+        conf = self.spark.conf
+        before = conf.get(_PARALLEL)
+        conf.set(_PARALLEL, "false")
+        try:
+            # Nobody looks for the mark of success of a table that is read at once.
+            df.write.mode("error").option(_MARK, "false").parquet(self.path(name))
+        finally:
+            conf.set(_PARALLEL, before)
+        if not self._kept:
+            # Removed by the file system's own shutdown hook, whatever store it is.
+            self._delete("", at_exit=True)
+            self._kept = True
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str = "") -> None:
@@ -48,7 +64,6 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.folder)
         system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if at_exit:
-            system.mkdirs(path)
             system.deleteOnExit(path)
         else:
             system.delete(path, True)

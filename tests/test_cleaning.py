@@ -7,7 +7,7 @@ from basketlens.plans import cleaning
 from basketlens.registry import money_as_double
 from basketlens.sources import raw_files, raw_text
 from basketlens.sources.star import TABLES, read_star, register_views, write_star
-from shop import PRODUCTS, raw_shop, rows, sale, shop_star
+from shop import raw_shop, rows, sale, shop_star
 
 SALES = [
     sale(1, 1, "1/1/2019", 1, product=2, quantity=2, delivery="1/5/2019"),
