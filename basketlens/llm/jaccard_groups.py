@@ -187,7 +187,7 @@ def _texts(
             yield part, part.column(column).to_pylist()
 
 
-def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(texts: DataFrame, space: Workspace) -> tuple[np.ndarray, np.ndarray]:
     """The commonest shingles and their counts, at most COMMON of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +204,9 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 [pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["token", "n"]
             )
 
-    top = (
-        texts.mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token").limit(COMMON).toPandas()
-    )
+    found = texts.mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    # Written first: collecting a sorted limit would bring each task's own head along.
+    top = space.save(found.orderBy(F.desc("n"), "token").limit(COMMON), "common").toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top["n"].to_numpy(np.int64)[order]
@@ -216,9 +215,9 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 _SETS = "n int, class binary, pack binary, prefix binary, bits array<bigint>"
 
 
-def set_table(rows: DataFrame, percent: int) -> DataFrame:
+def set_table(rows: DataFrame, space: Workspace, percent: int) -> DataFrame:
     """Size, class, group (``pack``), prefix and bitmap of each (key, text, mark)."""
-    common, counts = common_shingles(rows.select("text"))
+    common, counts = common_shingles(rows.select("text"), space)
     known = rows.sparkSession.sparkContext.broadcast((common, counts))  # at most COMMON pairs
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,7 +468,7 @@ def classes_with_components(
         F.col(key).cast("bigint").alias("key"), F.col(text).cast("binary").alias("text"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"),
     )
-    sets = space.save(set_table(rows, percent), "sets")
+    sets = space.save(set_table(rows, space, percent), "sets")
     full = sets.where(F.col("n") > 0)
     groups = space.save(full.select("pack", "n", "prefix").dropDuplicates(["pack"]), "groups")
     classes = space.save(full.select("class", "pack", "n", "bits").dropDuplicates(["class"]), "classes")

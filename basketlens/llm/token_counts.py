@@ -91,10 +91,12 @@ def token_counts(
     space = Workspace(documents.sparkSession, "token-counts")
     texts = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     table = space.save(with_pieces(unit_counts(texts.select("text"), vocabulary), vocabulary), "pieces")
-    common = (
+    # Written first: collecting a sorted limit would bring each task's own head along.
+    common = space.save(
         table.where(F.length("unit") <= HEAD_CHARS)
-        .orderBy(F.desc("n"), "unit").limit(head).select("unit", "pieces").toPandas()
-    )
+        .orderBy(F.desc("n"), "unit").limit(head).select("unit", "pieces"),
+        "common",
+    ).toPandas()
     known = documents.sparkSession.sparkContext.broadcast(
         (common["unit"].tolist(), common["pieces"].to_numpy(np.int64))
     )
