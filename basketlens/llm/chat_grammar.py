@@ -5,11 +5,11 @@ A parser with a fixed grammar reads the rendered text; where a turn does not
 come back as it went in, its text is escaped and tried again, until it does.
 
 The grammar: a turn starts at ``<|im_start|>``, its role reaches to the first
-line break, its text to ``<|im_end|>`` and a line break. In role and text,
-``<|`` + n + 1 backslashes + ``im_`` stands for ``<|`` + n backslashes +
-``im_``. Escaping adds one backslash to each such place, so escaped content
-never holds a control string and unescaping gives it back: one escape is
-always enough. In a role a line break is written ``<|\\im_n|>``.
+line break, its text to ``<|im_end|>`` and a line break. In a text, ``<|`` +
+n + 1 backslashes + ``im_`` stands for ``<|`` + n backslashes + ``im_``.
+Escaping adds one backslash to each such place, so escaped content never holds
+a control string and unescaping gives it back: one escape is always enough. A
+role is escaped with two backslashes, and its line breaks as ``<|\\im_n|>``.
 
 Defined cases: a null text is empty; a null role is empty; a null turn sorts
 first, equal turns by role and text; a null conversation id is a conversation
