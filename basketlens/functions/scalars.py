@@ -96,14 +96,6 @@ def close_to(a: Column | str, b: Column | str, tolerance: float) -> Column:
 # -- dates -------------------------------------------------------------------
 
 
-def month_start(col: Column | str) -> Column:
-    return F.trunc(_c(col), "MM")
-
-
-def year_month(col: Column | str) -> Column:
-    return F.date_format(_c(col), "yyyy-MM")
-
-
 def month_index(col: Column | str) -> Column:
     """Months since year 0; differences of it are month differences."""
     c = _c(col)
@@ -116,10 +108,6 @@ def month_of_index(col: Column | str) -> Column:
     return F.make_date(F.floor(c / 12).cast("int"), (c % 12 + 1).cast("int"), F.lit(1))
 
 
-def age_days(birthday: Column | str, on: Column | str) -> Column:
-    return F.datediff(_c(on), _c(birthday))
-
-
 DAYS_PER_YEAR = 365.25
 
 # ISO order, Monday first.
@@ -128,11 +116,7 @@ WEEKDAYS = [
 ]
 
 
-# -- labels ------------------------------------------------------------------
-
-
-def channel_label(is_online: Column | str) -> Column:
-    return F.when(_c(is_online), F.lit("Online")).otherwise(F.lit("In-Store"))
+# -- labels: fixed values, texts and limits -----------------------------------
 
 
 def is_online_country(country: Column | str) -> Column:

@@ -29,6 +29,7 @@ def _bins(value: str) -> str:
     return "(1 + " + " + ".join(tests) + ")"
 
 
+# Segment names.
 GRID = {
     5: ["New Customers", "Potential Loyalists", "Potential Loyalists", "Loyal Customers",
         "Champions"],

@@ -186,6 +186,7 @@ def cohort_month1_trend(grid: DataFrame) -> DataFrame:
     series = _month1(grid).withColumn("x", x.cast("double"))
     stats = series.agg(F.count(F.lit(1)).alias("cohorts"), guarded_corr("x", "pct").alias("c"))
     c = F.when(F.col("cohorts") > 2, F.col("c"))
+    # The three trend labels.
     label = (
         F.when(F.abs(c) < NO_TREND, F.lit("weak/no trend"))
         .when(c > 0, F.lit("improving over time"))

@@ -65,6 +65,7 @@ def _with_median(dist: Distribution) -> DataFrame:
 
 
 def _spend_stats(dist: Distribution) -> DataFrame:
+    # The two shape labels.
     shape = F.when(
         F.col("skewness") > SKEWED, F.lit("right-skewed (long tail of high-value orders)")
     ).otherwise(F.lit("roughly symmetric"))
