@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from basketlens.sources.staging import Workspace
 
 
+FILE_EDGES = 1_000_000
+
+
 def _pulled(edges: DataFrame, near: DataFrame) -> DataFrame:
     """Edges (a, b) with the smallest node next to, or equal to, a."""
     low = near.groupBy("a").agg(F.min("b").alias("low"))
@@ -52,7 +55,9 @@ def components(edges: DataFrame, space: Workspace, name: str = "components") ->
     turn = 0
     while state[0]:
         turn += 1
-        nxt = space.save(_small_star(_large_star(now)), f"{name}-{turn}")
+        # A round leaves about as many edges; a file for each million is enough.
+        files = 1 + state[0] // FILE_EDGES
+        nxt = space.save(_small_star(_large_star(now)).coalesce(files), f"{name}-{turn}")
         new = _state(nxt)
         space.drop(f"{name}-{turn - 1}")
         now, done, state = nxt, new == state, new
