@@ -368,8 +368,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, space: Workspace, name: str, p
     return links
 
 
-#: Seeds of the pivots of each round; the last round has none and leaves no pair out.
-ROUNDS = {"star": (1, 2), "stars": (3, 4, 5, 6, 7, 8), "rest": None}
+#: Seeds of the pivots of each round. The first takes the first and the last group of
+#: a shingle, which makes all pairs where there are up to three; the last round has no
+#: pivots and leaves no pair out.
+ROUNDS = {"star": (), "stars": (1, 2, 3, 4, 5, 6), "rest": None}
+SETTLED = 3
 
 _ENTRY = ["pack", "n", "pos", "left"]
 
@@ -380,7 +383,11 @@ _SKETCH = [f"s{k}" for k in range(BITMAP_WORDS // 2)]
 
 def _live(posted: DataFrame, labelled: DataFrame, classes: DataFrame, space: Workspace, name: str) -> DataFrame:
     """Entries of shingles that meet classes of several components, with their group's
-    labels and, for a group of one class, its folded bitmap."""
+    labels and, for a group of one class, its folded bitmap.
+
+    Shingles of so few groups that the first round made all pairs are left out,
+    if each of the groups is one class.
+    """
     half = len(_SKETCH)
     folded = [
         F.when(F.col("members") == 1, F.col("bits")[k].bitwiseXOR(F.col("bits")[k + half])).alias(s)
@@ -389,10 +396,14 @@ def _live(posted: DataFrame, labelled: DataFrame, classes: DataFrame, space: Wor
     ranges = labelled.join(classes.select("class", "bits"), "class").groupBy("pack").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
         F.count(F.lit(1)).alias("members"), F.any_value("bits").alias("bits"),
-    ).select("pack", "low", "high", *folded)
-    entries = posted.join(ranges, "pack")
-    mixed = entries.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l != h")
-    return space.save(entries.join(mixed.select("token"), "token", "left_semi"), f"{name}-live")
+    ).select("pack", "low", "high", "members", *folded)
+    entries = posted.join(ranges.select("pack", "low", "high", "members"), "pack")
+    mixed = entries.groupBy("token").agg(
+        F.min("low").alias("l"), F.max("high").alias("h"),
+        F.count(F.lit(1)).alias("groups"), F.max("members").alias("members"),
+    ).where(f"l != h AND (groups > {SETTLED} OR members > 1)")
+    live = posted.join(mixed.select("token"), "token", "left_semi").join(ranges.drop("members"), "pack")
+    return space.save(live, f"{name}-live")
 
 
 def _apart(entries: DataFrame, x: str, y: str) -> Column:
@@ -404,9 +415,11 @@ def _apart(entries: DataFrame, x: str, y: str) -> Column:
 
 
 def _star_pairs(entries: DataFrame, seeds: tuple[int, ...], percent: int) -> DataFrame:
-    """Group pairs (g, h), h a pivot of a shingle: as many rows as entries and seeds at most."""
+    """Group pairs (g, h), h a pivot of a shingle: as many rows as entries and pivots at most."""
     columns = [c for c in [*_ENTRY, "low", "high"] if c in entries.columns]
-    pivots = [F.min_by(F.struct(*columns), F.xxhash64("pack", F.lit(seed))) for seed in seeds]
+    entry = F.struct(*columns)
+    pivots = [F.min_by(entry, F.xxhash64("pack", F.lit(seed))) for seed in seeds]
+    pivots = pivots or [F.min(entry), F.max(entry)]
     ends = entries.groupBy("token").agg(F.array_distinct(F.array(*pivots)).alias("ends"))
     both = entries.join(ends, "token").select(F.struct(*columns).alias("x"), F.explode("ends").alias("y"))
     return both.where(
