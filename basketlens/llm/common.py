@@ -18,7 +18,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of a batch that Python tasks get at once; Spark's own default is 64 MB,
 #: which with growing buffers on both sides is several hundred MB an executor.
-BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

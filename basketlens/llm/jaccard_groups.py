@@ -70,7 +70,7 @@ _VALUES = _finish(np.arange(1, 257, dtype=np.uint64) * _M2)
 _VALUES[65:91] = _VALUES[97:123]
 _IN_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)], np.int8)
 #: Bytes of text that are hashed together.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
