@@ -13,9 +13,8 @@ that order, and the commonest last.
    from above, and what passes is verified on whole sets.
 
 Links are wanted only as far as they connect, so step 2 first pairs each group
-with a few pivots per shingle, then groups not yet known to be connected with
-more pivots, and last such groups with each other, all of them. No pair that
-could join two components is left out, and the members of a large group of near
+with two pivots per shingle, then groups not yet known to be connected with each
+other, all of them. No pair that could join two components is left out, and the members of a large group of near
 copies that are soon connected cost pairs in proportion to their number.
 
 Shingles are 64-bit hashes and classes 128-bit digests of the sorted hashes.
@@ -368,15 +367,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, space: Workspace, name: str, p
     return links
 
 
-#: Seeds of the pivots of each round. The first takes the first and the last group of
-#: a shingle, which makes all pairs where there are up to three; the last round has no
-#: pivots and leaves no pair out.
-ROUNDS = {"star": (), "stars": (1, 2, 3, 4, 5, 6), "rest": None}
+#: The first round pairs the groups of a shingle with the first and the last of them,
+#: which makes all pairs where there are up to three.
 SETTLED = 3
 
-_ENTRY = ["pack", "n", "pos", "left"]
-
-
 #: Words of the smaller bitmap that entries carry: halves of the large one, folded.
 _SKETCH = [f"s{k}" for k in range(BITMAP_WORDS // 2)]
 
@@ -406,24 +400,19 @@ def _live(posted: DataFrame, labelled: DataFrame, classes: DataFrame, space: Wor
     return space.save(live, f"{name}-live")
 
 
-def _apart(entries: DataFrame, x: str, y: str) -> Column:
+def _apart(x: str, y: str) -> Column:
     """Whether two groups may hold classes of different components."""
-    if "low" not in entries.columns:
-        return F.lit(True)
     same = [F.col(f"{x}.low") == F.col(c) for c in (f"{x}.high", f"{y}.low", f"{y}.high")]
     return ~(same[0] & same[1] & same[2])
 
 
-def _star_pairs(entries: DataFrame, seeds: tuple[int, ...], percent: int) -> DataFrame:
-    """Group pairs (g, h), h a pivot of a shingle: as many rows as entries and pivots at most."""
-    columns = [c for c in [*_ENTRY, "low", "high"] if c in entries.columns]
-    entry = F.struct(*columns)
-    pivots = [F.min_by(entry, F.xxhash64("pack", F.lit(seed))) for seed in seeds]
-    pivots = pivots or [F.min(entry), F.max(entry)]
-    ends = entries.groupBy("token").agg(F.array_distinct(F.array(*pivots)).alias("ends"))
-    both = entries.join(ends, "token").select(F.struct(*columns).alias("x"), F.explode("ends").alias("y"))
+def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Group pairs (g, h), h the first or last group of a shingle: two rows an entry at most."""
+    entry = F.struct("pack", "n", "pos", "left")
+    ends = entries.groupBy("token").agg(F.array(F.min(entry), F.max(entry)).alias("ends"))
+    both = entries.join(ends, "token").select(entry.alias("x"), F.explode("ends").alias("y"))
     return both.where(
-        (F.col("x.pack") != F.col("y.pack")) & _possible("x", "y", percent) & _apart(entries, "x", "y")
+        (F.col("x.pack") != F.col("y.pack")) & _possible("x", "y", percent)
     ).select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
 
 
@@ -447,7 +436,7 @@ def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return x.join(
         y,
         (F.col("x.token") == F.col("y.token")) & (F.col("x.pack") < F.col("y.pack")) & ~met_before
-        & _possible("x", "y", percent) & _apart(entries, "x", "y") & _room("x", "y", percent),
+        & _possible("x", "y", percent) & _apart("x", "y") & _room("x", "y", percent),
     ).select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
 
 
@@ -504,18 +493,19 @@ def classes_with_components(
     space.drop("groups")
     space.drop("repeated")
 
-    # Rounds: some pivots per shingle, more of them, then every pair that is left.
+    # First two pivots per shingle, then every pair that is left.
     links = tested = None
     labelled = classes.select("class", "pack", F.col("class").alias("label"))
-    for name, seeds in ROUNDS.items():
-        entries = posted if links is None else _live(posted, labelled, classes, space, name)
-        met = _all_pairs(entries, percent) if seeds is None else _star_pairs(entries, seeds, percent)
-        pairs = _class_pairs(met, labelled, whole=seeds is None)
-        if tested is not None:
+    for name in ("star", "rest"):
+        if tested is None:
+            pairs = _class_pairs(_star_pairs(posted, percent), labelled, whole=False)
+        else:
+            live = _live(posted, labelled, classes, space, name)
+            pairs = _class_pairs(_all_pairs(live, percent), labelled, whole=True)
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         candidates = space.save(_bounded_overlap(pairs, classes, percent), name)
         more = _verified(candidates, rows.select("text"), space, name, percent)
-        tested = candidates if tested is None else tested.union(candidates)
+        tested = candidates
         links = more if links is None else links.union(more)
         found = components(links, space, f"{name}-parts").withColumnsRenamed({"node": "class"})
         labelled = space.save(
