@@ -504,6 +504,9 @@ def classes_with_components(
             pairs = _class_pairs(_all_pairs(live, percent), labelled, whole=True)
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         candidates = space.save(_bounded_overlap(pairs, classes, percent), name)
+        if tested is not None:  # the pairs are written; what they came from can go
+            space.drop(f"{name}-live")
+            space.drop("posted")
         more = _verified(candidates, rows.select("text"), space, name, percent)
         tested = candidates
         links = more if links is None else links.union(more)
