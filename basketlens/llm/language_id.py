@@ -5,13 +5,16 @@ linear softmax over that average gives a probability per language. Embeddings
 and weights are trained by stochastic gradient descent in numpy on a bounded
 sample of labelled texts, with short cuts of them added so that short texts
 are known too. A temperature fitted on texts left out of training calibrates the
-probabilities, and a threshold on the calibrated score, set so that hardly any
-of those texts falls below it, rejects texts that look like none of the
-languages.
+probabilities. They only compare the languages, so they tell nothing of a text
+in another one. Whether a text is rejected is measured against an even spread
+over the buckets: the mean log-odds of its n-grams under the predicted language,
+which does not depend on how many languages there are. Every sampled text is
+measured by the others of its language, and a text is rejected when it falls
+below nearly all of those of like length.
 
 The model is linear in the average, so for prediction it becomes one small
-table of weights per n-gram bucket; every whole text is scored with it where it
-is read.
+table of weights per n-gram bucket, beside the log-odds; every whole text is
+scored with them where it is read.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
 is rejected; rows without a label are never learned from; repeated rows are
@@ -36,8 +39,14 @@ SAMPLE_TEXTS, MAX_LANGUAGES, SAMPLE_BYTES = 600, 200, 20_000
 BUCKETS, DIMENSIONS = 1 << 13, 16
 SHORT_CUTS = 2
 EPOCHS, RATE, DECAY = 8, 2.0, 1e-6
-#: Share of good texts that the threshold may reject, and its upper bound.
-REJECTED_SHARE, MAX_THRESHOLD = 0.0005, 0.45
+#: Share of good texts that may be rejected; it lies beyond what a sample shows,
+#: so the tail below TAIL_SHARE of the texts is carried on as an exponential.
+#: Texts of like length are LIKE_TEXTS at least, and TAIL_TEXTS make a tail, of
+#: which the lowest is left out of the mean: labels can be wrong.
+REJECTED_SHARE, TAIL_SHARE = 0.0005, 0.05
+LIKE_TEXTS, TAIL_TEXTS = 200, 10
+#: What each bucket counts before any text is seen.
+UNSEEN = 0.5
 SEED = 11
 
 # A to Z folded, digits one class, other ASCII signs one class; bytes of letters
@@ -74,15 +83,16 @@ class Model:
     weights: np.ndarray  # bucket x language, embeddings times output weights
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    odds: np.ndarray | None = None  # language x bucket
+    usual: list[tuple[float, np.ndarray, np.ndarray]] | None = None  # see usual_odds
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, calibrated score, rejected)."""
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        logits = self.logits(features(text.encode("utf-8", "replace")))
-        best, score = self.scored(logits)
-        return self.languages[best], score, score < self.threshold
+        counts = features(text.encode("utf-8", "replace"))
+        best, score = self.scored(self.logits(counts))
+        return self.languages[best], score, self.unusual(best, counts)
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         return counts @ self.weights / max(1, counts.sum()) + self.bias
@@ -92,9 +102,19 @@ class Model:
         best = int(z.argmax())
         return best, float(z[best] / z.sum())
 
+    def unusual(self, language: int, counts: np.ndarray) -> bool:
+        """Whether the text falls below the language's texts of like length."""
+        if self.odds is None:
+            return False
+        n = int(counts.sum())
+        centre, longest, lowest = self.usual[language]
+        like = min(int(np.searchsorted(longest, n)), len(longest) - 1)
+        away = float(counts @ self.odds[language]) / max(1, n) - centre
+        return away * min(n, int(longest[-1])) ** 0.5 < lowest[like]
+
 
 def train(samples: list[tuple[str, np.ndarray, np.ndarray]], calibration: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """Fit on (language, buckets, counts); temperature and threshold from ``calibration``."""
+    """Fit on (language, buckets, counts); temperature from ``calibration``."""
     languages = sorted({label for label, _, _ in samples})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
@@ -141,9 +161,56 @@ def calibrated(model: Model, held: list[tuple[str, np.ndarray, np.ndarray]], ind
 
     grid = np.geomspace(0.2, 20, 60)
     model.temperature = float(grid[np.argmin([loss(t) for t in grid])])
-    z = np.exp((logits - logits.max(axis=1, keepdims=True)) / model.temperature)
-    scores = (z / z.sum(axis=1, keepdims=True)).max(axis=1)
-    model.threshold = float(min(MAX_THRESHOLD, np.quantile(scores, REJECTED_SHARE)))
+    return model
+
+
+def log_odds(totals: np.ndarray) -> np.ndarray:
+    """Of each bucket under counts, against an even spread."""
+    seen = totals + UNSEEN
+    return np.log(seen * (BUCKETS / seen.sum(axis=-1, keepdims=True)))
+
+
+def usual_odds(lengths: np.ndarray, means: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Centre of the texts' mean log-odds, and by class of length the longest text and the lowest usual value.
+
+    Values are distances from the centre times the root of the length, as means
+    over more n-grams spread less.
+    """
+    centre, by_length = float(np.median(means)), np.argsort(lengths, kind="stable")
+    longest, lowest = [], []
+    for rows in np.array_split(by_length, max(1, len(by_length) // LIKE_TEXTS)):
+        away = np.sort((means[rows] - centre) * lengths[rows] ** 0.5)
+        tail = min(len(away), max(TAIL_TEXTS, int(len(away) * TAIL_SHARE)))
+        start = away[tail - 1]
+        step = float((start - away[tail // TAIL_TEXTS : tail]).mean())
+        longest.append(lengths[rows].max())
+        lowest.append(start - step * max(0.0, np.log(tail / len(away) / REJECTED_SHARE)))
+    return centre, np.array(longest), np.array(lowest)
+
+
+def with_odds(model: Model, texts: list[tuple[str, list[tuple[np.ndarray, np.ndarray]]]]) -> Model:
+    """Add the log-odds; ``texts`` are (language, parts), the first part being the text and the others cuts of it.
+
+    A text and its cuts are measured without what the text itself adds.
+    """
+    index = {label: i for i, label in enumerate(model.languages)}
+    known = [(index[label], parts) for label, parts in texts if label in index]
+    totals = np.zeros((len(index), BUCKETS))
+    for label, parts in known:
+        buckets, counts = parts[0]
+        totals[label, buckets] += counts
+    measured: list[list[tuple[float, float]]] = [[] for _ in index]
+    own = np.zeros(BUCKETS)
+    for label, parts in known:
+        buckets, counts = parts[0]
+        own[buckets] = counts
+        even = BUCKETS / (totals[label].sum() - counts.sum() + UNSEEN * BUCKETS)
+        for b, c in parts:
+            odds = np.log((totals[label, b] - own[b] + UNSEEN) * even)
+            measured[label].append((c.sum(), float((c * odds).sum() / c.sum())))
+        own[buckets] = 0
+    model.odds = log_odds(totals)
+    model.usual = [usual_odds(*np.array(rows).T) for rows in measured]
     return model
 
 
@@ -152,8 +219,8 @@ def fold_of(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list, list]:
-    """Training and calibration samples of the learnable rows, in an order of their own.
+def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list, list, list]:
+    """Training and calibration samples of the learnable rows, in an order of their own, and both by text.
 
     Rows are drawn by a hash of key and text, about SAMPLE_TEXTS per language;
     features are counted where the texts are read, so only those travel.
@@ -164,7 +231,7 @@ def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list,
         .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     )
     if not counts:
-        return [], []
+        return [], [], []
     shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE_TEXTS / r["n"]))])
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) / 1_000_000
     chosen = learnable.where(draw < F.coalesce(shares[F.col(lang)], F.lit(0.0))).select(
@@ -201,13 +268,20 @@ def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list,
         (name.rpartition("/")[0], (label, np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<u4").astype(np.float64)))
         for name, label, b, c in found
     ]
+    # A text comes before its cuts; without a letter in its window it has none of its own.
+    texts: dict[tuple[str, str], list[tuple[np.ndarray, np.ndarray]]] = {}
+    for (name, label, _, _), (_, (_, buckets, counts)) in zip(found, rows):
+        texts.setdefault((name.rpartition("/")[0], label), []).append((buckets, counts))
+    by_text = [(label, parts) for (_, label), parts in texts.items()]
     # Every fifth text calibrates.
     names = {name: i for i, name in enumerate(dict.fromkeys(name for name, _ in rows))}
-    return [r for name, r in rows if names[name] % 5], [r for name, r in rows if names[name] % 5 == 0]
+    return [r for name, r in rows if names[name] % 5], [r for name, r in rows if names[name] % 5 == 0], by_text
 
 
 def fitted(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    return train(*sample(documents, key, text, lang))
+    learned, calibration, by_text = sample(documents, key, text, lang)
+    model = train(learned, calibration)
+    return with_odds(model, by_text) if model.languages else model
 
 
 def predicted(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -297,6 +297,28 @@ def test_the_held_out_fold_is_not_learned_from(spark):
     assert {r["lang_pred"] for r in language_id.languages(docs(spark, rows)).collect()} == {"aa"}
 
 
+PARTS = {
+    "aa": ["ba", "bo", "bi", "da"], "zz": ["tszk", "krsz", "glü", "szö"], "qq": ["quoi", "eau", "oie", "aux"],
+    "hh": ["hwn", "yll", "gwy", "ddh"], "vv": ["vele", "jnum", "fexo", "pim"],
+}
+
+
+@pytest.mark.parametrize("learned", [["aa"], ["aa", "qq"], ["aa", "zz", "qq", "hh"]])
+def test_a_language_that_was_not_learned_is_rejected(spark, learned):
+    rng = random.Random(11)
+
+    def said(lang, words):
+        return " ".join("".join(rng.choices(PARTS[lang], k=3)) for _ in range(words))
+
+    known = [(k, said(lang, rng.randrange(3, 60)), lang, "s") for k, lang in enumerate(rng.choices(learned, k=250 * len(learned)))]
+    other = [(5000 + k, said("vv", rng.randrange(20, 400)), None, "s") for k in range(60)]
+    by = {r["doc_id"]: r["rejected"] for r in language_id.languages(docs(spark, known + other)).collect()}
+    assert all(by[k] for k, *_ in other)
+    assert sum(by[k] for k, *_ in known) <= len(known) // 100
+    kept = {r["doc_id"] for r in language_id.accepted_rows(docs(spark, known + other)).collect()}
+    assert kept == {k for k, rejected in by.items() if not rejected}
+
+
 def test_language_without_labels(spark):
     got = language_id.languages(docs(spark, [(1, "text", None, "s")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)]
