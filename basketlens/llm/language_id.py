@@ -33,9 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: Bounds of training: texts per language, languages, and bytes of a text that
-#: the sample reads from one random place on (prediction reads whole texts).
-SAMPLE_TEXTS, MAX_LANGUAGES, SAMPLE_BYTES = 600, 200, 20_000
+#: Bounds of training: texts per language, texts of all languages as long as each
+#: has LEAST_TEXTS, and bytes of a text that the sample reads from one random place
+#: on (prediction reads whole texts). Every label is learned.
+SAMPLE_TEXTS, ALL_TEXTS, LEAST_TEXTS, SAMPLE_BYTES = 600, 120_000, 20, 20_000
 BUCKETS, DIMENSIONS = 1 << 13, 16
 SHORT_CUTS = 2
 EPOCHS, RATE, DECAY = 8, 2.0, 1e-6
@@ -222,19 +223,24 @@ def fold_of(key: Column) -> Column:
 def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list, list, list]:
     """Training and calibration samples of the learnable rows, in an order of their own, and both by text.
 
-    Rows are drawn by a hash of key and text, about SAMPLE_TEXTS per language;
-    features are counted where the texts are read, so only those travel.
+    Rows are drawn by a hash of key and text, about SAMPLE_TEXTS per language, or
+    fewer where there are many languages; features are counted where the texts are
+    read, so only those travel.
     """
     learnable = documents.where((fold_of(F.col(key)) != 2) & F.col(lang).isNotNull())
     counts = (
         learnable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+        .collect()
     )
     if not counts:
         return [], [], []
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE_TEXTS / r["n"]))])
+    each = min(SAMPLE_TEXTS, max(LEAST_TEXTS, ALL_TEXTS // len(counts)))
+    shares = documents.sparkSession.createDataFrame(
+        sorted((r["lang"], min(1.0, each / r["n"])) for r in counts), "_label string, _share double"
+    )
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) / 1_000_000
-    chosen = learnable.where(draw < F.coalesce(shares[F.col(lang)], F.lit(0.0))).select(
+    drawn = learnable.withColumn("_draw", draw).join(F.broadcast(shares), F.col(lang) == F.col("_label"))
+    chosen = drawn.where(F.col("_draw") < F.col("_share")).select(
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
 

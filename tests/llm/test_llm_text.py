@@ -319,6 +319,21 @@ def test_a_language_that_was_not_learned_is_rejected(spark, learned):
     assert kept == {k for k, rejected in by.items() if not rejected}
 
 
+def test_every_label_is_learned(spark):
+    rows = [(k, f"{chr(0x4E00 + k % 230) * 3} {chr(0x4E00 + k % 230) * 5}", f"l{k % 230}", "s") for k in range(230 * 12)]
+    got = language_id.languages(docs(spark, rows)).collect()
+    assert {r["lang_pred"] for r in got} == {f"l{k}" for k in range(230)}
+
+
+def test_many_labels_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "ALL_TEXTS", 400)
+    rng = random.Random(12)
+    rows = [(k, sentence(rng, "aa"), f"l{k % 10}", "s") for k in range(4000)]
+    _, _, texts = language_id.sample(docs(spark, rows), "doc_id", "text", "lang")
+    by_label = Counter(label for label, _ in texts)
+    assert len(by_label) == 10 and 250 < len(texts) < 550
+
+
 def test_language_without_labels(spark):
     got = language_id.languages(docs(spark, [(1, "text", None, "s")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)]
