@@ -224,24 +224,27 @@ def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list,
     """Training and calibration samples of the learnable rows, in an order of their own, and both by text.
 
     Rows are drawn by a hash of key and text, about SAMPLE_TEXTS per language, or
-    fewer where there are many languages; features are counted where the texts are
-    read, so only those travel.
+    fewer where there are many languages; a row that repeats key, text and label
+    counts once. Features are counted where the texts are read, so only those travel,
+    and of repeated rows the text once per task.
     """
-    learnable = documents.where((fold_of(F.col(key)) != 2) & F.col(lang).isNotNull())
+    learnable = documents.where((fold_of(F.col(key)) != 2) & F.col(lang).isNotNull()).select(
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"),
+        F.xxhash64(F.col(key), F.col(text), F.lit(SEED)).alias("hash"),
+    )
     counts = (
-        learnable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-        .collect()
+        learnable.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     )
     if not counts:
         return [], [], []
     each = min(SAMPLE_TEXTS, max(LEAST_TEXTS, ALL_TEXTS // len(counts)))
     shares = documents.sparkSession.createDataFrame(
-        sorted((r["lang"], min(1.0, each / r["n"])) for r in counts), "_label string, _share double"
+        sorted((r["lang"], min(1.0, each / r["n"])) for r in counts), "lang string, share double"
     )
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) / 1_000_000
-    drawn = learnable.withColumn("_draw", draw).join(F.broadcast(shares), F.col(lang) == F.col("_label"))
-    chosen = drawn.where(F.col("_draw") < F.col("_share")).select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
+    drawn = learnable.join(F.broadcast(shares), "lang").where(F.pmod("hash", F.lit(1_000_000)) / 1_000_000 < F.col("share"))
+    # Texts of one key stay apart by their hash.
+    chosen = drawn.groupBy("lang", "hash").agg(F.first("key").alias("key"), F.first("text").alias("text")).select(
+        F.concat_ws("/", "key", F.hex("hash")).alias("key"), "text", "lang"
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -334,6 +334,21 @@ def test_many_labels_share_the_sample(spark, monkeypatch):
     assert len(by_label) == 10 and 250 < len(texts) < 550
 
 
+def test_repeated_and_null_keys_are_sampled_by_text(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 40)
+    rng = random.Random(13)
+    same = [(key, sentence(rng, "aa"), f"of {key}", "s") for key in (None, 1, 3, 5, 8) for _ in range(400)]
+    copies = [(901, sentence(rng, "zz"), "copies", "s")] * 300 + [(k, sentence(rng, "zz"), "copies", "s") for k in range(1000, 1020)]
+    learned, calibration, texts = language_id.sample(docs(spark, same + copies), "doc_id", "text", "lang")
+    by_label = Counter(label for label, _ in texts)
+    for key in (None, 1, 3, 5, 8):
+        if key is None or zlib.crc32(str(key).encode()) % 4 != 2:
+            assert 15 < by_label.pop(f"of {key}") < 75
+    free = [k for k in (901, *range(1000, 1020)) if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert by_label == {"copies": len(free)}
+    assert {label for label, _, _ in learned} == {label for label, _, _ in calibration}
+
+
 def test_language_without_labels(spark):
     got = language_id.languages(docs(spark, [(1, "text", None, "s")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)]
