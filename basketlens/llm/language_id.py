@@ -253,7 +253,8 @@ def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list,
             for name, content, label in zip(*(c.to_pylist() for c in batch.columns)):
                 if not content or not has_letter(content):
                     continue
-                raw = content.encode("utf-8", "replace")
+                # Runs of blanks become one, so every window holds words.
+                raw = b" ".join(content.encode("utf-8", "replace").split())
                 random = np.random.default_rng([len(raw), *name.encode()])
                 at = int(random.integers(0, max(1, len(raw) - SAMPLE_BYTES + 1)))
                 words = raw[at : at + SAMPLE_BYTES].split()

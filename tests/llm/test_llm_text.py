@@ -349,6 +349,13 @@ def test_repeated_and_null_keys_are_sampled_by_text(spark, monkeypatch):
     assert {label for label, _, _ in learned} == {label for label, _, _ in calibration}
 
 
+def test_long_blanks_in_a_labelled_text_are_learned_around(spark):
+    rows = [(k, "ba" + " \n" * language_id.SAMPLE_BYTES * 20 + "bo bi", "aa", "s") for k in range(12)]
+    _, _, texts = language_id.sample(docs(spark, rows), "doc_id", "text", "lang")
+    assert len(texts) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(12))
+    assert {r["lang_pred"] for r in language_id.languages(docs(spark, rows)).collect()} == {"aa"}
+
+
 def test_language_without_labels(spark):
     got = language_id.languages(docs(spark, [(1, "text", None, "s")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)]
