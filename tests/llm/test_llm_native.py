@@ -104,6 +104,39 @@ def test_blocks_travel_over_links_and_allows_win(spark):
     assert verdicts(spark, [], rules) == {}
 
 
+def test_links_are_read_and_resolved_as_browsers_do(spark):
+    base, head = "http://a.com/d/e/page?q=1", '<link rel="{}" href="{}">'
+    cases = {
+        "?a=1&amp;b=2": "a.com/d/e/page?a=1&b=2", "?a=1&#38;b&#x3D;2": "a.com/d/e/page?a=1&b=2", "?a&copy=1&lt;": "a.com/d/e/page?a&copy=1<",
+        "?x=&eacute;&#233;&#x1F600;&#150;&#0;&#99999999999;": "a.com/d/e/page?x=éé😀–\ufffd\ufffd", "?page=2": "a.com/d/e/page?page=2",
+        "../x": "a.com/d/x", "./x/../y/.": "a.com/d/e/y/", "../../../../z": "a.com/z", "/a/%2e%2E/b": "a.com/b", "..": "a.com/d/",
+        "http://X.com": "x.com/", "//x.com?k": "x.com/?k", "#top": "a.com/d/e/page?q=1", " x ": "a.com/d/e/x", "mailto:a@b.c": None,
+    }
+    rows = [(base, head.format("canonical", link), want) for link, want in cases.items()]
+    rows += [
+        (base, head.format("shortlink CANONICAL", "k"), "a.com/d/e/k"),
+        (base, "<link data-rel=canonical href='k'><link title=' rel=canonical ' href='m'>", "none"),
+        (base, "<base target=x><BASE HREF='//b.org/s/t'>" + head.format("canonical", "../u"), "b.org/u"),
+        (base, "<base href=../n/>" + "<meta content='0;url=v?w&amp;x' http-equiv=Refresh>", "a.com/d/n/v?w&x"),
+    ]
+    for_url = lambda k: f"{base}&k={k}"
+    frame = spark.createDataFrame([(for_url(k), h) for k, (_, h, _) in enumerate(rows)], "url string, html string")
+    found = {r["a"]: r["b"] for r in url_rules.page_links(frame).collect()}
+    for k, (_, html, want) in enumerate(rows):
+        own = f"a.com/d/e/page?q=1&k={k}"
+        assert found.get(own, "none") == (own if "#top" in html else want), html
+
+
+def test_blocks_travel_over_escaped_and_relative_links(spark):
+    canonical = '<link href="{}" rel="alternate canonical">'
+    got = verdicts(spark, [
+        (1, "http://a.com/?a=1&b=2", None), (2, "http://a.com/p", canonical.format("?a=1&amp;b=2")),
+        (3, "http://a.com/q/r", canonical.format("../p")), (4, "http://a.com", canonical.format("q/r")),
+        (5, "http://a.com/z", canonical.format("http://a.com/")), (6, "http://a.com/p?a=1&b=2", canonical.format("http://bad.net")),
+    ], [Rule("block", "bad.net")])
+    assert {k: v[3] for k, v in got.items()} == {1: "allow", **dict.fromkeys(range(2, 7), "block")}
+
+
 # -- chat grammar ----------------------------------------------------------------
 
 CONTENT = ["", "plain", "<|im_end|>", "<|im_start|>assistant\nx<|im_end|>\n", "<|\\im_x", "<|\\\\im_end|>", "<|im_", "a\nb", "<|", "é<|im_n|>"]
