@@ -142,10 +142,83 @@ FROM docs d LEFT JOIN shingles h ON h.doc_id = d.doc_id LEFT JOIN sets s ON s.ow
 LEFT JOIN parts p ON p.set_id = s.set_id
 """
 
+# op11: levels of eight, written out one by one; eleven hold 8^11 leaves of a group.
+_LEVELS = 11
+
+
+def _merkle_levels(name: str) -> str:
+    """Nodes and their siblings of each level above ``<name>0`` (tree, idx, nodes, digest)."""
+    steps = []
+    for k in range(_LEVELS):
+        here, up = f"{name}{k}", f"{name}{k + 1}"
+        steps.append(f"""{here}_sides AS MATERIALIZED (
+  SELECT tree, idx, nodes,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, idx // 8 ORDER BY idx
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, idx // 8 ORDER BY idx
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {here}
+), {up} AS MATERIALIZED (
+  SELECT tree, idx // 8 AS idx, (nodes + 7) // 8 AS nodes,
+    CASE WHEN nodes = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest
+  FROM {here} GROUP BY tree, idx // 8, nodes
+)""")
+    return ", ".join(steps)
+
+
+def _merkle_paths(name: str, start: str) -> str:
+    """From ``start`` (id, tree, idx, proof, node) up the levels of ``name``."""
+    steps, before = [], start
+    for k in range(_LEVELS):
+        steps.append(f"""{start}_{k} AS MATERIALIZED (
+  SELECT p.id, p.tree, p.idx // 8 AS idx, p.proof || s.l || s.r AS proof,
+    CASE WHEN s.nodes = 1 THEN p.node ELSE sha256(s.l || p.node || s.r) END AS node
+  FROM {before} p JOIN {name}{k}_sides s ON s.tree = p.tree AND s.idx = p.idx
+)""")
+        before = f"{start}_{k}"
+    return ", ".join(steps)
+
+
+def _merkle() -> str:
+    def field(x: str) -> str:
+        return f"coalesce(strlen(({x})::VARCHAR) || ':' || ({x})::VARCHAR, '-')"
+
+    given = [field(x) for x in ("doc_id", "source", "lang", "n_chars")]
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf, changed = (f"sha256({' || '.join([*given, field(x)])})" for x in ("text", low))
+    bits = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "CASE WHEN xor(a, b) & 1 = 1 THEN xor(xor(a, b) >> 1, 3988292384) ELSE xor(a, b) >> 1 END"
+    crc = f"xor(list_reduce({bits}::BIGINT[], lambda a, b: {step}, 4294967295::BIGINT), 4294967295)"
+    return f"""
+WITH leaves AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS tree, {leaf} AS leaf,
+    CASE WHEN {crc} % 3 = 0 THEN {changed} ELSE {leaf} END AS changed
+  FROM documents
+), ranked AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS nodes
+  FROM leaves
+), g0 AS MATERIALIZED (SELECT tree, idx, nodes, leaf AS digest FROM ranked), {_merkle_levels("g")},
+subroots AS MATERIALIZED (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS nodes FROM g{_LEVELS}
+), t0 AS MATERIALIZED (SELECT '' AS tree, idx, nodes, digest FROM subroots), {_merkle_levels("t")},
+inner_start AS (SELECT id, tree, idx, '' AS proof, changed AS node FROM ranked),
+{_merkle_paths("g", "inner_start")},
+outer_start AS (
+  SELECT p.id, '' AS tree, s.idx, p.proof, p.node FROM inner_start_{_LEVELS - 1} p JOIN subroots s ON s.tree = p.tree
+), {_merkle_paths("t", "outer_start")}
+SELECT r.doc_id, r.leaf, s.digest AS subroot, t.digest AS root, sha256(p.proof) AS proof_sha256,
+  p.node AS folded_root, p.node = t.digest AS verified
+FROM ranked r JOIN outer_start_{_LEVELS - 1} p ON p.id = r.id JOIN subroots s ON s.tree = r.tree
+CROSS JOIN t{_LEVELS} t
+"""
+
+
 CHECK_SQL: dict[str, str] = {
     "op3_jaccard_groups": _JACCARD,
     "op4_url_rules": _URL_RULES,
     "op5_chat_grammar": _CHAT,
     "op7_decontaminate": _DECONTAMINATE,
     "op10_host_rules": _HOST_RULES,
+    "op11_merkle_manifest": _merkle(),
 }

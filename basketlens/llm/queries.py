@@ -14,6 +14,7 @@ from basketlens.llm import (
     host_rules,
     jaccard_groups,
     language_id,
+    merkle_manifest,
     source_mix,
     token_counts,
     token_files,
@@ -123,6 +124,11 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_filtered(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document in the manifest of the table."""
+    return merkle_manifest.verified_rows(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
@@ -134,4 +140,5 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": op8_source_mix,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_host_rules": op10_host_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
