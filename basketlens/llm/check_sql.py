@@ -214,6 +214,36 @@ CROSS JOIN t{_LEVELS} t
 """
 
 
+_LEXICAL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), asked AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs
+), held AS MATERIALIZED (
+  SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held CROSS JOIN totals GROUP BY term
+), scores AS (
+  SELECT a.item_id, h.id, any_value(d.doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.terms) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked a JOIN held h ON h.term = a.term JOIN weights v ON v.term = a.term
+  JOIN docs d ON d.id = h.id CROSS JOIN totals GROUP BY a.item_id, h.id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST))::INTEGER AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op3_jaccard_groups": _JACCARD,
     "op4_url_rules": _URL_RULES,
@@ -221,4 +251,5 @@ CHECK_SQL: dict[str, str] = {
     "op7_decontaminate": _DECONTAMINATE,
     "op10_host_rules": _HOST_RULES,
     "op11_merkle_manifest": _merkle(),
+    "op13_lexical_search": _LEXICAL,
 }

@@ -14,6 +14,7 @@ from basketlens.llm import (
     host_rules,
     jaccard_groups,
     language_id,
+    lexical_search,
     merkle_manifest,
     source_mix,
     token_counts,
@@ -129,6 +130,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verified_rows(_table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that match each benchmark item best."""
+    return lexical_search.ranked_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
@@ -141,4 +149,5 @@ QUERIES: dict[str, Query] = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_host_rules": op10_host_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
 }
