@@ -15,6 +15,7 @@ from basketlens.llm import (
     jaccard_groups,
     language_id,
     lexical_search,
+    lm_scores,
     merkle_manifest,
     source_mix,
     token_counts,
@@ -130,6 +131,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verified_rows(_table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention model scores of every document, learned from four of five folds."""
+    return lm_scores.document_scores(
+        _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+    )
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten documents that match each benchmark item best."""
     return lexical_search.ranked_documents(
@@ -149,5 +157,6 @@ QUERIES: dict[str, Query] = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_host_rules": op10_host_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lm_scores": op12_lm_scores,
     "op13_lexical_search": op13_lexical_search,
 }
