@@ -133,8 +133,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and attention model scores of every document, learned from four of five folds."""
+    import public_tokenizers
+
     return lm_scores.document_scores(
-        _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
 
 
