@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.plans import cohorts, rfm
-from basketlens.plans.cleaning import build_star, clean_products, clean_sales
+from basketlens.plans.cleaning import build_star
 from basketlens.plans.quality import (
     PRIMARY_KEYS,
     clean_suite,
     primary_keys,
     require_passed,
     star_suite,
+    suite_numbers,
     union_checks,
     unreadable_cells,
 )
@@ -43,8 +44,8 @@ def build_warehouse(spark: SparkSession, raw_folder: str, out_folder: str) -> St
 def validate_warehouse(spark: SparkSession, raw_folder: str, star: Star) -> DataFrame:
     """Run both check suites once; raise if a check fails, else return the results."""
     raw = read_raw_folder(spark, raw_folder)
-    sales = clean_sales(raw["sales"], clean_products(raw["products"]))
-    checks = clean_suite(star).unionByName(star_suite(star, raw, sales))
+    numbers = suite_numbers(star)
+    checks = clean_suite(star, numbers).unionByName(star_suite(star, raw, numbers=numbers))
     results = spark.createDataFrame(checks.collect(), checks.schema)  # 34 rows
     require_passed(results)
     return results

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import parse_money, parse_raw_date, percent2, ratio2
+from basketlens.operators.distinct import distinct_counts
 
 Raw = Mapping[str, DataFrame]
 
@@ -106,30 +107,25 @@ def profile_columns(raw: Raw) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_sales_keys(raw: Raw) -> DataFrame:
-    """Distinct keys of the sales table, one row per key.
+# The keys of a sales line that are counted.
+SALES_KEYS = {
+    "order_number": ["Order Number"],
+    "order_line": ["Order Number", "Line Item"],
+    "customer_key": ["CustomerKey"],
+    "product_key": ["ProductKey"],
+    "store_key": ["StoreKey"],
+    "currency_code": ["Currency Code"],
+}
 
-    One distinct aggregate per key: several in one would multiply every line.
-    """
-    sales = raw["sales"]
-
-    def distinct(label: str, *cols: str) -> DataFrame:
-        picked = sales.select(*[F.col(f"`{c}`") for c in cols])
-        if len(cols) == 1:
-            picked = picked.where(F.col(f"`{cols[0]}`").isNotNull())
-        return picked.distinct().agg(F.count(F.lit(1)).alias("distinct_values")).select(
-            F.lit(label).alias("key_name"), "distinct_values"
-        )
 
-    parts = [
-        distinct("order_number", "Order Number"),
-        distinct("order_line", "Order Number", "Line Item"),
-        distinct("customer_key", "CustomerKey"),
-        distinct("product_key", "ProductKey"),
-        distinct("store_key", "StoreKey"),
-        distinct("currency_code", "Currency Code"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def profile_sales_keys(raw: Raw) -> DataFrame:
+    """Distinct keys of the sales table, one row per key, from one pass."""
+    counted = distinct_counts(raw["sales"], SALES_KEYS)
+    # A row per label, also where the table has no value of it.
+    labels = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(0).cast("bigint").alias("n")) for k in SALES_KEYS])
+    none = raw["sales"].sparkSession.range(1).select(F.inline(labels))
+    every = counted.withColumnRenamed("distinct_values", "n").unionByName(none)
+    return every.groupBy(F.col("label").alias("key_name")).agg(F.max("n").alias("distinct_values"))
 
 
 def profile_order_dates(raw: Raw) -> DataFrame:

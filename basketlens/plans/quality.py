@@ -6,13 +6,15 @@ raises. ``require_passed`` turns failures into an error after the fact.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import close_to
+from basketlens.plans.cleaning import clean_products, clean_sales
+from basketlens.plans.star_profile import Numbers, star_numbers
 from basketlens.sources.raw_files import RAW_SCHEMAS, unreadable
 from basketlens.sources.star import Star
 
@@ -47,6 +49,19 @@ def _zero(name: str | Column, observed: str | Column) -> list[Column]:
     ]
 
 
+Result = tuple[str, float | None, float, bool | None]
+RESULT = "check_name string, observed double, threshold double, passed boolean"
+
+
+def _none_of(name: str, found: int) -> Result:
+    """A check that passes when nothing was found."""
+    return name, float(found), 0.0, found == 0
+
+
+def _results(star: Star, rows: list[Result]) -> DataFrame:
+    return star.spark.createDataFrame(rows, RESULT)
+
+
 def _count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
@@ -204,49 +219,26 @@ def orphan_customer(star: Star, name: str = "orphan_customer") -> DataFrame:
     return orphans(weights, star.table("dim_customer"), "customer_key").select(*_zero(name, "n"))
 
 
-def foreign_keys(star: Star) -> DataFrame:
-    """Orphans of the six relationships and their sum.
+# The relationships and the kind of key that each one counts.
+RELATIONSHIPS = {
+    "fact_sales.customer_key": "customer",
+    "fact_sales.product_key": "product",
+    "fact_sales.store_key": "store",
+    "fact_sales.order_date": "day",
+    "dim_product.subcategory_key": "subcategory",
+    "dim_subcategory.category_key": "category",
+}
 
-    Child rows are counted per key before the anti join, so it compares
-    distinct keys and a hot key weighs one row.
-    """
-    dates = star.table("dim_date").withColumnRenamed("date_key", "order_date")
-    found = {
-        "fact_sales.customer_key": orphans(
-            _weights(star.orders("customer_key", "n_lines"), "customer_key", "n_lines"),
-            star.table("dim_customer"), "customer_key",
-        ),
-        "fact_sales.product_key": orphans(
-            _weights(star.fact("product_key"), "product_key"),
-            star.table("dim_product"), "product_key",
-        ),
-        "fact_sales.store_key": orphans(
-            _weights(star.fact("store_key"), "store_key"), star.table("dim_store"), "store_key"
-        ),
-        "fact_sales.order_date": orphans(
-            _weights(star.orders("order_date", "n_lines"), "order_date", "n_lines"),
-            dates, "order_date",
-        ),
-        "dim_product.subcategory_key": orphans(
-            _weights(star.table("dim_product"), "subcategory_key"),
-            star.table("dim_subcategory"), "subcategory_key",
-        ),
-        "dim_subcategory.category_key": orphans(
-            _weights(star.table("dim_subcategory"), "category_key"),
-            star.table("dim_category"), "category_key",
-        ),
-    }
-    rows = [
-        df.select(F.lit(name).alias("check_name"), F.coalesce("n", F.lit(0)).alias("n"))
-        for name, df in found.items()
-    ]
-    # Seven rows: the relationships and, from grouping on nothing, their sum.
-    return (
-        reduce(DataFrame.unionByName, rows)
-        .rollup("check_name")
-        .agg(F.sum("n").alias("n"))
-        .select(*_zero(F.coalesce("check_name", F.lit("all_foreign_keys")), "n"))
-    )
+
+def foreign_keys(star: Star, numbers: Numbers | None = None) -> DataFrame:
+    """Orphans of the six relationships and their sum."""
+    numbers = numbers or star_numbers(star, keys=False, revenue=False)
+    return _results(star, _reference_rows(numbers))
+
+
+def _reference_rows(numbers: Numbers) -> list[Result]:
+    found = {name: numbers[kind]["orphans"] for name, kind in RELATIONSHIPS.items()}
+    return [_none_of(n, v) for n, v in {**found, "all_foreign_keys": sum(found.values())}.items()]
 
 
 # -- files -------------------------------------------------------------------------
@@ -272,10 +264,12 @@ SOURCES = {
 }
 
 
-def row_counts(star: Star, raw: Mapping[str, DataFrame]) -> DataFrame:
+def row_counts(star: Star, raw: Mapping[str, DataFrame], without: Sequence[str] = ()) -> DataFrame:
     """Rows of a star table minus rows of the raw table it came from."""
     checks = []
     for table, source in SOURCES.items():
+        if table in without:
+            continue
         signed = star.table(table).select(F.lit(1).alias("s")).unionAll(
             raw[source].select(F.lit(-1).alias("s"))
         )
@@ -299,70 +293,107 @@ def revenue_reconciles(star: Star, sales: DataFrame) -> DataFrame:
 SLICES = ["year", "customer_country", "category_name", "channel", "store_country"]
 
 
-def slice_reconciliation(star: Star) -> DataFrame:
+def slice_reconciliation(star: Star, numbers: Numbers | None = None) -> DataFrame:
     """Revenue summed over each slicing against the total; the gap is reported."""
-    gaps = []
+    numbers = numbers or star_numbers(star, keys=False)
+    return _results(star, _slice_rows(numbers))
+
+
+def _total_cents(numbers: Numbers) -> int | None:
+    lines = numbers["customer"]
+    return lines["revenue"] if lines["n"] else None
+
+
+def _slice_rows(numbers: Numbers) -> list[Result]:
+    sums = {
+        "year": numbers["day"]["dated"],
+        "customer_country": numbers["customer"]["named"],
+        "category_name": numbers["product"]["named"],
+        "channel": numbers["store"]["named"],
+        "store_country": numbers["store"]["placed"],
+    }
+    total = _total_cents(numbers)
+    rows: list[Result] = []
     for name in SLICES:
-        if name in ("year", "customer_country"):
-            rows = star.orders(name, "revenue_cents")
-        elif name == "category_name":
-            rows = star.product_totals("revenue_cents").join(
-                star.product_flat(name), "product_key"
-            )
-        else:
-            per_store = star.fact("store_key", "revenue_cents").groupBy("store_key").agg(
-                F.sum("revenue_cents").alias("revenue_cents")
-            )
-            rows = per_store.join(star.store_flat(name), "store_key")
-        parts = rows.groupBy(name).agg(F.sum("revenue_cents").alias("r"))
-        gaps.append(
-            parts.where(F.col(name).isNotNull())
-            .agg(F.sum("r").alias("r"))
-            .select(F.lit(name).alias("check_name"), "r")
-        )
-    total = star.revenue_total().scalar()
-    gap = F.abs(F.coalesce(F.col("r"), F.lit(0)) - total).cast("double") / 100.0
-    return reduce(DataFrame.unionByName, gaps).select(
-        "check_name",
-        gap.alias("observed"),
-        F.lit(RECONCILE_TOLERANCE).alias("threshold"),
-        (gap < RECONCILE_TOLERANCE).alias("passed"),
-    )
+        gap = None if total is None else abs(sums[name] - total) / 100.0
+        rows.append((name, gap, RECONCILE_TOLERANCE, None if gap is None else gap < RECONCILE_TOLERANCE))
+    return rows
 
 
 # -- suites --------------------------------------------------------------------
 
+CLEAN_ROWS = [
+    "order_date_valid", "delivery_before_order", "quantity_valid", "revenue_recompute",
+    "negative_profit",
+]
 
-def clean_suite(star: Star) -> DataFrame:
-    """The thirteen checks run on the cleaned tables."""
-    return union_checks(
-        [
-            dup_transaction_key(star),
-            row_checks(
-                star,
-                ["order_date_valid", "delivery_before_order", "quantity_valid",
-                 "revenue_recompute", "negative_profit"],
-            ),
-            price_valid(star),
-            cost_valid(star),
-            category_key_1to1(star),
-            customer_key_unique(star),
-            orphan_customer(star),
-            order_has_lines(star),
-            total_revenue_positive(star),
-        ]
-    )
 
+def suite_numbers(star: Star) -> Numbers:
+    """What both suites need of the star, from one pass over its fact table."""
+    return star_numbers(star, {n: (ROW_CHECKS[n][0], ROW_CHECKS[n][1]()) for n in CLEAN_ROWS})
 
-def star_suite(star: Star, raw: Mapping[str, DataFrame], sales: DataFrame) -> DataFrame:
-    """The twenty-one checks run on the finished star."""
-    return union_checks(
-        [
-            row_counts(star, raw),
-            primary_keys(star),
-            fact_composite_key(star),
-            foreign_keys(star),
-            duplicate_groups(star),
-            revenue_reconciles(star, sales),
-        ]
-    )
+
+def clean_suite(star: Star, numbers: Numbers | None = None) -> DataFrame:
+    """The thirteen checks run on the cleaned tables.
+
+    ``numbers`` may hand over what ``suite_numbers`` found; else the fact is
+    read here, once.
+    """
+    numbers = numbers or suite_numbers(star)
+    total = _total_cents(numbers)
+    revenue = None if total is None else total / 100.0
+    counted = [
+        _none_of("dup_transaction_key", numbers["line"]["copies"]),
+        *[_none_of(n, numbers["rows"][n]) for n in CLEAN_ROWS],
+        _none_of("category_key_1to1", numbers["label"]["relabelled"]),
+        _none_of("customer_key_unique", numbers["customer"]["surplus"]),
+        _none_of("orphan_customer", numbers["customer"]["orphans"]),
+        _none_of("order_has_lines", numbers["order"]["unnumbered"]),
+        ("total_revenue_positive", revenue, 0.0, bool(revenue and revenue > 0)),
+    ]
+    return union_checks([_results(star, counted), price_valid(star), cost_valid(star)])
+
+
+def star_suite(
+    star: Star, raw: Mapping[str, DataFrame], sales: DataFrame | None = None,
+    numbers: Numbers | None = None,
+) -> DataFrame:
+    """The twenty-one checks run on the finished star.
+
+    The raw sales are read once: their rows are counted as they pass by on the
+    way to the clean sales, whose revenue is compared. ``sales`` may name other
+    clean sales to compare with, ``numbers`` as in ``clean_suite``.
+    """
+    numbers = numbers or star_numbers(star)
+    lines = numbers["line"]
+    keys = [_none_of(f"{t}.{PRIMARY_KEYS[t]}", numbers[k]["excess"]) for t, k in _KEY_KINDS.items()]
+    counts, theirs = _raw_sales(raw, sales)
+    total = _total_cents(numbers)
+    gap = None if total is None or theirs is None else abs(total / 100.0 - theirs)
+    rows = [
+        _none_of("fact_sales", lines["n"] - counts),
+        *keys,
+        _none_of("fact_composite_key", lines["n"] - lines["whole"]),
+        *_reference_rows(numbers),
+        _none_of("duplicate_groups", numbers["customer"]["repeated"]),
+        ("revenue_reconciles", gap, RECONCILE_TOLERANCE, gap is not None and gap < RECONCILE_TOLERANCE),
+    ]
+    return union_checks([row_counts(star, raw, without=["fact_sales"]), _results(star, rows)])
+
+
+_KEY_KINDS = {
+    "dim_customer": "customer", "dim_product": "product", "dim_store": "store",
+    "dim_category": "category", "dim_subcategory": "subcategory", "dim_date": "day",
+}
+
+
+def _raw_sales(raw: Mapping[str, DataFrame], sales: DataFrame | None) -> tuple[int, float | None]:
+    """Rows of the raw sales, and revenue of the clean sales made of them."""
+    if sales is not None:
+        revenue = sales.agg(F.sum("revenue_usd").cast("double").alias("t")).first()["t"]
+        return raw["sales"].count(), revenue
+    seen = Observation("raw sales")
+    observed = raw["sales"].observe(seen, F.count(F.lit(1)).alias("n"))
+    made = clean_sales(observed, clean_products(raw["products"]))
+    revenue = made.agg(F.sum("revenue_usd").cast("double").alias("t")).first()["t"]
+    return seen.get["n"], revenue

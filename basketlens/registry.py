@@ -185,7 +185,7 @@ QUALITY: dict[str, StarPlan] = {
     "dq_unreadable_cells": lambda s: quality.unreadable_cells(raw_text.raw_cells(s)),
     "dq_row_counts": lambda s: quality.row_counts(s, raw_text.RawTables(s)),
     "dq_revenue_reconciles": lambda s: quality.revenue_reconciles(s, _clean_sales(s)),
-    "dq_star_suite": lambda s: quality.star_suite(s, raw_text.RawTables(s), _clean_sales(s)),
+    "dq_star_suite": lambda s: quality.star_suite(s, raw_text.RawTables(s)),
 }
 
 

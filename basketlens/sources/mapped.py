@@ -8,6 +8,8 @@ the number of sales lines never changes.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from basketlens.sources.star import (
     PRODUCT_COLUMNS,
     Star,
     calendar,
+    fixed_calendar,
     with_date_parts,
 )
 
@@ -140,12 +143,14 @@ class MappedStar(Star):
     """Star whose tables are views over the source tables in one folder."""
 
     one_customer_per_order = True  # the order header carries the customer
+    derived_calendar = True
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__({})
         self._spark = spark
         self._folder = folder.rstrip("/")
         self._sources: dict[str, DataFrame] = {}
+        self._span: tuple[date, date] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -203,7 +208,15 @@ class MappedStar(Star):
         joined = lookup_join(self.source("supplier"), nations, "s_nationkey", "left")
         return joined.selectExpr(*_exprs(STORE_SOURCE, STORE_SOURCE))
 
+    def remember_span(self, first: date, last: date) -> None:
+        """Tell the first and last day of the orders that have lines, once known."""
+        self._span = (first, last)
+        for name in ("dim_date", "exchange_rate"):
+            self._tables.pop(name, None)
+
     def _dim_date(self) -> DataFrame:
+        if self._span:
+            return fixed_calendar(self.spark, *(str(d) for d in self._span))
         # Only dates of orders that have lines count.
         span = self.orders("order_date").agg(
             F.min("order_date").alias("a"), F.max("order_date").alias("b")

@@ -112,6 +112,8 @@ class Star:
 
     # Whether every order row belongs to one customer. Loaded data need not.
     one_customer_per_order = False
+    # Whether the calendar is made from the fact's own days when it is asked for.
+    derived_calendar = False
 
     def __init__(self, tables: dict[str, DataFrame]):
         self._tables = tables

@@ -153,3 +153,59 @@ def test_profiles_of_broken_input(spark):
     assert profile_fx_coverage(raw).first().covered is True
     names = profile_duplicate_names(raw).first()
     assert (names.shared_names, names.customers_sharing) == (1, 2)
+
+
+def test_suites_find_what_the_single_checks_find(spark):
+    customers = [*CUSTOMERS, CUSTOMERS[0], (None, *CUSTOMERS[1][1:])]
+    bad = [
+        *GOOD, GOOD[0], GOOD[0],
+        (None, *GOOD[0][1:]),
+        (8, None, *GOOD[0][2:]),
+        sale(3, 1, "x", 1),
+        sale(4, 1, "1/9/2019", 77, delivery="1/8/2019"),
+        sale(5, 1, "1/9/2019", 1, quantity=0),
+        sale(7, 1, "1/9/2019", 1, product=99, store=50),
+        (9, 1, "1/9/2019", None, None, None, 1, 1, "EUR"),
+    ]
+    star, raw = shop_star(spark, bad, customers=customers), raw_shop(spark, bad, customers=customers)
+    sales = clean_sales(raw["sales"], clean_products(raw["products"]))
+    clean = found(Q.clean_suite(star))
+    for check in (Q.dup_transaction_key, Q.customer_key_unique, Q.orphan_customer, Q.order_has_lines,
+                  Q.category_key_1to1, Q.price_valid, Q.total_revenue_positive):
+        for name, result in found(check(star)).items():
+            assert clean[name] == result, name
+    rows = found(Q.row_checks(star))
+    assert all(clean[n] == rows[n] for n in Q.CLEAN_ROWS)
+    suite = found(Q.star_suite(star, raw))
+    assert suite == found(Q.star_suite(star, raw, sales))
+    single = {}
+    for check in (Q.primary_keys, Q.fact_composite_key, Q.duplicate_groups, Q.foreign_keys):
+        single.update(found(check(star)))
+    single.update(found(Q.row_counts(star, raw)))
+    single.update(found(Q.revenue_reconciles(star, sales)))
+    assert suite == single
+    # Nothing points to a customer without a key, though there is one.
+    assert suite["fact_sales.customer_key"] == (2.0, False)
+
+
+def test_suites_read_the_fact_once(spark, tmp_path):
+    star = shop_star(spark, GOOD)
+    star.table("fact_sales").write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    calls = []
+
+    class Counted(Star):
+        def table(self, name):
+            if name == "fact_sales":
+                calls.append(name)
+            return super().table(name)
+
+    tables = {n: star.table(n) for n in ("dim_category", "dim_subcategory", "dim_product",
+                                         "dim_customer", "dim_store", "dim_date", "exchange_rate")}
+    counted = Counted({**tables, "fact_sales": fact})
+    numbers = Q.suite_numbers(counted)
+    reads = len(calls)
+    checks = Q.clean_suite(counted, numbers).unionByName(Q.star_suite(counted, raw_shop(spark, GOOD), numbers=numbers))
+    assert checks.count() == 34
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert reads >= 1 and "order_number" not in plan
