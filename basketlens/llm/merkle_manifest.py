@@ -198,7 +198,7 @@ _PATH = "array<struct<left:binary,right:binary>>"
 
 
 def proofs(built: Manifest, wanted: DataFrame | None = None) -> DataFrame:
-    """Per leaf: key, tree, leaf, changed, subroot and path (leaf to root).
+    """Per leaf: key, tree, idx, leaf, changed, subroot and path (leaf to root).
 
     ``wanted`` (tree, idx of a leaf in its tree) limits the requests to some
     leaves; requests then follow only the digits that lead to them.
@@ -239,7 +239,7 @@ def proofs(built: Manifest, wanted: DataFrame | None = None) -> DataFrame:
     )
     if wanted is not None:
         rows = rows.join(wanted.select("tree", "idx").distinct(), ["tree", "idx"], "left_semi")
-    return rows
+    return rows.select("key", "tree", "idx", "leaf", "changed", "subroot", "path")
 
 
 def proof_text(path: Column) -> Column:

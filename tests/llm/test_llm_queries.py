@@ -42,7 +42,7 @@ def test_query_matches_sql(spark, folder, con, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_token_files_match_the_library(spark, folder, texts, library_ids):
