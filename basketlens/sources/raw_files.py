@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlens.sources.quoted_lines import quoted_cells
 
 def _schema(spec: str) -> T.StructType:
     kinds = {
@@ -78,8 +79,7 @@ NULL_WORDS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Free text in these files may hold line breaks. Such a file is read by one
-# task, so it is never done for sales.
+# Free text in these files may hold line breaks.
 LINE_BREAKS = {"customers", "products"}
 
 # Record whose number of cells is not that of the header.
@@ -102,16 +102,18 @@ def read_cells(
     characters that differ are replaced afterwards.
     """
     texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN]])
-    cells = (
-        spark.read.schema(texts)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", line_breaks)
-        .option("columnNameOfCorruptRecord", BROKEN)
-        .option("encoding", "ISO-8859-1" if windows_1252 else "UTF-8")
-        .csv(path)
-    )
+    if line_breaks:
+        cells = quoted_cells(spark, path, names, BROKEN, latin_1=windows_1252)
+    else:
+        cells = (
+            spark.read.schema(texts)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("columnNameOfCorruptRecord", BROKEN)
+            .option("encoding", "ISO-8859-1" if windows_1252 else "UTF-8")
+            .csv(path)
+        )
     if not windows_1252:
         return cells
     return cells.select(*[fix_windows_1252(F.col(f"`{n}`")).alias(n) for n in texts.names])
