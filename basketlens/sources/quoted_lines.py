@@ -60,7 +60,7 @@ def split_states(lines: DataFrame) -> DataFrame:
 
 
 def quoted_records(spark: SparkSession, path: str, latin_1: bool = False) -> DataFrame:
-    """(record, first): every record as text without its end, and whether it is its file's first.
+    """(record, first): every record as text without its end, and whether it is its file's first; in no order.
 
     Breaks inside a cell are single line feeds. Blank lines between records are
     left out, as is the mark of the byte order. A cell that is still open at the
@@ -83,7 +83,7 @@ def quoted_records(spark: SparkSession, path: str, latin_1: bool = False) -> Dat
     alone = placed.where("whole").where("value <> ''").select(F.col("value").alias("record"), first.alias("first"))
     parts = F.transform(F.sort_array(F.collect_list(F.struct("start", "line", "value"))), lambda p: p["value"])
     broken = placed.where("NOT whole").groupBy("file", "at", "number").agg(F.array_join(parts, "\n").alias("record"))
-    together = alone.unionByName(broken.select("record", first.alias("first")))
+    together = broken.select("record", first.alias("first")).unionByName(alone)
     mark = "ï»¿" if latin_1 else "﻿"
     return together.withColumn("record", F.when(F.col("first"), F.ltrim("record", F.lit(mark))).otherwise(F.col("record")))
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from basketlens.functions.scalars import AMOUNT, MONEY, RATE
 from basketlens.operators.joins import is_large, lookup_join
 from basketlens.sources.raw_files import read_csv, write_table
+from basketlens.sources.versions import Versions
 
 TABLES = [
     "dim_category", "dim_subcategory", "dim_product", "dim_customer",
@@ -345,28 +346,40 @@ def read_published_csv(spark: SparkSession, folder: str, name: str) -> DataFrame
 
 
 def write_star(star: Star, folder: str, fmt: str = "parquet") -> None:
-    """Store the eight tables; as Parquet the fact is partitioned by year."""
-    for name in TABLES:
-        df = star.table(name)
-        path = f"{folder.rstrip('/')}/{name}"
-        if fmt == "csv":
-            write_table(df.select(*table_schema(name).names), path, fmt)
-        elif name == "fact_sales":
-            # Rebalancing gives each year files of even size, and splits a
-            # year that holds much of the data.
-            by_year = df.withColumn(STORED_YEAR, F.year("order_date"))
-            even = by_year.hint("rebalance", STORED_YEAR)
-            even.write.mode("overwrite").partitionBy(STORED_YEAR).parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+    """Store the eight tables; as Parquet the fact is partitioned by year.
+
+    Readers see the tables together once all are written; if one fails, they go
+    on reading the star that was there before.
+    """
+    versions = Versions(star.spark, folder)
+    version = versions.new()
+    try:
+        for name in TABLES:
+            _write_star_table(star.table(name), name, f"{versions.path(version)}/{name}", fmt)
+    except BaseException:
+        versions.drop(version)
+        raise
+    versions.publish(version)
+
+
+def _write_star_table(df: DataFrame, name: str, path: str, fmt: str) -> None:
+    if fmt == "csv":
+        write_table(df.select(*table_schema(name).names), path, fmt)
+    elif name == "fact_sales":
+        # Rebalancing gives each year files of even size, and splits a year
+        # that holds much of the data.
+        by_year = df.withColumn(STORED_YEAR, F.year("order_date"))
+        by_year.hint("rebalance", STORED_YEAR).write.partitionBy(STORED_YEAR).parquet(path)
+    else:
+        df.write.parquet(path)
 
 
 def read_star(spark: SparkSession, folder: str, fmt: str = "parquet") -> Star:
-    """Open tables written by write_star."""
+    """Open the tables that write_star wrote last."""
+    root = Versions(spark, folder).current()
     if fmt == "csv":
-        return Star({n: read_published_csv(spark, folder, n) for n in TABLES})
-    tables = {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in TABLES}
-    return Star(tables)
+        return Star({n: read_published_csv(spark, root, n) for n in TABLES})
+    return Star({n: spark.read.parquet(f"{root}/{n}") for n in TABLES})
 
 
 def register_views(star: Star) -> None:

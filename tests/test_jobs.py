@@ -7,7 +7,8 @@ from basketlens.plans.quality import QualityError
 from basketlens.session import apply_recommended
 from basketlens.sources.raw_files import RAW_FILES, RAW_SCHEMAS, read_raw_folder
 from basketlens.sources.staging import Workspace, shared_folder, stage
-from basketlens.sources.star import TABLES, read_published_csv, read_star, write_star
+from basketlens.sources.star import TABLES, Star, read_published_csv, read_star, write_star
+from basketlens.sources.versions import Versions
 from shop import CUSTOMERS, PRODUCTS, RATES, STORES, raw_shop, sale
 
 SALES = [
@@ -115,3 +116,52 @@ def test_published_segments_open_again_with_their_types(spark, star, tmp_path):
     back = read_published_csv(spark, str(tmp_path), "customer_rfm")
     assert back.dtypes == segments.dtypes
     assert sorted(map(str, back.collect())) == sorted(map(str, segments.collect()))
+
+
+def stored(spark, folder):
+    return {n: sorted(map(str, read_star(spark, folder).table(n).collect())) for n in TABLES}
+
+
+def test_a_load_that_fails_leaves_the_old_star_whole(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "star")
+    export(spark, raw)
+    star = build_star(read_raw_folder(spark, raw))
+    write_star(star, out)
+    before = stored(spark, out)
+    versions = Versions(spark, out).published()
+    for fifth in ("dim_store", "fact_sales"):
+        broken = {n: star.table(n) for n in TABLES}
+        broken = {n: t.limit(1) if n.startswith("dim") else t for n, t in broken.items()}
+        broken[fifth] = star.table(fifth).selectExpr("*", "CAST(raise_error('torn') AS INT) AS x")
+        with pytest.raises(Exception, match="torn"):
+            write_star(Star(broken), out)
+        assert stored(spark, out) == before
+        assert Versions(spark, out).published() == versions
+        assert [p.name for p in (tmp_path / "star" / "versions").iterdir()] == versions
+
+
+def test_a_star_is_rewritten_from_itself_and_old_versions_go(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "star")
+    export(spark, raw)
+    write_star(build_star(read_raw_folder(spark, raw)), out)
+    before, opened = stored(spark, out), read_star(spark, out)
+    for _ in range(2):
+        tables = {n: read_star(spark, out).table(n) for n in TABLES}
+        tables["fact_sales"] = tables["fact_sales"].drop("order_year")
+        write_star(Star(tables), out)
+        assert stored(spark, out) == before
+        if _ == 0:
+            # Whoever opened the version before still reads it.
+            assert opened.table("fact_sales").count() == len(before["fact_sales"])
+    versions = Versions(spark, out).published()
+    assert len(versions) == 2 and sorted(versions, reverse=True) == versions
+    assert sorted(p.name for p in (tmp_path / "star" / "versions").iterdir()) == sorted(versions)
+
+
+def test_tables_written_without_versions_open_too(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    export(spark, raw)
+    star = build_star(read_raw_folder(spark, raw))
+    for name in TABLES:
+        star.table(name).write.parquet(f"{tmp_path}/plain/{name}")
+    assert read_star(spark, f"{tmp_path}/plain").table("fact_sales").count() == 39
