@@ -526,6 +526,15 @@ FULL JOIN (SELECT {int_("year(order_date + INTERVAL 12 MONTH)")} AS year, channe
   FROM wide WHERE {slicer} AND order_date + INTERVAL 12 MONTH <= {LAST} GROUP BY 1, 2) AS p
   USING (year, channel)"""
     sql = {k: query(v, WIDE_CTE) for k, v in bodies.items()}
+    sql["m_revenue_by_segment"] = query(
+        f"""
+SELECT s.segment, year, {dbl(r)} AS total_revenue, {o} AS total_orders,
+  COUNT(DISTINCT w.customer_key) AS total_customers,
+  COUNT(DISTINCT w.customer_key) FILTER (WHERE s.frequency >= 2) AS repeat_customers
+FROM wide w JOIN segments s ON s.customer_key = w.customer_key
+WHERE s.segment IN ('Champions', 'Loyal Customers', 'At Risk', 'Lost') GROUP BY 1, 2""",
+        f"{WIDE_CTE},\n{RFM_CTE}",
+    )
     deciles = f"""{CUSTOMER_CTE},
 d AS (
   SELECT r, NTILE(10) OVER (ORDER BY r DESC, customer_key) AS decile FROM customer_orders

@@ -252,6 +252,12 @@ MEASURES: dict[str, StarPlan] = {
     ),
     "m_repeat_purchase_rate": _measure(["repeat_purchase_rate_pct"], ["customer_country"]),
     "m_new_customers": _measure(["new_customers"], ["year", "customer_country"]),
+    "m_revenue_by_segment": lambda s: measures.measures_by(
+        s.with_segments(rfm.rfm_segments(s)),
+        ["total_revenue", "total_orders", "total_customers", "repeat_customers"],
+        ["segment", "year"],
+        {"segment": ["Champions", "Loyal Customers", "At Risk", "Lost"]},
+    ),
     "sliced_kpis": lambda s: dashboard.sliced_kpis(
         s,
         ["year", "channel"],

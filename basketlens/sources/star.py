@@ -7,6 +7,8 @@ and joined.
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,9 @@ TABLES = [
     "dim_store", "dim_date", "exchange_rate", "fact_sales",
 ]
 
+# The customers' scores and segments, which are made from the star.
+SEGMENTS = "customer_rfm"
+
 # Partition column of a stored fact table.
 STORED_YEAR = "order_year"
 
@@ -56,6 +61,8 @@ CUSTOMER_COLUMNS = {
     "customer_name": "name", "customer_country": "country",
     "customer_state": "state", "continent": "continent", "gender": "gender",
     "birthday": "birthday",
+    # Of the customer's scores; there once ``with_segments`` has told them.
+    "segment": "segment",
 }
 
 
@@ -154,9 +161,23 @@ class Star:
         return self.table("dim_store").selectExpr("store_key", *_named(cols, STORE_COLUMNS))
 
     def customer_flat(self, *cols: str) -> DataFrame:
-        return self.table("dim_customer").selectExpr(
-            "customer_key", *_named(cols, CUSTOMER_COLUMNS)
-        )
+        customers = self.table("dim_customer")
+        if "segment" in cols:
+            if SEGMENTS not in self._tables:
+                raise ValueError("no segments are known; see with_segments")
+            # A row per customer on both sides. Customers without orders have none.
+            scored = self.table(SEGMENTS).select("customer_key", "segment")
+            customers = customers.join(scored, "customer_key", "left")
+        return customers.selectExpr("customer_key", *_named(cols, CUSTOMER_COLUMNS))
+
+    def with_segments(self, segments: DataFrame) -> Star:
+        """This star with the segment of each customer as an attribute of the customer.
+
+        ``segments`` has a row per customer with ``customer_key`` and ``segment``.
+        """
+        known = copy.copy(self)
+        known._tables = {**self._tables, SEGMENTS: segments}
+        return known
 
     def fact(self, *cols: str) -> DataFrame:
         """Fact columns, with the ``*_cents`` amounts available by name."""
