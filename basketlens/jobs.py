@@ -62,7 +62,8 @@ def publish_segments(star: Star, out_folder: str, fmt: str = "parquet") -> None:
 def publish_cohorts(star: Star, out_folder: str, fmt: str = "parquet") -> None:
     """Cohort counts and percentages as wide tables."""
     root = out_folder.rstrip("/")
-    grid = cohorts.cohort_grid(cohorts.cohort_active(star))
+    # Both matrices read the written grid, so the orders are read once.
+    grid = stage(cohorts.cohort_grid(cohorts.cohort_active(star)), "cohort-grid")
     write_table(cohorts.cohort_matrix(grid), f"{root}/cohort_counts", fmt)
     write_table(cohorts.cohort_pct_matrix(grid), f"{root}/cohort_percent", fmt)
 
