@@ -345,13 +345,14 @@ def clean_suite(star: Star, numbers: Numbers | None = None) -> DataFrame:
     counted = [
         _none_of("dup_transaction_key", numbers["line"]["copies"]),
         *[_none_of(n, numbers["rows"][n]) for n in CLEAN_ROWS],
-        _none_of("category_key_1to1", numbers["label"]["relabelled"]),
         _none_of("customer_key_unique", numbers["customer"]["surplus"]),
         _none_of("orphan_customer", numbers["customer"]["orphans"]),
         _none_of("order_has_lines", numbers["order"]["unnumbered"]),
         ("total_revenue_positive", revenue, 0.0, bool(revenue and revenue > 0)),
     ]
-    return union_checks([_results(star, counted), price_valid(star), cost_valid(star)])
+    return union_checks(
+        [_results(star, counted), price_valid(star), cost_valid(star), category_key_1to1(star)]
+    )
 
 
 def star_suite(

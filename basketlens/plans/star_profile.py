@@ -5,7 +5,8 @@ product, store and day it points to. Rows of the dimensions are entries of the
 same kind, so grouping entries by (kind, key) counts duplicates, shows lines
 without their dimension row, and adds up the revenue of a slice, without a join.
 Groups are summed once more per kind. The fact is read once, entries are summed
-before they are shuffled, so no key is hot, and one row per kind comes back.
+before they are shuffled, so no key is hot, and one row per kind comes back. All
+sums are whole numbers, which a hash aggregate can hold; texts are keys only.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ _COUNTS = ["n", "numbered", "revenue", "parents", "named", "placed"]
 
 
 def _entry(kind: str, key: Column | None = None, line: Column | None = None,
-           text: Column | None = None, label: Column | None = None, **counts: Column | int) -> Column:
+           text: Column | None = None, **counts: Column | int) -> Column:
     """An entry; what is not given is 0 or null."""
 
     def of(value: Column | None, kind_: str, name: str) -> Column:
@@ -37,7 +38,7 @@ def _entry(kind: str, key: Column | None = None, line: Column | None = None,
 
     return F.struct(
         F.lit(kind).alias("kind"), of(key, "bigint", "key"), of(line, "bigint", "line"),
-        of(text, "string", "text"), of(label, "string", "label"),
+        of(text, "string", "text"),
         *[
             (value if isinstance(value := counts.get(c, 0), Column) else F.lit(value)).cast("bigint").alias(c)
             for c in _COUNTS
@@ -56,7 +57,6 @@ def _dimension_entries(star: Star, slices: bool) -> list[DataFrame]:
     def rows(df: DataFrame, *entries: Column) -> DataFrame:
         return df.select(F.explode(F.array(*entries)).alias("e"))
 
-    there = F.when(F.col("c").isNotNull(), 1).otherwise(0)
     customers = star.customer_flat("customer_country") if slices else star.table("dim_customer").select("customer_key")
     named = F.when(F.col("customer_country").isNotNull(), 1).otherwise(0) if slices else F.lit(0)
     stores = star.store_flat("channel", "store_country") if slices else star.table("dim_store").select("store_key")
@@ -81,12 +81,12 @@ def _dimension_entries(star: Star, slices: bool) -> list[DataFrame]:
             _entry("category", text=F.col("category_key"), n=1),
         ),
         rows(star.table("dim_category").select("category_key"), _entry("category", text=F.col("category_key"), **one)),
-        rows(
-            star.product_flat("category_key", "category_name").withColumnRenamed("category_name", "c"),
-            _entry("label", text=F.col("category_key"), label=F.col("c")),
-            _entry("product", F.col("product_key"), named=there),
-        ),
     ]
+    if slices:
+        named = F.when(F.col("category_name").isNotNull(), 1).otherwise(0)
+        parts.append(
+            rows(star.product_flat("category_name"), _entry("product", F.col("product_key"), named=named))
+        )
     if not star.derived_calendar:
         parts.append(rows(star.table("dim_date").select("date_key"), _entry("day", _day_number("date_key"), **one)))
     return parts
@@ -97,21 +97,35 @@ def _line_entries(star: Star, keys: bool, conditions: Mapping[str, tuple[list[st
     columns = [*(["order_number", "line_item"] if keys else []), *pointers, *(["revenue_cents"] if revenue else [])]
     columns += [c for needed, _ in conditions.values() for c in needed]
     lines = star.fact(*dict.fromkeys(columns))
-    amount = {"revenue": F.coalesce("revenue_cents", F.lit(0))} if revenue else {}
-    entries = [
-        _entry(kind, _day_number(c) if kind == "day" else F.col(c), n=1, **amount) for kind, c in POINTERS.items()
-    ]
+    # Entries hold keys only; what is counted stays beside them, so the generated
+    # code is small enough to be compiled.
+    def pointer(kind: str, key: Column, line: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), key.cast("bigint").alias("key"),
+            (F.lit(None) if line is None else line).cast("bigint").alias("line"),
+        )
+
+    entries = [pointer(kind, _day_number(c) if kind == "day" else F.col(c)) for kind, c in POINTERS.items()]
     if keys:
-        whole = F.when(F.col("line_item").isNotNull(), 1).otherwise(0)
         entries += [
-            _entry("line", F.col("order_number"), F.col("line_item"), n=1, **amount),
-            _entry("order", F.col("order_number"), n=1, numbered=whole),
+            pointer("line", F.col("order_number"), F.col("line_item")), pointer("order", F.col("order_number")),
         ]
-    flags = [F.when(c, 1).otherwise(0).cast("bigint").alias(n) for n, (_, c) in conditions.items()]
-    exploded = lines.select(*flags, F.posexplode(F.array(*entries)).alias("at", "e"))
+    flags = [F.when(c, 1).otherwise(0).cast("bigint").alias(f"row {n}") for n, (_, c) in conditions.items()]
+    numbered = F.when(F.col("line_item").isNotNull(), 1).otherwise(0) if keys else F.lit(0)
+    amount = F.coalesce("revenue_cents", F.lit(0)) if revenue else F.lit(0)
+    exploded = lines.select(
+        *flags, numbered.cast("bigint").alias("given"), amount.cast("bigint").alias("amount"),
+        F.explode(F.array(*entries)).alias("e"),
+    )
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
     # What is counted per line is counted on one of its entries.
-    first = F.col("at") == 0
-    return exploded.select("e", *[F.when(first, F.col(n)).otherwise(0).alias(n) for n in conditions])
+    first = F.col("e.kind") == "customer"
+    return exploded.select(
+        "e.*", none.alias("text"), F.lit(1).cast("bigint").alias("n"),
+        F.when(F.col("e.kind") == "order", F.col("given")).otherwise(zero).alias("numbered"),
+        F.col("amount").alias("revenue"), *[zero.alias(c) for c in ("parents", "named", "placed")],
+        *[F.when(first, F.col(f"row {n}")).otherwise(zero).alias(n) for n in conditions],
+    )
 
 
 Numbers = dict[str, dict[str, int | None]]
@@ -121,18 +135,18 @@ def star_numbers(
     star: Star, row_checks: Mapping[str, tuple[list[str], Column]] | None = None,
     keys: bool = True, revenue: bool = True,
 ) -> Numbers:
-    """Counts per kind: customer, product, store, day, line, order, subcategory, category, label.
+    """Counts per kind: customer, product, store, day, line, order, subcategory, category.
 
     ``row_checks`` are (columns, condition) of which the lines are counted, under
     kind ``rows``. One job; the result has a row per kind.
     """
     conditions = dict(row_checks or {})
-    parts = [_line_entries(star, keys, conditions, revenue), *_dimension_entries(star, revenue)]
-    entries = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select("e.*", *conditions)
+    dimensions = [d.select("e.*") for d in _dimension_entries(star, revenue)]
+    parts = [_line_entries(star, keys, conditions, revenue), *dimensions]
+    entries = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     sums = [*_COUNTS, *conditions]
     groups = entries.groupBy("kind", "key", "line", "text").agg(
         *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in sums],
-        F.min("label").alias("low"), F.max("label").alias("high"),
     )
     keyed = F.col("key").isNotNull() | F.col("text").isNotNull()
     held = F.col("parents") > 0
@@ -153,7 +167,6 @@ def star_numbers(
         total(F.col("n") - 1, F.col("n") > 0).alias("copies"),
         total(F.lit(1), F.col("key").isNotNull() & F.col("line").isNotNull()).alias("whole"),
         total(F.lit(1), (F.col("n") > 0) & (F.col("numbered") < 1)).alias("unnumbered"),
-        total(F.lit(1), F.col("low") != F.col("high")).alias("relabelled"),
         F.sum("revenue").alias("revenue"),
         total(F.col("revenue"), F.col("key").isNotNull()).alias("dated"),
         total(F.col("revenue") * F.col("named"), keyed).alias("named"),
@@ -163,7 +176,7 @@ def star_numbers(
     )
     found: Numbers = {r["kind"]: r.asDict() for r in per_kind.collect()}
     empty = {c: None if c in ("revenue", "first", "last") else 0 for c in per_kind.columns[1:]}
-    for kind in (*POINTERS, "line", "order", "subcategory", "category", "label"):
+    for kind in (*POINTERS, "line", "order", "subcategory", "category"):
         found.setdefault(kind, dict(empty))
     found["rows"] = {c: sum(v[f"row {c}"] for k, v in found.items() if k != "rows") for c in conditions}
     if star.derived_calendar:
