@@ -407,8 +407,12 @@ def _apart(x: str, y: str) -> Column:
 
 
 def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Group pairs (g, h), h the first or last group of a shingle: two rows an entry at most."""
-    entry = F.struct("pack", "n", "pos", "left")
+    """Group pairs (g, h), h the first or last group of a shingle: two rows an entry at most.
+
+    First comes the group with the fewest shingles of its own, which in a crowd of
+    near copies is the one most of them are close to.
+    """
+    entry = F.struct("alone", "pack", "n", "pos", "left")
     ends = entries.groupBy("token").agg(F.array(F.min(entry), F.max(entry)).alias("ends"))
     both = entries.join(ends, "token").select(entry.alias("x"), F.explode("ends").alias("y"))
     return both.where(
@@ -482,12 +486,13 @@ def classes_with_components(
     )
     only = _filter(repeated.select(F.expr(f"token & {FILTER_BITS - 1}L").alias("place")))
     # ``left``: how many of those a group has from this one on, in the order;
-    # ``prev``: the one before it.
+    # ``prev``: the one before it; ``alone``: how many of its prefix no other group has.
     onward = Window.partitionBy("pack").orderBy(F.desc("pos"))
     posted = space.save(
         _postings(groups, only).join(repeated, "token", "left_semi")
         .withColumn("left", F.row_number().over(onward))
-        .withColumn("prev", F.lead("token").over(onward)),
+        .withColumn("prev", F.lead("token").over(onward))
+        .withColumn("alone", F.expr(f"n - (({percent} * n + 99) div 100) + 1") - F.count(F.lit(1)).over(Window.partitionBy("pack"))),
         "posted",
     )
     space.drop("groups")
