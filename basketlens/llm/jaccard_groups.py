@@ -411,10 +411,13 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
     First comes the group with the fewest shingles of its own, which in a crowd of
     near copies is the one most of them are close to.
+    The first and the last of a shingle meet once, as (last, first).
     """
-    entry = F.struct("alone", "pack", "n", "pos", "left")
-    ends = entries.groupBy("token").agg(F.array(F.min(entry), F.max(entry)).alias("ends"))
-    both = entries.join(ends, "token").select(entry.alias("x"), F.explode("ends").alias("y"))
+    entry, end = F.struct("pack", "n", "pos", "left"), F.struct("alone", "pack", "n", "pos", "left")
+    ends = entries.groupBy("token").agg(F.min(end).alias("first"), F.max(end).alias("last"))
+    both = entries.join(ends, "token").where(F.col("pack") != F.col("first.pack")).select(
+        entry.alias("x"), F.explode(F.array("first", "last")).alias("y")
+    )
     return both.where(
         (F.col("x.pack") != F.col("y.pack")) & _possible("x", "y", percent)
     ).select(F.col("x.pack").alias("g"), F.col("y.pack").alias("h"))
@@ -492,7 +495,10 @@ def classes_with_components(
         _postings(groups, only).join(repeated, "token", "left_semi")
         .withColumn("left", F.row_number().over(onward))
         .withColumn("prev", F.lead("token").over(onward))
-        .withColumn("alone", F.expr(f"n - (({percent} * n + 99) div 100) + 1") - F.count(F.lit(1)).over(Window.partitionBy("pack"))),
+        .withColumn(
+            "alone",
+            (F.expr(f"n - (({percent} * n + 99) div 100) + 1") - F.count(F.lit(1)).over(Window.partitionBy("pack"))).cast("int"),
+        ),
         "posted",
     )
     space.drop("groups")
