@@ -274,9 +274,9 @@ def sample(documents: DataFrame, key: str, text: str, lang: str) -> tuple[list,
             )
 
     found = sorted(map(tuple, chosen.mapInArrow(count, "key string, lang string, buckets binary, counts binary").collect()))
+    # Views of the collected bytes: six bytes a bucket, held once.
     rows = [
-        (name.rpartition("/")[0], (label, np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<u4").astype(np.float64)))
-        for name, label, b, c in found
+        (name.rpartition("/")[0], (label, np.frombuffer(b, "<u2"), np.frombuffer(c, "<u4"))) for name, label, b, c in found
     ]
     # A text comes before its cuts; without a letter in its window it has none of its own.
     texts: dict[tuple[str, str], list[tuple[np.ndarray, np.ndarray]]] = {}
