@@ -332,3 +332,32 @@ def test_words_of_one_batch_are_encoded_as_alone():
     alone = [opened.ids(pa.array([w])) for w in words]
     assert sizes.tolist() == [int(s[0]) for _, s in alone]
     assert found.tolist() == [i for ids, _ in alone for i in ids.tolist()]
+
+
+def test_training_takes_every_class_of_every_text_once():
+    random_ = np.random.default_rng(5)
+    lengths = [1, lm.WINDOW, lm.WINDOW + 1, 3, 2 * lm.WINDOW + 9]
+    lines = [bytes([lm.START, *random_.integers(0, lm.CLASSES, n).tolist()]) for n in lengths]
+    inputs, targets = lm_scores.windows_of(lines)
+    assert targets[targets >= 0].tolist() == [c for line in lines for c in line[1:]]
+    assert inputs[targets >= 0].tolist() == [c for line in lines for c in line[:-1]]
+
+
+def test_blocks_of_long_texts_hold_all_classes(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "BLOCK", 4)
+    texts = {1: b"abcdefghij", 2: b"k", 3: b"lmno"}
+    df = spark.createDataFrame([(r, bytearray(t)) for r, t in texts.items()], "row bigint, classes binary")
+    found = sorted(map(tuple, lm_scores.training_blocks(df).collect()))
+    for row, text in texts.items():
+        lines = [bytes(line) for r, _, line in found if r == row]
+        assert b"".join(line[1:] for line in lines) == text
+        assert [line[:1] for line in lines] == [bytes([lm.START]), *[line[-1:] for line in lines[:-1]]]
+
+
+def test_model_learns_from_whole_texts(spark):
+    """A cut of some length would break every word here; what follows what is learned from whole ones."""
+    rows = [(k, " ".join(["x1y2z3" * 50] * 5)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [r for r in lm_scores.document_scores(df, *pieces()).collect() if r["held_out"]]
+    # Six signs that come equally often: log10(1 / 6) each, were they not learned in their order.
+    assert found and all(r["score"] > -0.1 * 1500 for r in found)
