@@ -107,7 +107,10 @@ def _sales_blocks(star: Star, dims: list[str], filters: Filters, need: set[str])
     again = [F.sum(n).alias(n) for n in totals]
     blocks = []
     if by_order:
-        orders = [F.count_distinct("order_number").alias("o")] if "o" in need else []
+        # Without customers a group has one row per order already; counting it again
+        # as distinct would hold every order in two more hash maps of a task.
+        counted = F.count_distinct("order_number") if by_customer else F.count("order_number")
+        orders = [counted.alias("o")] if "o" in need else []
         blocks.append(reduced.groupBy(*dims).agg(*orders, *again))
     if not by_customer:
         return blocks

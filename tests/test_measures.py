@@ -24,6 +24,16 @@ def test_global_context(spark):
     assert got["new_customers"] == 2
 
 
+def test_orders_are_counted_once_per_group(spark):
+    """Lines are reduced to orders, so nothing counts them as distinct again."""
+    star = shop_star(
+        spark, [sale(1, 1, "5/1/2018", 1), sale(1, 2, "5/1/2018", 1, product=3), sale(2, 1, "6/1/2018", 2), sale(3, 1, "5/1/2019", 1)]
+    )
+    found = measures_by(star, ["average_order_value", "total_orders", "median_order_value"], ["year"])
+    assert [r["total_orders"] for r in rows(found, "year")] == [2, 1]
+    assert "count(distinct" not in found._jdf.queryExecution().toString()
+
+
 def test_repeat_scopes(spark):
     star = shop_star(spark, [sale(1, 1, "5/1/2018", 1), sale(2, 1, "5/1/2019", 1)])
     got = rows(
