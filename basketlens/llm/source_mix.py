@@ -23,7 +23,7 @@ import random
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import WORD, numbered
@@ -213,12 +213,25 @@ def mix_report(documents: DataFrame, key: str = "doc_id", text: str = "text", so
 
 
 def mix_rows(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """The documents, each as often as the mix takes it, with their own columns."""
+    """The documents, each as often as the mix takes it, with their own columns.
+
+    The mix is made of sizes; the documents travel once, to their copies. Rows of
+    one key, source and text are alike to it, so each gets one of their numbers.
+    """
     space = Workspace(documents.sparkSession, "source-mix")
-    rows = documents.select(
-        F.struct("*").alias("row"), F.col(key).alias("row_key"),
-        F.col(source).cast("string").alias("source"), word_count(text).alias("size"),
+    name = F.col(source).cast("string")
+    same = [
+        F.xxhash64(F.col(key), name, F.col(text)).alias("hash"),
+        F.xxhash64(F.col(text).isNull(), F.col(text), name.isNull(), F.col(key), F.lit(SEED)).alias("other"),
+    ]
+    rows = space.save(
+        documents.select(*same, F.col(key).alias("row_key"), name.alias("source"), word_count(text).alias("size")), "sizes"
+    )
+    each = mixed(rows, "row_key", space, **how).groupBy("hash", "other").agg(
+        F.sort_array(F.collect_list("copies"), asc=False).alias("copies")
     )
-    taken = mixed(rows, "row_key", space, **how).where(F.col("copies") > 0)
-    repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    joined = documents.select(F.struct("*").alias("row"), *same).join(each.where("copies[0] > 0"), ["hash", "other"])
+    nth = F.row_number().over(Window.partitionBy("hash", "other").orderBy("hash", "other"))
+    taken = joined.withColumn("own", F.element_at("copies", nth)).where("own > 0")
+    repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("own")))
     return taken.select("row", repeats.alias("copy")).select("row.*")

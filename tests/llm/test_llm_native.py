@@ -190,6 +190,18 @@ def test_curve_visits_every_cell_by_single_steps(spark, dims, bits):
     assert all(sum(abs(a - b) for a, b in zip(x, y)) == 1 for x, y in zip(path, path[1:]))
 
 
+def test_shards_follow_the_curve_without_gaps(spark):
+    rows = [(k % 190, "x" * (k * 7 % 300), "en" if k % 3 else None, "s") for k in range(203)]
+    found = sorted(
+        hilbert_shards.sharded(docs(spark, rows).repartition(5)).collect(), key=lambda r: (r["shard"], r["slot"])
+    )
+    order = [(r["curve"], r["doc_id"], r["text_crc32"], r["size"]) for r in found]
+    assert order == sorted(order) and len(order) == 203
+    counts = [sum(r["shard"] == s for r in found) for s in range(8)]
+    assert max(counts) - min(counts) <= 1
+    assert [r["slot"] for r in found] == [k for n in counts for k in range(n)]
+
+
 def test_shards_of_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (None, "", "en", "s"), (2, "x" * 100_000, "en", "s")]
     found = hilbert_shards.sharded(docs(spark, rows)).collect()
@@ -198,6 +210,8 @@ def test_shards_of_odd_rows(spark):
     whole = hilbert_shards.sharded_rows(docs(spark, rows))
     assert whole.columns == ["doc_id", "text", "lang", "source", "in_shard", "n_words", "host", "shard", "slot"]
     assert whole.where("in_shard = 7").count() == 4
+    # Whole rows are numbered where they are written, not dealt and sorted once more.
+    assert "row_number" not in whole._jdf.queryExecution().toString()
     assert hilbert_shards.sharded(docs(spark, [])).count() == 0
     ranges = hilbert_shards.shard_ranges(whole, ["source", "lang"]).collect()
     assert sum(r["n_rows"] for r in ranges) == 4

@@ -264,6 +264,23 @@ def test_mixed_rows_repeat(spark):
     assert source_mix.mix_rows(docs(spark, [])).count() == 0
 
 
+def test_mixed_rows_are_the_mix_of_sizes_and_stage_no_text(spark, monkeypatch):
+    staged, save = [], source_mix.Workspace.save
+    monkeypatch.setattr(source_mix.Workspace, "save", lambda self, df, name: staged.append(df.schema.simpleString()) or save(self, df, name))
+    rng = random.Random(9)
+    rows = [(k % 290, "w " * rng.randrange(1, 6), "en", rng.choice(["a", "b", "c", None])) for k in range(300)]
+    rows += [(None, "x y", "en", "a"), (5, None, "en", "a")] + [(7, "p q r", "en", "b")] * 4
+    want, found = Counter(), Counter()
+    for r in source_mix.mix_report(docs(spark, rows)).collect():
+        want[r["doc_id"], r["size"]] += r["taken"]
+    staged.clear()
+    for r in source_mix.mix_rows(docs(spark, rows)).collect():
+        size = len((r["text"] or "").split())
+        found[r["doc_id"], size] += size
+    assert +found == +want
+    assert staged and not any("text" in s or "row:" in s for s in staged)
+
+
 # -- language --------------------------------------------------------------------
 
 
