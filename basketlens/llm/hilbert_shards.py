@@ -13,10 +13,10 @@ any order among themselves; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import let, numbered
+from basketlens.llm.common import let, numbered, range_of, ranges_of
 from basketlens.sources.staging import Workspace
 
 BITS = 5  # levels per dimension: 32
@@ -129,20 +129,47 @@ def sharded(
     return cut_runs(ranked, shards).drop("position", "total")
 
 
+def range_count(spark: SparkSession) -> int:
+    """Ranges that whole rows are dealt into: as many as the session's shuffles have partitions at first."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def sharded_rows(
     documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     lang: str = "lang", shards: int = SHARDS,
 ) -> DataFrame:
     """The rows themselves in curve order with ``shard`` and ``slot`` added.
 
-    A column of the input with one of these names is kept under ``in_<name>``.
+    A column of the input with one of these names is kept under ``in_<name>``. Only
+    the rows' places on the curve are staged, so ``documents`` is read more than
+    once and should be a stored table.
     """
-    space = Workspace(documents.sparkSession, "hilbert-rows")
-    rows = documents.select(
-        F.struct("*").alias("row"), F.col(key).alias("_key"),
-        *curve_columns(documents, text, source, lang),
+    spark = documents.sparkSession
+    space = Workspace(spark, "hilbert-rows")
+    order = ["curve", "_key", "text_crc32", "size"]
+    placed = [F.col(key).alias("_key"), *curve_columns(documents, text, source, lang)]
+    # The curve alone is numbered and cut into ranges of like size; a run of equal rows is in one.
+    thin = numbered(documents.select(*placed), order, space, "curve")
+    most = range_count(spark)
+    cuts = ranges_of(thin.select(*order, "position", "total"), most)
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_cuts", cuts).withColumn(
+            "_range", range_of(F.struct(*order), F.col("_cuts"), most)
+        ).drop("_cuts")
+
+    starts = ranged(thin).groupBy("_range").agg(F.min("position").alias("_before"), F.max("total").alias("total"))
+    starts = space.save(starts, "starts")
+    # Whole rows travel once, a range to a partition, and get their numbers where they arrive.
+    whole = ranged(documents.select(F.struct("*").alias("row"), *placed)).repartitionById(most, F.col("_range"))
+    counted = whole.sortWithinPartitions(*order).withColumn(
+        "_inside", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    )
+    placed_rows = counted.join(F.broadcast(starts), "_range").withColumn(
+        "position", F.col("_before") + F.col("_inside")
     )
-    ranked = cut_runs(numbered(rows, ["curve", "_key", "text_crc32", "size"], space, "rows"), shards)
+    ranked = cut_runs(placed_rows, shards)
     own = [
         F.col(f"row.`{c}`").alias(f"in_{c}" if c in ("shard", "slot") else c)
         for c in documents.columns

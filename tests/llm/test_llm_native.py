@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,45 @@ def test_shards_of_odd_rows(spark):
     assert sum(r["n_rows"] for r in ranges) == 4
 
 
+def test_whole_rows_stage_no_text_and_get_the_places_of_the_operator(spark, monkeypatch):
+    staged, save = [], hilbert_shards.Workspace.save
+    monkeypatch.setattr(hilbert_shards.Workspace, "save", lambda self, df, name: staged.append(df.schema.simpleString()) or save(self, df, name))
+    rows = [(None if k % 50 == 0 else k % 190, "x" * (k * 7 % 300), "en" if k % 3 else None, "s") for k in range(203)]
+    frame = docs(spark, rows + [(7, "same", "en", "s")] * 40).repartition(5)
+    ranges = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("1", "4", "23"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            staged.clear()
+            found = hilbert_shards.sharded_rows(frame).selectExpr(
+                "doc_id", "octet_length(text) + 1L AS size", "shard", "slot", "spark_partition_id() AS part", "monotonically_increasing_id() AS at"
+            ).collect()
+            assert staged and not any("text:" in s or "row:" in s for s in staged)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        want = hilbert_shards.sharded(frame).select("doc_id", "size", "shard", "slot").collect()
+        assert sorted(map(str, (tuple(r[:4]) for r in found))) == sorted(map(str, map(tuple, want)))
+        in_order = [(r["shard"], r["slot"]) for r in sorted(found, key=lambda r: r["at"])]
+        assert in_order == sorted(in_order) and len({r["part"] for r in found}) > int(n) // 2
+
+
+def test_a_staged_write_leaves_no_shuffle_behind(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {str(disk.getAllFiles().apply(k)) for k in range(disk.getAllFiles().size()) if "shuffle_" in str(disk.getAllFiles().apply(k))}
+
+    cleaning = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, session = shuffles(), spark.conf.get(cleaning)
+    saved = Workspace(spark, "t").save(spark.range(1000).repartition(3, "id"), "rows")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert saved.count() == 1000 and spark.conf.get(cleaning) == session
+
+
 # -- host rules ------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 """Token files and counts, similarity, decontamination, mixing, language, pipeline on small cases."""
 
 import io
+import pathlib
 import random
 import zlib
 from collections import Counter
@@ -17,7 +18,7 @@ from basketlens.llm import decontaminate, jaccard_groups, language_id, source_mi
 from basketlens.llm.pfor import Reader, Writer
 from basketlens.llm.pretokens import Units
 from basketlens.llm.queries import vocabulary
-from basketlens.sources.staging import Workspace
+from basketlens.sources.staging import Workspace, shared_folder
 
 WORDS = "word_bpe_49k.json"
 ODD = [
@@ -177,6 +178,16 @@ def test_similarity_of_repeated_and_unnamed_rows(spark):
     assert jaccard_groups.similarity_components(docs(spark, [])).count() == 0
 
 
+def test_similarity_leaves_only_its_result_staged(spark):
+    folder = pathlib.Path(shared_folder(spark)) / "basketlens"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    out = jaccard_groups.one_per_component(docs(spark, [(1, "a b c d e", "en", "s"), (2, "a b c d e", "en", "s"), (3, "q", "en", "s")]))
+    new = [p for p in folder.glob("*") if p not in before]
+    assert [sorted(p.name for p in f.glob("*")) for f in new] == [["rows"]]
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+
+
+
 # -- decontamination -------------------------------------------------------------
 
 
