@@ -334,6 +334,50 @@ def test_words_of_one_batch_are_encoded_as_alone():
     assert found.tolist() == [i for ids, _ in alone for i in ids.tolist()]
 
 
+def test_common_words_are_found_as_if_each_were_looked_up(monkeypatch):
+    import pyarrow as pa
+
+    random_ = np.random.default_rng(6)
+    opened = lm_scores.Pieces.opened(*pieces())
+    classes, shares = lm_scores.classes_of(random_.integers(0, 9, opened.size))
+    lookup = lm_scores.Lookup(opened, classes, shares)
+    common = ["the", "x\xa0y", "日本語", "q9!", "\x1c", "of", "naïve"]
+    words = ["of", "rare", "a" * 700, "q9!", "日本", "naïve", "the", "x\xa0y", "thee", "\x00"]
+    plain = lm_scores.word_hashes
+    for hashes in (plain, lambda data: (np.zeros_like(plain(data)[0]), plain(data)[1])):
+        monkeypatch.setattr(lm_scores, "word_hashes", hashes)
+        monkeypatch.setattr(lm_scores, "HASHED", 3)
+        for given, head_words in ((words, common), (words, []), ([], common), (common, common)):
+            asked = []
+            encode = lm_scores.Pieces.ids
+            head = lm_scores.Head(pa.array(head_words, pa.string()), lookup.find(pa.array(head_words, pa.string())))
+            names = pa.array(given, pa.string())
+            places = head.places(names)
+            monkeypatch.setattr(lm_scores.Pieces, "ids", lambda self, w: asked.extend(w.to_pylist()) or encode(self, w))
+            flat, starts, lengths, inner = head.find(names, places, lookup)
+            monkeypatch.setattr(lm_scores.Pieces, "ids", encode)
+            known = [w for w in given if w in head_words]
+            if hashes is plain:
+                assert places.tolist() == [head_words.index(w) if w in head_words else len(head_words) for w in given]
+                assert not set(asked) & set(known)
+            else:  # all of one hash: one is found, none is taken for another
+                assert all(p == len(head_words) or head_words[p] == w for p, w in zip(places, given))
+            want, sizes, shares_of = lookup.find(names)
+            assert lengths.tolist() == sizes.tolist() and np.array_equal(inner, shares_of)
+            assert [c for s, n in zip(starts, lengths) for c in flat[s : s + n]] == want.tolist()
+
+
+def test_gradient_is_the_same_without_its_loss_and_in_used_room():
+    random_ = np.random.default_rng(7)
+    flat, room = lm.initial(np.zeros(lm.CLASSES)), lm.Room()
+    for rows in (5, 3, 5):
+        inputs = random_.integers(0, lm.CLASSES + 1, (rows, lm.WINDOW)).astype(np.uint8)
+        targets = random_.integers(-1, lm.CLASSES, (rows, lm.WINDOW)).astype(np.int16)
+        loss, fresh = lm.gradient(flat, inputs, targets)
+        none, again = lm.gradient(flat, inputs, targets, room, with_loss=False)
+        assert loss > 0 and none == 0.0 and np.array_equal(fresh, again)
+
+
 def test_training_takes_every_class_of_every_text_once():
     random_ = np.random.default_rng(5)
     lengths = [1, lm.WINDOW, lm.WINDOW + 1, 3, 2 * lm.WINDOW + 9]
