@@ -405,3 +405,22 @@ def test_model_learns_from_whole_texts(spark):
     found = [r for r in lm_scores.document_scores(df, *pieces()).collect() if r["held_out"]]
     # Six signs that come equally often: log10(1 / 6) each, were they not learned in their order.
     assert found and all(r["score"] > -0.1 * 1500 for r in found)
+
+
+def test_gradient_and_scores_are_the_same_in_parts(monkeypatch):
+    """Logits are handled a few inputs at a time, and windows are cut out some at a time."""
+    random_ = np.random.default_rng(8)
+    inputs = random_.integers(0, lm.CLASSES + 1, (9, lm.WINDOW)).astype(np.uint8)
+    inputs[0], inputs[1:3] = 7, inputs[1:3] // 12
+    targets = random_.integers(-1, lm.CLASSES, inputs.shape).astype(np.int8)
+    flat = lm.initial(np.zeros(lm.CLASSES)).astype(np.float64)
+    lengths = np.array([0, 1, lm.WINDOW, 0, 5 * lm.WINDOW + 3, 2, 17 * lm.WINDOW])
+    classes = random_.integers(0, lm.CLASSES, lengths.sum()).astype(np.uint8)
+    loss, grad = lm.gradient(flat, inputs, targets)
+    scores = lm.Scorer(flat).log_probabilities(classes, lengths)
+    for size in (1, 3, 100_000):
+        for name in ("TOGETHER", "PREPARED", "SCORED"):
+            monkeypatch.setattr(lm, name, size)
+        again = lm.gradient(flat, inputs, targets)
+        assert again[0] == pytest.approx(loss) and np.allclose(again[1], grad, rtol=1e-9, atol=1e-12)
+        assert np.allclose(lm.Scorer(flat).log_probabilities(classes, lengths), scores, rtol=1e-5)
