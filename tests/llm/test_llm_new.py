@@ -12,6 +12,7 @@ import pytest
 
 from basketlens.llm import attention_lm as lm
 from basketlens.llm import lexical_search, lm_scores, merkle_manifest
+from basketlens.llm.id_tree import Ids
 from basketlens.llm.queries import QUERIES, vocabulary
 from basketlens.sources.staging import Workspace
 
@@ -424,3 +425,120 @@ def test_gradient_and_scores_are_the_same_in_parts(monkeypatch):
         again = lm.gradient(flat, inputs, targets)
         assert again[0] == pytest.approx(loss) and np.allclose(again[1], grad, rtol=1e-9, atol=1e-12)
         assert np.allclose(lm.Scorer(flat).log_probabilities(classes, lengths), scores, rtol=1e-5)
+
+
+# -- ids below the classes -----------------------------------------------------------------
+
+
+def some_ids(size=400):
+    counts = np.random.default_rng(9).zipf(1.3, size).clip(0, 10_000) - 1
+    classes, shares = lm_scores.classes_of(counts)
+    ids = Ids(counts, classes, (lm.END, lm.START), lm_scores.SINGLES, lm.WIDTH, lm.HEAD)
+    return counts, classes, shares, ids
+
+
+def rough(ids, seed):
+    random_ = np.random.default_rng(seed)
+    new = ids.copy()
+    new.own, new.choices = (a.astype(np.float64) + random_.normal(0, 0.3, a.shape) for a in (ids.own, ids.choices))
+    return new
+
+
+def test_choices_are_probabilities_of_the_ids_of_a_class():
+    counts, classes, shares, ids = some_ids()
+    some = np.flatnonzero(ids.lengths[ids.code])
+    start = ids.log_probabilities(ids.code[some], np.zeros((len(some), lm.HEAD), np.float32)) / math.log(10)
+    assert np.allclose(start, shares[some], atol=1e-5) and np.allclose(np.delete(shares, some), 0)
+    seen = np.random.default_rng(1).normal(0, 1, lm.HEAD)
+    p = np.exp(rough(ids, 2).log_probabilities(ids.code[some], np.repeat(seen[None], len(some), axis=0)))
+    sums = np.bincount(classes[some], p)
+    assert len(sums[sums > 0]) > 6 and np.allclose(sums[sums > 0], 1)
+
+
+def test_all_ids_may_share_or_have_classes():
+    for counts in (np.arange(3), np.zeros(500, np.int64), 2 ** np.arange(50).repeat(8)):
+        classes, shares = lm_scores.classes_of(counts)
+        ids = Ids(counts, classes, (lm.END, lm.START), lm_scores.SINGLES, lm.WIDTH, lm.HEAD)
+        some = np.flatnonzero(ids.lengths[ids.code])
+        found = ids.log_probabilities(ids.code[some], np.zeros((len(some), lm.HEAD), np.float32)) if len(some) else []
+        assert np.allclose(found, shares[some] * math.log(10), atol=1e-4)
+    wide = np.ones(70_000, np.int64)
+    assert Ids(wide, lm_scores.classes_of(wide)[0], (lm.END, lm.START), lm_scores.SINGLES, 2, 2).type == np.uint32
+
+
+def test_gradient_of_ids_equals_differences():
+    _, _, _, ids = some_ids()
+    random_ = np.random.default_rng(3)
+    inputs = random_.integers(0, ids.size + 2, (4, lm.WINDOW)).astype(ids.type)
+    targets = random_.integers(-1, ids.size + 1, (4, lm.WINDOW))
+    flat, ids = lm.initial(np.zeros(lm.CLASSES)).astype(np.float64), rough(ids, 4)
+    learned = {}
+    loss, grad = lm.gradient(flat, inputs, targets, ids=ids, learned=learned)
+
+    def slope(array, place):
+        kept, losses = array[place], []
+        for change in (1e-5, -1e-5):
+            array[place] = kept + change
+            losses.append(lm.gradient(flat, inputs, targets, ids=ids, learned={})[0])
+        array[place] = kept
+        return (losses[0] - losses[1]) / 2e-5
+
+    at = 0
+    for shape in lm.SHAPES.values():
+        size = int(np.prod(shape))
+        place = at + int(np.abs(grad[at : at + size]).argmax())
+        assert grad[place] != 0 and slope(flat, place) == pytest.approx(grad[place], rel=1e-3)
+        at += size
+    for name in ("own", "choices"):
+        rows, slopes = learned[name]
+        assert len(set(rows.tolist())) == len(rows) > 20
+        for column in (0, slopes.shape[1] - 1):
+            i = int(np.abs(slopes[:, column]).argmax())
+            assert slope(getattr(ids, name), (rows[i], column)) == pytest.approx(slopes[i, column], rel=1e-3)
+    # The score of a short text is the loss of its window.
+    text = random_.integers(0, ids.size + 1, 30).astype(ids.type)
+    row = np.r_[ids.start, text[:-1], np.zeros(lm.WINDOW - 30, ids.type)].astype(ids.type)[None]
+    want = lm.gradient(flat, row, np.r_[text.astype(int), np.full(lm.WINDOW - 30, -1)][None], ids=ids, learned={})[0]
+    assert lm.Scorer(flat, ids).log_probabilities(text, np.array([30])) == pytest.approx([-30 * want], rel=1e-4)
+
+
+def test_wide_codes_are_cut_into_blocks_and_windows(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "BLOCK", 2 * lm.WINDOW)
+    texts = {1: np.arange(300, 300 + 2 * lm.WINDOW + 5), 2: np.array([65_000])}
+    start = np.uint16(65_001)
+    df = spark.createDataFrame([(r, bytearray(t.astype(np.uint16).tobytes())) for r, t in texts.items()], "row bigint, classes binary")
+    for row, text in texts.items():
+        lines = [bytes(line) for r, _, line in sorted(map(tuple, lm_scores.training_blocks(df, start).collect())) if r == row]
+        inputs, targets = lm_scores.windows_of(lines, np.dtype(np.uint16))
+        assert targets[targets >= 0].tolist() == text.tolist()
+        assert inputs[targets >= 0].tolist() == [int(start), *text[:-1].tolist()]
+
+
+def test_rows_of_tasks_are_averaged_by_their_use(spark):
+    def value(*numbers):
+        return bytearray(np.array(numbers, np.float32).tobytes())
+
+    rows = [(0, 0, 3.0, value(1, 2, 3)), (0, 0, 1.0, value(5, 2, 3)), (1, 7, 1.0, value(1)), (1, 7, 1.0, value(2)), (2, 7, 5.0, value(9, 8))]
+    found = lm_scores.merged(spark.createDataFrame(rows, "kind int, row int, weight double, value binary")).to_pylist()
+    assert sorted((r["kind"], r["row"], np.frombuffer(r["value"], np.float32).tolist()) for r in found) == [
+        (0, 0, [2, 2, 3]), (1, 7, [1.5]), (2, 7, [9, 8])
+    ]
+
+
+def test_model_learns_which_id_of_a_class_comes_next(spark):
+    """Equally common words in a fixed order: a model that knows each class, but not which id of it, can't reach this score."""
+    import pyarrow as pa
+
+    opened = lm_scores.Pieces.opened(*pieces())
+    letters = [a + b + c for a in "bcdfghlmnprst" for b in "aeiou" for c in "dlmnprst"]
+    found, sizes = opened.ids(pa.array(letters))
+    words = [w for w, n in zip(letters, sizes) if n == 1][:200]
+    assert len(words) == 200
+    random.Random(3).shuffle(words)
+    rows = [(k, " ".join((words[k % 7 * 20 :] + words[: k % 7 * 20]) * 10)) for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    scores = [r["score"] for r in lm_scores.document_scores(df, *pieces()).collect() if r["held_out"]]
+    counts = np.zeros(opened.size, np.int64)
+    counts[opened.ids(pa.array(words))[0]] = 10 * sum(not held(k) for k, _ in rows)
+    shares = lm_scores.classes_of(counts)[1]
+    assert scores and min(scores) > 10 * float(shares[counts > 0].sum())
