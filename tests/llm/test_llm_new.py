@@ -502,6 +502,20 @@ def test_gradient_of_ids_equals_differences():
     assert lm.Scorer(flat, ids).log_probabilities(text, np.array([30])) == pytest.approx([-30 * want], rel=1e-4)
 
 
+def test_scores_stay_finite_where_inputs_differ_much():
+    random_ = np.random.default_rng(11)
+    flat = lm.initial(np.zeros(lm.CLASSES)) + random_.normal(0, 0.5, lm.PARAMETERS).astype(np.float32)
+    for name, input_, size in (("embedding", 5, 40), ("embedding", 9, -40), ("mixed", 3, 60), ("direct", 2, 60)):
+        p = lm.opened(own := flat.copy())
+        p[name][input_] *= size
+        classes = random_.integers(0, 12, 2 * lm.WINDOW).astype(np.uint8)
+        found = lm.Scorer(own).log_probabilities(classes, np.array([len(classes)]))
+        assert np.allclose(found, plain_log_probability(own, classes.tolist()), rtol=1e-3)
+        inputs, targets = classes[: lm.WINDOW][None], classes[1 : lm.WINDOW + 1][None]
+        loss, grad = lm.gradient(own, inputs, targets.astype(np.int16))
+        assert math.isfinite(loss) and np.isfinite(grad).all()
+
+
 def test_wide_codes_are_cut_into_blocks_and_windows(spark, monkeypatch):
     monkeypatch.setattr(lm_scores, "BLOCK", 2 * lm.WINDOW)
     texts = {1: np.arange(300, 300 + 2 * lm.WINDOW + 5), 2: np.array([65_000])}
